@@ -1,33 +1,37 @@
 """Skew-safe ordered scan: positions and running aggregates inside a key.
 
 Sequential operators (capping, consecutive runs, followed-by, bursts, late
-rows) need, for every row, "how many rows / which rows came before it in
-(ts, seq) order inside its key".  A window partitioned by the key alone puts
+rows) need, for every row, facts about the rows before or after it in
+(ts, seq) order inside its key.  A window partitioned by the key alone puts
 a hot key (say a third of all rows) into one task.  Instead the key's timeline
 is cut into buckets (a column monotone in the order, e.g. the hour of ``ts``):
 
-1. inside each (key, bucket): ``row_number`` and running aggregates
-   (window partitioned by key + bucket, so a hot key spreads over many tasks);
-2. per (key, bucket): totals - computed on the already clustered output of
-   step 1, no extra exchange;
-3. per key: exclusive prefix of the bucket totals (one row per non-empty
-   bucket, tiny next to the data);
-4. join 3 back on (key, bucket) - the big side is already hash-partitioned
-   and sorted by (key, bucket) from step 1, so only the small side moves.
+1. inside each (key, bucket): ``row_number`` and running aggregates (window
+   partitioned by key + bucket, so a hot key spreads over many tasks);
+2. per (key, bucket): totals - a partial aggregate straight from the input
+   (Catalyst pushes it below the window, shuffling one row per bucket);
+3. per key: exclusive prefix (or suffix) of the bucket totals - one row per
+   non-empty bucket, tiny next to the data;
+4. join 3 back on (key, bucket).  The big side is already hash-partitioned
+   by (key, bucket) from step 1; only the small side moves (or is broadcast
+   when AQE measures it small).
 
 ``pos`` = prefix count + in-bucket row number is the exact 1-based position of
-the row in its key; running sums/mins/maxes combine the same way.  Everything
-downstream (runs, next/previous event, ordinals) becomes an equi-join on
-unique ``(key, ordinal)`` pairs, which cannot explode or skew.
+the row in its key.  Running sums/mins/maxes (also over structs, e.g. the
+latest (ts, seq) of some kind of event) combine the same way, forwards
+(``after=False``: rows before) or backwards (``after=True``: rows after).
 
-Key columns must be non-null (parsers route null keys to rejects).
+The key columns are packed into one struct column for partitioning and the
+join back: a struct is never null and compares null fields as equal, so a
+null key (e.g. a missing behaviour) is a key like any other.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from eventide.timeutil import col, interval_str
@@ -36,11 +40,13 @@ from eventide.timeutil import col, interval_str
 class Running(NamedTuple):
     """A running aggregate: ``kind`` in sum/max/min over ``expr``.
 
-    ``inclusive=False`` excludes the current row (e.g. the max of earlier rows)."""
+    ``inclusive=False`` excludes the current row; ``after=True`` aggregates
+    the rows after the current one instead of those before it."""
     name: str
     kind: str
     expr: Column
     inclusive: bool = True
+    after: bool = False
 
 
 _AGG = {"sum": F.sum, "max": F.max, "min": F.min}
@@ -51,41 +57,63 @@ def time_bucket(ts, width) -> Column:
     return F.window(col(ts), interval_str(width)).start
 
 
-def _combine(kind, prefix: Column, local: Column) -> Column:
+def _combine(kind, other: Column, local: Column) -> Column:
     if kind == "sum":
-        return F.coalesce(prefix, F.lit(0)) + F.coalesce(local, F.lit(0))
+        return F.coalesce(other, F.lit(0)) + F.coalesce(local, F.lit(0))
     if kind == "max":
-        return F.greatest(prefix, local)
-    return F.least(prefix, local)
+        return F.greatest(other, local)
+    return F.least(other, local)
 
 
 def ordered_scan(df: DataFrame, keys: list[str], order: list[Column], bucket: Column,
-                 running: list[Running] = (), pos: str | None = "pos") -> DataFrame:
-    """Add ``pos`` (1-based position in key) and the ``running`` aggregates to every row."""
-    keys = list(keys)
+                 running: list[Running] = (), pos: str | None = "pos",
+                 window_cols: dict[str, Callable[[WindowSpec], Column]] | None = None,
+                 bucket_info: bool = False) -> DataFrame:
+    """Add ``pos`` (1-based position in key) and the ``running`` aggregates to every row.
+
+    ``window_cols`` are extra columns computed over the in-bucket window spec
+    (partition (keys, bucket), same order) - exact only where their frame stays
+    inside the bucket; ``bucket_info`` adds ``_b_rn`` (row number in bucket) and
+    ``_b_n`` (rows in bucket) so callers can fix up the bucket edges.
+    """
+    window_cols = window_cols or {}
     B, RN = "_scan_b", "_scan_rn"
     d = df.withColumn(B, bucket)
+    if keys:
+        d = d.withColumn("_scan_k", F.struct(*[F.col(k) for k in keys]))
+        keys = ["_scan_k"]
+    else:
+        keys = []
     for r in running:
         d = d.withColumn(f"_sv_{r.name}", r.expr)
     w = Window.partitionBy(*keys, B).orderBy(*order)
     d = d.withColumn(RN, F.row_number().over(w))
     for r in running:
-        hi = Window.currentRow if r.inclusive else -1
-        d = d.withColumn(f"_sl_{r.name}", _AGG[r.kind](f"_sv_{r.name}").over(
-            w.rowsBetween(Window.unboundedPreceding, hi)))
+        if r.after:
+            frame = w.rowsBetween(Window.currentRow if r.inclusive else 1, Window.unboundedFollowing)
+        else:
+            frame = w.rowsBetween(Window.unboundedPreceding, Window.currentRow if r.inclusive else -1)
+        d = d.withColumn(f"_sl_{r.name}", _AGG[r.kind](f"_sv_{r.name}").over(frame))
+    for name, fn in window_cols.items():
+        d = d.withColumn(name, fn(w))
 
-    # per-bucket totals on the clustered output of the window (no new exchange)
     tot = d.groupBy(*keys, B).agg(F.count(F.lit(1)).alias("_st_n"),
                                   *[_AGG[r.kind](f"_sv_{r.name}").alias(f"_st_{r.name}")
                                     for r in running])
-    wb = Window.partitionBy(*keys).orderBy(B).rowsBetween(Window.unboundedPreceding, -1)
-    pre = tot.select(*keys, B, F.coalesce(F.sum("_st_n").over(wb), F.lit(0)).alias("_sp_n"),
-                     *[_AGG[r.kind](f"_st_{r.name}").over(wb).alias(f"_sp_{r.name}") for r in running])
+    wk = Window.partitionBy(*keys).orderBy(B)
+    before = wk.rowsBetween(Window.unboundedPreceding, -1)
+    after = wk.rowsBetween(1, Window.unboundedFollowing)
+    pre = tot.select(*keys, B, F.coalesce(F.sum("_st_n").over(before), F.lit(0)).alias("_sp_n"),
+                     F.col("_st_n").alias("_b_n"),
+                     *[_AGG[r.kind](f"_st_{r.name}").over(after if r.after else before).alias(f"_sp_{r.name}")
+                       for r in running])
     out = d.join(pre, on=[*keys, B], how="inner")
-    cols = [c for c in df.columns]
     extra = []
     if pos:
         extra.append((F.col("_sp_n") + F.col(RN)).alias(pos))
     for r in running:
         extra.append(_combine(r.kind, F.col(f"_sp_{r.name}"), F.col(f"_sl_{r.name}")).alias(r.name))
-    return out.select(*cols, *extra)
+    extra += [F.col(n) for n in window_cols]
+    if bucket_info:
+        extra += [F.col(RN).alias("_b_rn"), F.col("_b_n")]
+    return out.select(*df.columns, *extra)

@@ -45,11 +45,6 @@ def _is(pred) -> Column:
     return F.coalesce(pred, F.lit(False)).cast("int")
 
 
-def _scan_events(df, key, pred, ts, seq, bucket):
-    return ordered_scan(df, [key], [F.col(ts), F.col(seq)], time_bucket(ts, bucket),
-                        running=[Running("_cum", "sum", _is(pred))])
-
-
 def consecutive_run(df: DataFrame, n: int = 8, key: str = "user_id",
                     pred: Column | None = None, within=None, inclusive: bool = True,
                     ts: str = "ts", seq: str = "seq", bucket="1 hour", msg: str | None = None) -> DataFrame:
@@ -57,24 +52,42 @@ def consecutive_run(df: DataFrame, n: int = 8, key: str = "user_id",
 
     A run of r matching events yields r - n + 1 rows (first and last event
     time).  ``within`` bounds last - first (inclusive ``<=`` or strict ``<``).
+
+    One bucketed scan: a row whose n-row frame lies inside its bucket is
+    decided by in-bucket window frames; only the first n-1 rows of a bucket
+    look up the row n-1 places back, among the last n-1 rows of earlier
+    buckets - a join of at most 2(n-1) rows per (key, bucket).
     """
     pred = F.col("login_state") == "fail" if pred is None else pred
-    s = _scan_events(df, key, pred, ts, seq, bucket)
-    fails = (s.filter(F.coalesce(pred, F.lit(False)))
-             .select(key, F.col(ts).alias("_t"), F.col("_cum").alias("_ord"),
-                     (F.col("pos") - F.col("_cum")).alias("_run")))
-    last = fails.alias("l")
-    first = fails.alias("f")
-    cond = ((F.col(f"l.{key}") == F.col(f"f.{key}")) & (F.col("l._run") == F.col("f._run"))
-            & (F.col("f._ord") == F.col("l._ord") - (n - 1)))
-    if within is not None:
-        bound = F.col("f._t") + F.expr(f"INTERVAL {interval_str(within)}")
-        cond = cond & ((F.col("l._t") <= bound) if inclusive else (F.col("l._t") < bound))
+    hit = _is(pred)
+    frame = (lambda w: w.rowsBetween(-(n - 1), 0))
+    s = ordered_scan(df, [key], [F.col(ts), F.col(seq)], time_bucket(ts, bucket),
+                     running=[Running("_cum", "sum", hit)], bucket_info=True,
+                     window_cols={"_nf": lambda w: F.sum(hit).over(frame(w)),
+                                  "_first": lambda w: F.first(F.col(ts)).over(frame(w))})
+    is_hit = F.coalesce(pred, F.lit(False))
+
+    def bounded(first_ts, last_ts):
+        if within is None:
+            return F.lit(True)
+        b = first_ts + F.expr(f"INTERVAL {interval_str(within)}")
+        return (last_ts <= b) if inclusive else (last_ts < b)
+
     text = msg if msg is not None else (
         PAIR_MSG.format(window=int(seconds(within)), n=n) if within is not None else RUN_MSG.format(n=n))
-    return last.join(first, cond, "inner").select(
-        F.col(f"l.{key}").alias(key), F.col("f._t").alias("first_fail_ts"),
-        F.col("l._t").alias("last_fail_ts"), F.lit(text).alias("msg"))
+    inside = (s.filter(is_hit & (F.col("_b_rn") >= n) & (F.col("_nf") == n)
+                       & bounded(F.col("_first"), F.col(ts)))
+              .select(key, F.col("_first").alias("first_fail_ts"), F.col(ts).alias("last_fail_ts")))
+    heads = s.filter(is_hit & (F.col("_b_rn") < n) & (F.col("pos") >= n)).select(
+        F.col(key).alias("_hk"), F.col("pos").alias("_hp"), F.col(ts).alias("_ht"), F.col("_cum").alias("_hc"))
+    tails = s.filter(F.col("_b_rn") > F.col("_b_n") - (n - 1)).select(
+        F.col(key).alias("_tk"), F.col("pos").alias("_tp"), F.col(ts).alias("_tt"), F.col("_cum").alias("_tc"),
+        hit.alias("_th"))
+    edge = (heads.join(tails, (F.col("_hk") == F.col("_tk")) & (F.col("_tp") == F.col("_hp") - (n - 1)))
+            .filter((F.col("_hc") - F.col("_tc") + F.col("_th") == n) & bounded(F.col("_tt"), F.col("_ht")))
+            .select(F.col("_hk").alias(key), F.col("_tt").alias("first_fail_ts"),
+                    F.col("_ht").alias("last_fail_ts")))
+    return inside.unionByName(edge).withColumn("msg", F.lit(text))
 
 
 def consecutive_pairs(df: DataFrame, window="2 seconds", key: str = "user_id", pred: Column | None = None,
@@ -89,34 +102,34 @@ def fail_bursts(df: DataFrame, window="2 seconds", min_fails: int = 2, key: str
     [t, t + window]; a success in that range discards it; at t + window the
     burst is reported if it holds at least ``min_fails`` fails.  The next burst
     starts at the next fail after that.  End of input closes an open burst.
+
+    Pass 1 (bucketed scan over all events) gives every fail the latest earlier
+    fail / success and the next success; a fail starts a new segment when no
+    fail precedes it since the last success or the gap exceeds ``window`` (a
+    burst never spans such a break).  Pass 2 (bucketed scan over fails)
+    numbers the segments; each segment is folded JVM-side with ``aggregate``.
+    A segment is a run of fails with no success and no gap over ``window``.
     """
     pred = F.col("login_state") == "fail" if pred is None else pred
     w = int(seconds(window))
+    iv = f"INTERVAL {w} seconds"
     tt = ts_type(df, ts)
-    s = _scan_events(df, key, pred, ts, seq, bucket)
     is_fail = F.coalesce(pred, F.lit(False))
-    run = F.col("pos") - F.col("_cum")
-    fails = s.filter(is_fail).select(key, ts, seq, F.col("_cum").alias("_ord"), run.alias("_run"))
-    succ = s.filter(~is_fail).select(key, F.col(ts).alias("_close_ts"), run.alias("_sord"))
-
-    # a fail opens a new segment if it is the first of its run or its previous fail is > window before
-    cur, prev = fails.alias("c"), fails.alias("p")
-    j = cur.join(prev, (F.col(f"c.{key}") == F.col(f"p.{key}")) & (F.col("p._ord") == F.col("c._ord") - 1)
-                 & (F.col("p._run") == F.col("c._run")), "left")
-    brk = (F.col(f"p.{key}").isNull()
-           | (F.col(f"c.{ts}") > F.col(f"p.{ts}") + F.expr(f"INTERVAL {w} seconds"))).cast("int")
-    marked = j.select(F.col(f"c.{key}").alias(key), F.col(f"c.{ts}").alias(ts), F.col(f"c.{seq}").alias(seq),
-                      F.col("c._run").alias("_run"), brk.alias("_brk"))
-    seg = ordered_scan(marked, [key], [F.col(ts), F.col(seq)], time_bucket(ts, bucket),
-                       running=[Running("_seg", "sum", F.col("_brk"))], pos=None)
+    ev = F.struct(F.col(ts).alias("t"), F.col(seq).alias("s"))
+    s = ordered_scan(df, [key], [F.col(ts), F.col(seq)], time_bucket(ts, bucket), pos=None, running=[
+        Running("_last_fail", "max", F.when(is_fail, ev), inclusive=False),
+        Running("_last_succ", "max", F.when(~is_fail, ev), inclusive=False),
+        Running("_next_succ", "min", F.when(~is_fail, F.col(ts)), inclusive=False, after=True)])
+    lf, ls = F.col("_last_fail"), F.col("_last_succ")
+    brk = (lf.isNull() | (ls.isNotNull() & (ls > lf))
+           | (F.col(ts) > lf["t"] + F.expr(iv))).cast("int")
+    fails = s.filter(is_fail).select(key, ts, seq, "_next_succ", brk.alias("_brk"))
+    seg = ordered_scan(fails, [key], [F.col(ts), F.col(seq)], time_bucket(ts, bucket), pos=None,
+                       running=[Running("_seg", "sum", F.col("_brk"))])
     groups = (seg.groupBy(key, "_seg")
               .agg(F.sort_array(F.collect_list(F.struct(F.col(ts).alias("ts"), F.col(seq).alias("seq"))))
-                   .alias("_evs"), F.max("_run").alias("_run")))
-    # the success that ends the run closes its last segment
-    groups = groups.join(succ, (groups[key] == succ[key]) & (succ["_sord"] == groups["_run"] + 1), "left") \
-        .select(groups[key], groups["_seg"], groups["_evs"], succ["_close_ts"])
+                   .alias("_evs"), F.max("_next_succ").alias("_close_ts")))
     burst_t = f"struct<first_fail_ts:{tt},last_fail_ts:{tt},fail_count:int>"
-    iv = f"INTERVAL {w} seconds"
     emit = ("array_append(acc.out, named_struct('first_fail_ts', acc.anchor, 'last_fail_ts', acc.last, "
             "'fail_count', acc.cnt))")
     fold = f"""aggregate(_evs,
@@ -145,15 +158,16 @@ def followed_by(df: DataFrame, within="15 minutes", key: str = "order_id",
                 first: Column | None = None, then: Column | None = None, ts: str = "ts", seq: str = "seq",
                 bucket="1 day") -> FollowedBy:
     """Each ``first`` event matched with the first later ``then`` event of its
-    key if it comes less than ``within`` after it; otherwise a timeout at first + within."""
+    key if it comes less than ``within`` after it; otherwise a timeout at first + within.
+
+    "The first later ``then``" is a backwards running min over the bucketed
+    scan: one pass, no join of creates against pays.
+    """
     first = F.col("event_type") == "create" if first is None else first
     then = F.col("event_type") == "pay" if then is None else then
-    s = _scan_events(df, key, then, ts, seq, bucket)
-    a = s.filter(F.coalesce(first, F.lit(False))).select(
-        key, F.col(ts).alias("create_ts"), (F.col("_cum") + 1).alias("_want"))
-    b = s.filter(F.coalesce(then, F.lit(False))).select(
-        F.col(key).alias("_k"), F.col(ts).alias("pay_ts"), F.col("_cum").alias("_ord"))
-    j = a.join(b, (a[key] == b["_k"]) & (a["_want"] == b["_ord"]), "left")
+    s = ordered_scan(df, [key], [F.col(ts), F.col(seq)], time_bucket(ts, bucket), pos=None, running=[
+        Running("pay_ts", "min", F.when(F.coalesce(then, F.lit(False)), F.col(ts)), inclusive=False, after=True)])
+    j = s.filter(F.coalesce(first, F.lit(False))).select(key, F.col(ts).alias("create_ts"), "pay_ts")
     deadline = F.col("create_ts") + F.expr(f"INTERVAL {interval_str(within)}")
     ok = F.coalesce(F.col("pay_ts") < deadline, F.lit(False))
     matched = j.filter(ok).select(key, "create_ts", "pay_ts", F.lit(PAYED).alias("result"))

@@ -12,8 +12,16 @@ Sliding windows can be computed two ways:
   contain it and sum.  The expansion then scales with distinct (key, pane)
   pairs, not with events - 720x less work for 1 h / 5 s on dense keys.
 
-``auto`` picks ``pane`` when size is a multiple of slide and the expansion
-factor is above 4.
+* ``delta``: each pane count c becomes two change points, +c at the first
+  window end that contains the pane and -c at the first that no longer does.
+  A running sum over the change points (the bucketed, skew-safe
+  ``ordered_scan``) is the window count between two change points, and the
+  window rows are generated straight from those constant stretches.  No
+  size/slide expansion is hashed at all: work is O(panes + output rows),
+  which matters for 1 h / 5 s (720 windows per event).
+
+``auto`` picks ``direct`` up to an expansion factor of 4, ``pane`` up to 48,
+and ``delta`` beyond (size must be a multiple of slide for the latter two).
 """
 
 from __future__ import annotations
@@ -21,6 +29,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from eventide.operators.scan import Running, ordered_scan, time_bucket
 from eventide.timeutil import interval_str, seconds
 
 
@@ -40,6 +49,23 @@ def _pane(df, keys, ts, size, slide, out):
     return (ex.groupBy(*keys, end.alias("window_end")).agg(F.sum("_c").cast("bigint").alias(out)))
 
 
+def _delta(df, keys, ts, size, slide, out, bucket="1 hour"):
+    step = F.expr(f"INTERVAL {interval_str(slide)}")
+    span = F.expr(f"INTERVAL {interval_str(size)}")
+    panes = (df.select(*keys, F.window(F.col(ts), interval_str(slide)).start.alias("_pane"))
+             .groupBy(*keys, "_pane").agg(F.count(F.lit(1)).alias("_c")))
+    changes = panes.select(*keys, F.explode(F.array(
+        F.struct((F.col("_pane") + step).alias("t"), F.col("_c").alias("d")),
+        F.struct((F.col("_pane") + span + step).alias("t"), (-F.col("_c")).alias("d")))).alias("_x"))
+    merged = (changes.groupBy(*keys, F.col("_x.t").alias("_t")).agg(F.sum("_x.d").alias("_d")))
+    s = ordered_scan(merged, keys, [F.col("_t")], time_bucket("_t", bucket), pos=None, running=[
+        Running("_n", "sum", F.col("_d")),
+        Running("_next", "min", F.col("_t"), inclusive=False, after=True)])
+    live = s.filter(F.col("_n") > 0)
+    return live.select(*keys, F.explode(F.sequence(F.col("_t"), F.col("_next") - step, step)).alias("window_end"),
+                       F.col("_n").cast("bigint").alias(out))
+
+
 def sliding_count(df: DataFrame, keys: list[str], size, slide, ts: str = "ts",
                   strategy: str = "auto", out: str = "cnt") -> DataFrame:
     """Count rows per (keys, sliding window) -> keys + window_end + out."""
@@ -47,11 +73,13 @@ def sliding_count(df: DataFrame, keys: list[str], size, slide, ts: str = "ts",
     ratio = seconds(size) / seconds(slide)
     divisible = abs(ratio - round(ratio)) < 1e-9
     if strategy == "auto":
-        strategy = "pane" if divisible and ratio > 4 else "direct"
+        strategy = "direct" if not divisible or ratio <= 4 else ("pane" if ratio <= 48 else "delta")
+    if strategy in ("pane", "delta") and not divisible:
+        raise ValueError(f"{strategy} strategy needs size to be a multiple of slide")
     if strategy == "pane":
-        if not divisible:
-            raise ValueError("pane strategy needs size to be a multiple of slide")
         return _pane(df, keys, ts, size, slide, out)
+    if strategy == "delta":
+        return _delta(df, keys, ts, size, slide, out)
     return _direct(df, keys, ts, size, slide, out)
 
 

@@ -69,6 +69,17 @@ def item_view_counts_direct(spark, sf_dir):
     return item_view_counts(spark, sf_dir, strategy="direct")
 
 
+@query
+def item_view_counts_delta(spark, sf_dir):
+    return item_view_counts(spark, sf_dir, strategy="delta")
+
+
+@query
+def marketing_total_profile_pane(spark, sf_dir):
+    c = _total(sliding_count(_marketing(_fx(spark, sf_dir)), [], **MARKETING_DEFAULT, strategy="pane"))
+    return rollup_profile(c, ["channel", "behavior"])
+
+
 @query
 def hot_items(spark, sf_dir):
     return top_n_per_window(item_view_counts(spark, sf_dir), ITEMS["n"], "item_id")

@@ -87,6 +87,7 @@ ORACLE: dict[str, str] = {}
 ORACLE["item_view_counts"] = with_fx("fx_user_behavior", extra=f"pv as ({PV})") + \
     sliding_sql("pv", ["item_id"], J.ITEMS["size"], J.ITEMS["slide"])
 ORACLE["item_view_counts_direct"] = ORACLE["item_view_counts"]
+ORACLE["item_view_counts_delta"] = ORACLE["item_view_counts"]
 
 ORACLE["hot_items"] = with_fx("fx_user_behavior", extra=f"pv as ({PV}), c as ("
                               + sliding_sql("pv", ["item_id"], J.ITEMS["size"], J.ITEMS["slide"]) + ")") + f"""
@@ -163,6 +164,8 @@ ORACLE["marketing_total_profile"] = with_fx("fx_marketing", extra=f"m as ({MKT})
     inner="select 'total' as channel, 'total' as behavior, cnt from ("
           + sliding_sql("m", [], J.MARKETING_DEFAULT["size"], J.MARKETING_DEFAULT["slide"]) + ")")
 
+ORACLE["marketing_total_profile_pane"] = ORACLE["marketing_total_profile"]
+
 ORACLE["ads_by_province"] = with_fx("fx_ad_click") + \
     sliding_sql("fx_ad_click", ["province"], J.ADS["size"], J.ADS["slide"])
 
