@@ -2,6 +2,8 @@ from eventide.streaming.eventtime import with_event_time, wm_safe_filter
 from eventide.streaming.sinks import split_channels, write_channels, write_stream
 from eventide.streaming.twins import (stream_interval_join, stream_salted_count, stream_sliding_count, stream_top_n,
                                       stream_unique_visitors, stream_unique_visitors_hll)
-from eventide.streaming.processors import stream_cap_per_key, stream_consecutive_run, stream_order_payment_status
+from eventide.streaming.processors import (stream_cap_per_key, stream_consecutive_run, stream_fail_bursts,
+                                          stream_followed_by, stream_order_payment_status,
+                                          stream_running_unique_visitors, stream_split_late)
 
 __all__ = [n for n in dir() if not n.startswith("_")]

@@ -267,3 +267,264 @@ def stream_cap_per_key(clicks: DataFrame, cap: int = 100, day_offset_hours: int
             .groupBy("user_id", "ad_id", "day")
             .transformWithState(CapProcessor(cap, day_offset_hours=day_offset_hours), CAP_SCHEMA, "Append",
                                 "EventTime"))
+
+
+class _BufferedProcessor(StatefulProcessor):
+    """Buffers a key's events until the watermark passes them, then hands them
+    over in (ts, seq) order to ``on_events``; ``on_watermark`` runs after."""
+
+    fields: T.StructType
+
+    def init(self, handle):
+        self.h = handle
+        self.buf = handle.getListState("buf", self.fields)
+        self.setup(handle)
+
+    def setup(self, handle):
+        pass
+
+    def row_values(self, r) -> tuple:
+        raise NotImplementedError
+
+    def handleInputRows(self, key, rows, timerValues):
+        for r in rows:
+            v = self.row_values(r)
+            self.buf.appendValue(v)
+            self.h.registerTimer(_ms(v[0]))
+        return iter([])
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
+        wm = timerValues.getCurrentWatermarkInMs()
+        items = sorted(tuple(x) for x in self.buf.get()) if self.buf.exists() else []
+        ready = [x for x in items if _ms(x[0]) <= wm]
+        rest = [x for x in items if _ms(x[0]) > wm]
+        self.buf.clear()
+        if rest:
+            self.buf.put(rest)
+        out = list(self.on_events(key, ready, wm)) if ready else []
+        out += list(self.on_watermark(key, wm))
+        return iter(out)
+
+    def on_events(self, key, events, wm):
+        return []
+
+    def on_watermark(self, key, wm):
+        return []
+
+    def close(self):
+        pass
+
+
+class FollowedByProcessor(_BufferedProcessor):
+    """Every create matched with the first later pay if it comes less than
+    ``within`` after it; otherwise a timeout once the watermark passes the deadline."""
+
+    fields = T.StructType([T.StructField("ts", T.LongType()), T.StructField("seq", T.LongType()),
+                           T.StructField("kind", T.StringType())])
+
+    def __init__(self, within="15 minutes", first: str = "create", then: str = "pay"):
+        self.w_us = int(seconds(within) * 1_000_000)
+        self.first, self.then = first, then
+
+    def setup(self, handle):
+        self.pending = handle.getListState("pending", _TS)
+
+    def row_values(self, r):
+        return (_us(r.ts), r.seq, r.event_type)
+
+    def _row(self, key, c, p, result):
+        return Row(order_id=key[0], create_ts=_dt(c), end_ts=_dt(p if p is not None else c + self.w_us),
+                   result=result)
+
+    def on_events(self, key, events, wm):
+        pend = [x[0] for x in self.pending.get()] if self.pending.exists() else []
+        out = []
+        for t, _, kind in events:
+            if kind == self.first:
+                pend.append(t)
+                self.h.registerTimer(_ms(t + self.w_us))
+            elif kind == self.then and pend:
+                for c in pend:
+                    out.append(self._row(key, c, t, "payed") if t - c < self.w_us else self._row(key, c, None, "timeout"))
+                pend = []
+        self.pending.clear()
+        if pend:
+            self.pending.put([(c,) for c in pend])
+        return out
+
+    def on_watermark(self, key, wm):
+        pend = [x[0] for x in self.pending.get()] if self.pending.exists() else []
+        due = [c for c in pend if _ms(c + self.w_us) <= wm]
+        if not due:
+            return []
+        keep = [c for c in pend if c not in due]
+        self.pending.clear()
+        if keep:
+            self.pending.put([(c,) for c in keep])
+        return [self._row(key, c, None, "timeout") for c in due]
+
+
+FOLLOWED_SCHEMA = T.StructType([T.StructField("order_id", T.LongType()), T.StructField("create_ts", T.TimestampType()),
+                                T.StructField("end_ts", T.TimestampType()), T.StructField("result", T.StringType())])
+
+
+def stream_followed_by(orders: DataFrame, within="15 minutes") -> DataFrame:
+    """Streaming twin of ``followed_by``: ``result`` is ``payed`` (end_ts = pay time) or
+    ``timeout`` (end_ts = create + within); split with ``split_channels(..., column='result')``."""
+    return (orders.select("order_id", "seq", "event_type", "ts").groupBy("order_id")
+            .transformWithState(FollowedByProcessor(within), FOLLOWED_SCHEMA, "Append", "EventTime"))
+
+
+class BurstProcessor(_BufferedProcessor):
+    """Greedy fail bursts; a burst closes when the watermark passes anchor + window."""
+
+    fields = _EV
+
+    def __init__(self, window="2 seconds", min_fails: int = 2, column: str = "login_state", value: str = "fail"):
+        self.w_us = int(seconds(window) * 1_000_000)
+        self.wsec = int(seconds(window))
+        self.min, self.column, self.value = min_fails, column, value
+
+    def setup(self, handle):
+        self.st = handle.getValueState("st", T.StructType([
+            T.StructField("anchor", T.LongType()), T.StructField("last", T.LongType()), T.StructField("cnt", T.IntegerType())]))
+
+    def row_values(self, r):
+        return (_us(r.ts), r.seq, r[self.column] == self.value)
+
+    def _emit(self, key, a, last, cnt):
+        return Row(user_id=key[0], first_fail_ts=_dt(a), last_fail_ts=_dt(last), fail_count=cnt,
+                   msg=f"login fail in {self.wsec}s for {cnt}tiems")
+
+    def on_events(self, key, events, wm):
+        a, last, cnt = self.st.get() if self.st.exists() else (None, None, 0)
+        out = []
+        for t, _, hit in events:
+            if a is not None and t > a + self.w_us:
+                if cnt >= self.min:
+                    out.append(self._emit(key, a, last, cnt))
+                a, last, cnt = None, None, 0
+            if not hit:
+                a, last, cnt = None, None, 0
+                continue
+            if a is None:
+                a, cnt = t, 0
+                self.h.registerTimer(_ms(t + self.w_us))
+            last, cnt = t, cnt + 1
+        if a is None:
+            self.st.clear()
+        else:
+            self.st.update((a, last, cnt))
+        return out
+
+    def on_watermark(self, key, wm):
+        if not self.st.exists():
+            return []
+        a, last, cnt = self.st.get()
+        if _ms(a + self.w_us) > wm:
+            return []
+        self.st.clear()
+        return [self._emit(key, a, last, cnt)] if cnt >= self.min else []
+
+
+BURST_SCHEMA = T.StructType([T.StructField("user_id", T.LongType()), T.StructField("first_fail_ts", T.TimestampType()),
+                             T.StructField("last_fail_ts", T.TimestampType()), T.StructField("fail_count", T.IntegerType()),
+                             T.StructField("msg", T.StringType())])
+
+
+def stream_fail_bursts(logins: DataFrame, window="2 seconds", min_fails: int = 2) -> DataFrame:
+    return (logins.select("user_id", "seq", "login_state", "ts").groupBy("user_id")
+            .transformWithState(BurstProcessor(window, min_fails), BURST_SCHEMA, "Append", "EventTime"))
+
+
+class LateRowProcessor(StatefulProcessor):
+    """T4: tag each row ``main`` or ``late`` against the current watermark.
+
+    A row is late when its last sliding window ends (minus 1 ms, plus the
+    allowed lateness) at or before the watermark.  Stateless per key; the
+    processor only gives access to the watermark, so rows are keyed by a
+    spreading column (e.g. the URL) and stay partitioned."""
+
+    def __init__(self, size, slide, lateness="1 minute", columns=("seq", "url", "ts")):
+        self.size_us, self.slide_us = int(seconds(size) * 1e6), int(seconds(slide) * 1e6)
+        self.late_us = int(seconds(lateness) * 1e6)
+        self.columns = columns
+
+    def init(self, handle):
+        pass
+
+    def handleInputRows(self, key, rows, timerValues):
+        wm_us = timerValues.getCurrentWatermarkInMs() * 1000
+        out = []
+        for r in rows:
+            t = _us(r.ts)
+            last_end = (t // self.slide_us) * self.slide_us + self.size_us
+            late = last_end - 1000 + self.late_us <= wm_us
+            out.append(Row(**{c: r[c] for c in self.columns}, channel="late" if late else "main"))
+        return iter(out)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
+        return iter([])
+
+    def close(self):
+        pass
+
+
+def stream_split_late(df: DataFrame, size, slide, lateness="1 minute", key: str = "url") -> DataFrame:
+    """Streaming twin of ``split_late`` (input watermarked with the out-of-orderness delay)."""
+    cols = tuple(df.columns)
+    schema = T.StructType([df.schema[c] for c in cols] + [T.StructField("channel", T.StringType())])
+    return df.groupBy(key).transformWithState(LateRowProcessor(size, slide, lateness, cols), schema, "Append",
+                                              "EventTime")
+
+
+class RunningUniqueProcessor(_BufferedProcessor):
+    """D4/T8 per window: one row per first-seen bit offset with the running count.
+
+    Keyed by window end; the seen offsets live in a MapState (the Spark-state
+    form of the per-window bitmap) and the window is dropped by a timer once
+    the watermark passes its end."""
+
+    fields = T.StructType([T.StructField("ts", T.LongType()), T.StructField("seq", T.LongType()),
+                           T.StructField("off", T.LongType()), T.StructField("user_id", T.LongType())])
+
+    def setup(self, handle):
+        self.seen = handle.getMapState("seen", T.StructType([T.StructField("o", T.LongType())]),
+                                       T.StructType([T.StructField("b", T.BooleanType())]))
+        self.n = handle.getValueState("n", T.StructType([T.StructField("n", T.LongType())]))
+
+    def row_values(self, r):
+        return (_us(r.ts), r.seq, r.bit_offset, r.user_id)
+
+    def on_events(self, key, events, wm):
+        n = self.n.get()[0] if self.n.exists() else 0
+        out = []
+        for t, seq, off, user in events:
+            if self.seen.containsKey((off,)):
+                continue
+            self.seen.updateValue((off,), (True,))
+            n += 1
+            out.append(Row(window_end=key[0], bit_offset=off, ts=_dt(t), seq=seq, user_id=user, uv=n))
+        self.n.update((n,))
+        self.h.registerTimer(_ms(_us(key[0])))
+        return out
+
+    def on_watermark(self, key, wm):
+        if _ms(_us(key[0])) <= wm and not self.buf.exists():
+            self.seen.clear()
+            self.n.clear()
+        return []
+
+
+RUNNING_UV_SCHEMA = T.StructType([T.StructField("window_end", T.TimestampType()), T.StructField("bit_offset", T.LongType()),
+                                  T.StructField("ts", T.TimestampType()), T.StructField("seq", T.LongType()),
+                                  T.StructField("user_id", T.LongType()), T.StructField("uv", T.LongType())])
+
+
+def stream_running_unique_visitors(pv: DataFrame, size="1 hour", cap: int = 1 << 29) -> DataFrame:
+    from eventide.functions.bitmap import bitmap_offset
+    from eventide.timeutil import interval_str
+    d = pv.select(F.window("ts", interval_str(size)).end.alias("window_end"),
+                  bitmap_offset("user_id", cap).alias("bit_offset"), "ts", "seq", "user_id")
+    return d.groupBy("window_end").transformWithState(RunningUniqueProcessor(), RUNNING_UV_SCHEMA, "Append",
+                                                      "EventTime")

@@ -139,3 +139,41 @@ def test_interval_join_twin(spark):
     assert as_set(ch["unmatched_pays"], ["tx_id", "pay_ts"]) == as_set(b.unmatched_left, ["tx_id", "pay_ts"])
     assert as_set(ch["unmatched_receipts"], ["tx_id", "receipt_ts"]) == as_set(b.unmatched_right,
                                                                              ["tx_id", "receipt_ts"])
+
+
+def test_followed_by_and_burst_processors(spark):
+    from eventide.operators import fail_bursts, followed_by
+    from eventide.streaming import stream_fail_bursts, stream_followed_by
+    fx = Fixtures(spark, SF_SMALL)
+    oe = fx.order_events
+    flush = {"seq": 10 ** 12, "order_id": 10 ** 9, "event_type": "create", "tx_id": "", "ts": FAR}
+    out = run(spark, stream_followed_by(with_event_time(replay(spark, oe, flush, 4, "ts")), "900 seconds"))
+    fb = followed_by(oe, "900 seconds")
+    assert as_set(out.filter("result = 'payed'"), ["order_id", "create_ts", "end_ts"]) == as_set(
+        fb.matched, ["order_id", "create_ts", "pay_ts"])
+    assert as_set(out.filter("result = 'timeout'"), ["order_id", "create_ts", "end_ts"]) == as_set(
+        fb.timeouts, ["order_id", "create_ts", "timeout_ts"])
+    lg = Fixtures(spark, SF_MID).login
+    lflush = {"seq": 10 ** 9, "user_id": 10 ** 6, "ip": "x", "login_state": "success", "ts": FAR}
+    got = run(spark, stream_fail_bursts(with_event_time(replay(spark, lg, lflush, 5)), "24 hours", 2))
+    cols = ["user_id", "first_fail_ts", "last_fail_ts", "fail_count", "msg"]
+    assert as_set(got, cols) == as_set(fail_bursts(lg, "24 hours", 2), cols)
+
+
+def test_late_rows_and_running_uv_processors(spark, ub):
+    from eventide.operators import running_unique_visitors
+    from eventide.streaming import stream_running_unique_visitors, stream_split_late
+    t0 = ts("2019-05-21 09:27:22")
+    rows = [(0, "/a", t0), (1, "/a", t0 + dt.timedelta(seconds=1000)),
+            (2, "/a", t0 + dt.timedelta(seconds=100)), (3, "/b", t0 + dt.timedelta(seconds=900))]
+    df = spark.createDataFrame(rows, "seq long, url string, ts timestamp_ntz")
+    folder = tempfile.mkdtemp(prefix="late-")
+    write_ordered_files(df, folder, 2, "seq")
+    s = with_event_time(read_ordered_files(spark, folder, df.schema), delay="1 minute")
+    out = run(spark, stream_split_late(s, "10 minutes", "1 minute", "1 minute"))
+    assert {(r.seq, r.channel) for r in out.collect()} == {(0, "main"), (1, "main"), (2, "late"), (3, "main")}
+    pv = ub.filter("behavior = 'pv'")
+    spv = wm_safe_filter(with_event_time(replay(spark, ub, flush_ub(ub))), equals_value("behavior", "pv"))
+    got = run(spark, stream_running_unique_visitors(spv))
+    cols = ["window_end", "bit_offset", "ts", "seq", "user_id", "uv"]
+    assert as_set(got, cols) == as_set(running_unique_visitors(pv), cols)
