@@ -86,3 +86,19 @@ def stream_interval_join(pays: DataFrame, receipts: DataFrame, key: str = "tx_id
           .when(F.col("_rk").isNull(), "unmatched_pays").otherwise("unmatched_receipts"))
     return j.select(F.coalesce("_lk", "_rk").alias(key), *[c for c in j.columns if c not in ("_lk", "_rk")],
                     ch.alias("channel"))
+
+
+def stream_counts_with_lateness(raw: DataFrame, keys: list[str], size, slide, delay="1 minute",
+                                lateness="1 minute", ts: str = "ts", mode: str = "append") -> tuple[DataFrame, str]:
+    """A10: sliding counts whose windows accept rows up to ``lateness`` after they close.
+
+    Spark has one watermark per stream, so allowed lateness folds into it:
+    ``append`` -> watermark delay = delay + lateness, each window emitted once
+    with its final value; ``update`` -> watermark delay = delay + lateness and
+    every micro-batch re-emits the refined counts of open windows (the
+    re-firing of the surveyed job, per micro-batch instead of per row).
+    Returns the DataFrame and the output mode to start it with.
+    """
+    from eventide.streaming.eventtime import with_event_time
+    d = with_event_time(raw, ts, delay=seconds(delay) + seconds(lateness))
+    return stream_sliding_count(d, keys, size, slide), mode
