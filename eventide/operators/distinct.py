@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from eventide.functions.bitmap import DEFAULT_CAP, DEFAULT_SEED, bitmap_offset
-from eventide.operators.scan import ordered_scan, time_bucket
+from eventide.operators.scan import materialize, ordered_scan, time_bucket
 from eventide.timeutil import interval_str
 
 
@@ -62,8 +62,8 @@ def running_unique_visitors(df: DataFrame, size="1 hour", user: str = "user_id",
     d = _with_window_end(df, size, ts).select(
         "window_end", bitmap_offset(user, cap, seed).alias("bit_offset"),
         F.struct(F.col(ts).alias("ts"), F.col(seq).alias("seq"), F.col(user).alias("user_id")).alias("_e"))
-    first = (d.groupBy("window_end", "bit_offset").agg(F.min("_e").alias("_f"))
-             .select("window_end", "bit_offset", "_f.ts", "_f.seq", "_f.user_id"))
+    first = materialize(d.groupBy("window_end", "bit_offset").agg(F.min("_e").alias("_f"))
+                        .select("window_end", "bit_offset", "_f.ts", "_f.seq", "_f.user_id"))
     return ordered_scan(first, ["window_end"], [F.col("ts"), F.col("seq")], time_bucket("ts", bucket),
                         pos="uv")
 

@@ -34,13 +34,15 @@ class Matched(NamedTuple):
 def interval_match(left: DataFrame, right: DataFrame, key: str = "tx_id", bound="5 seconds",
                    left_ts: str = "ts", right_ts: str = "ts", left_order: list[str] | None = None,
                    right_order: list[str] | None = None, left_prefix: str = "pay_",
-                   right_prefix: str = "receipt_", bucket="1 day") -> Matched:
+                   right_prefix: str = "receipt_", bucket="1 day", hot_rows: int = 4_000_000) -> Matched:
     lo = [left_ts] + (left_order or [c for c in left.columns if c not in (key, left_ts)])
     ro = [right_ts] + (right_order or [c for c in right.columns if c not in (key, right_ts)])
     lcols = [c for c in left.columns if c != key]
     rcols = [c for c in right.columns if c != key]
-    L = ordered_scan(left, [key], [F.col(c) for c in lo], time_bucket(left_ts, bucket), pos="_ord")
-    R = ordered_scan(right, [key], [F.col(c) for c in ro], time_bucket(right_ts, bucket), pos="_ord")
+    L = ordered_scan(left, [key], [F.col(c) for c in lo], time_bucket(left_ts, bucket), pos="_ord",
+                     fine=time_bucket(left_ts, "1 second"), hot_rows=hot_rows)
+    R = ordered_scan(right, [key], [F.col(c) for c in ro], time_bucket(right_ts, bucket), pos="_ord",
+                     fine=time_bucket(right_ts, "1 second"), hot_rows=hot_rows)
     L = L.select(F.col(key).alias("_lk"), F.col("_ord").alias("_lo"),
                  *[F.col(c).alias(left_prefix + c) for c in lcols])
     R = R.select(F.col(key).alias("_rk"), F.col("_ord").alias("_ro"),

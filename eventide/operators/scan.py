@@ -21,6 +21,14 @@ the row in its key.  Running sums/mins/maxes (also over structs, e.g. the
 latest (ts, seq) of some kind of event) combine the same way, forwards
 (``after=False``: rows before) or backwards (``after=True``: rows after).
 
+Hot buckets: with ``fine`` given, per-(key, bucket) row counts are taken
+first (a partial aggregate, one row per bucket); buckets holding more than
+``hot_rows`` rows are refined to the ``fine`` sub-bucket (e.g. the second of
+``ts``).  Sub-buckets lie inside their bucket, so the bucket order stays
+monotone and results are unchanged.  The hot list has at most
+rows / ``hot_rows`` entries - a proven bound - and is broadcast, so no row
+is shuffled by its hot key to find out.
+
 The key columns are packed into one struct column for partitioning and the
 join back: a struct is never null and compares null fields as equal, so a
 null key (e.g. a missing behaviour) is a key like any other.
@@ -52,6 +60,20 @@ class Running(NamedTuple):
 _AGG = {"sum": F.sum, "max": F.max, "min": F.min}
 
 
+def materialize(df: DataFrame) -> DataFrame:
+    """Cut lineage: write ``df`` once to the session's reliable checkpoint folder.
+
+    ``ordered_scan`` reads its input up to three times (hot-bucket counts,
+    bucket totals, the window pass).  Spark plans are trees, so when that input
+    is itself a shuffle result it would be recomputed per read; a reliable
+    checkpoint (``spark.checkpoint.dir``, shared storage on a cluster) computes
+    it once and survives executor loss.
+    """
+    from eventide.session import checkpoint_dir
+    checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
 def time_bucket(ts, width) -> Column:
     """A bucket column for ``ordered_scan``: the start of the tumbling window of ``width``."""
     return F.window(col(ts), interval_str(width)).start
@@ -68,7 +90,8 @@ def _combine(kind, other: Column, local: Column) -> Column:
 def ordered_scan(df: DataFrame, keys: list[str], order: list[Column], bucket: Column,
                  running: list[Running] = (), pos: str | None = "pos",
                  window_cols: dict[str, Callable[[WindowSpec], Column]] | None = None,
-                 bucket_info: bool = False) -> DataFrame:
+                 bucket_info: bool = False, fine: Column | None = None,
+                 hot_rows: int = 4_000_000) -> DataFrame:
     """Add ``pos`` (1-based position in key) and the ``running`` aggregates to every row.
 
     ``window_cols`` are extra columns computed over the in-bucket window spec
@@ -84,6 +107,11 @@ def ordered_scan(df: DataFrame, keys: list[str], order: list[Column], bucket: Co
         keys = ["_scan_k"]
     else:
         keys = []
+    if fine is not None:
+        hot = (d.groupBy(*keys, B).agg(F.count(F.lit(1)).alias("_hn")).filter(F.col("_hn") > hot_rows)
+               .select(*keys, B, F.lit(True).alias("_hot")))
+        d = (d.join(F.broadcast(hot), on=[*keys, B], how="left")
+             .withColumn(B, F.when(F.col("_hot"), fine).otherwise(F.col(B))).drop("_hot"))
     for r in running:
         d = d.withColumn(f"_sv_{r.name}", r.expr)
     w = Window.partitionBy(*keys, B).orderBy(*order)

@@ -25,7 +25,7 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from eventide.operators.scan import Running, ordered_scan, time_bucket
+from eventide.operators.scan import Running, materialize, ordered_scan, time_bucket
 from eventide.timeutil import col, interval_str, seconds, ts_type
 
 # Messages of the surveyed detectors.
@@ -41,13 +41,23 @@ STATUS_PAY_FIRST = "pay successfully"
 STATUS_NO_CREATE = "payed but not found create"
 
 
+# A (key, bucket) with more rows than this is split into 1-second sub-buckets.
+HOT_ROWS = 4_000_000
+FINE_BUCKET = "1 second"
+
+
+def _fine(ts, hot_rows):
+    return {"fine": time_bucket(ts, FINE_BUCKET), "hot_rows": hot_rows} if hot_rows else {}
+
+
 def _is(pred) -> Column:
     return F.coalesce(pred, F.lit(False)).cast("int")
 
 
 def consecutive_run(df: DataFrame, n: int = 8, key: str = "user_id",
                     pred: Column | None = None, within=None, inclusive: bool = True,
-                    ts: str = "ts", seq: str = "seq", bucket="1 hour", msg: str | None = None) -> DataFrame:
+                    ts: str = "ts", seq: str = "seq", bucket="1 day", msg: str | None = None,
+                    hot_rows: int = HOT_ROWS) -> DataFrame:
     """Every run of ``n`` directly consecutive matching events (overlapping matches).
 
     A run of r matching events yields r - n + 1 rows (first and last event
@@ -56,13 +66,13 @@ def consecutive_run(df: DataFrame, n: int = 8, key: str = "user_id",
     One bucketed scan: a row whose n-row frame lies inside its bucket is
     decided by in-bucket window frames; only the first n-1 rows of a bucket
     look up the row n-1 places back, among the last n-1 rows of earlier
-    buckets - a join of at most 2(n-1) rows per (key, bucket).
+    buckets - a grouping of at most 2(n-1) rows per (key, bucket).
     """
     pred = F.col("login_state") == "fail" if pred is None else pred
     hit = _is(pred)
     frame = (lambda w: w.rowsBetween(-(n - 1), 0))
     s = ordered_scan(df, [key], [F.col(ts), F.col(seq)], time_bucket(ts, bucket),
-                     running=[Running("_cum", "sum", hit)], bucket_info=True,
+                     running=[Running("_cum", "sum", hit)], bucket_info=True, **_fine(ts, hot_rows),
                      window_cols={"_nf": lambda w: F.sum(hit).over(frame(w)),
                                   "_first": lambda w: F.first(F.col(ts)).over(frame(w))})
     is_hit = F.coalesce(pred, F.lit(False))
@@ -75,19 +85,35 @@ def consecutive_run(df: DataFrame, n: int = 8, key: str = "user_id",
 
     text = msg if msg is not None else (
         PAIR_MSG.format(window=int(seconds(within)), n=n) if within is not None else RUN_MSG.format(n=n))
-    inside = (s.filter(is_hit & (F.col("_b_rn") >= n) & (F.col("_nf") == n)
-                       & bounded(F.col("_first"), F.col(ts)))
-              .select(key, F.col("_first").alias("first_fail_ts"), F.col(ts).alias("last_fail_ts")))
-    heads = s.filter(is_hit & (F.col("_b_rn") < n) & (F.col("pos") >= n)).select(
-        F.col(key).alias("_hk"), F.col("pos").alias("_hp"), F.col(ts).alias("_ht"), F.col("_cum").alias("_hc"))
-    tails = s.filter(F.col("_b_rn") > F.col("_b_n") - (n - 1)).select(
-        F.col(key).alias("_tk"), F.col("pos").alias("_tp"), F.col(ts).alias("_tt"), F.col("_cum").alias("_tc"),
-        hit.alias("_th"))
-    edge = (heads.join(tails, (F.col("_hk") == F.col("_tk")) & (F.col("_tp") == F.col("_hp") - (n - 1)))
-            .filter((F.col("_hc") - F.col("_tc") + F.col("_th") == n) & bounded(F.col("_tt"), F.col("_ht")))
-            .select(F.col("_hk").alias(key), F.col("_tt").alias("first_fail_ts"),
-                    F.col("_ht").alias("last_fail_ts")))
-    return inside.unionByName(edge).withColumn("msg", F.lit(text))
+    # One consumer of the scan (so its shuffle runs once): every row emits at most
+    #   M - a match decided inside its bucket (target -pos, alone in its group),
+    #   H - a bucket head that needs the row n-1 places back (target pos),
+    #   T - a bucket tail, offered to the head n-1 places ahead (target pos + n - 1);
+    # one groupBy(key, target) pairs heads with tails.
+    rec = "struct<role:string,tgt:bigint,t0:{tt},t1:{tt},cum:bigint,hit:int>".format(tt=ts_type(df, ts))
+    pos, rn, bn, cum = F.col("pos"), F.col("_b_rn"), F.col("_b_n"), F.col("_cum")
+
+    def mk(role, tgt, t0, t1):
+        return F.struct(F.lit(role).alias("role"), tgt.cast("bigint").alias("tgt"), t0.alias("t0"), t1.alias("t1"),
+                        cum.cast("bigint").alias("cum"), hit.alias("hit"))
+
+    recs = F.filter(F.array(
+        F.when(is_hit & (rn >= n) & (F.col("_nf") == n) & bounded(F.col("_first"), F.col(ts)),
+               mk("M", -pos, F.col("_first"), F.col(ts))),
+        F.when(is_hit & (rn < n) & (pos >= n), mk("H", pos, F.col(ts), F.col(ts))),
+        F.when(rn > bn - (n - 1), mk("T", pos + (n - 1), F.col(ts), F.col(ts)))).cast(f"array<{rec}>"),
+        lambda x: x.isNotNull())
+    x = s.select(key, F.explode(recs).alias("r"))
+    g = x.groupBy(key, F.col("r.tgt").alias("_tgt")).agg(
+        F.max(F.when(F.col("r.role") == "M", F.col("r"))).alias("m"),
+        F.max(F.when(F.col("r.role") == "H", F.col("r"))).alias("h"),
+        F.max(F.when(F.col("r.role") == "T", F.col("r"))).alias("t"))
+    edge_ok = (F.col("h").isNotNull() & F.col("t").isNotNull()
+               & (F.col("h.cum") - F.col("t.cum") + F.col("t.hit") == n) & bounded(F.col("t.t0"), F.col("h.t1")))
+    out = g.filter(F.col("m").isNotNull() | edge_ok).select(
+        key, F.coalesce(F.col("m.t0"), F.col("t.t0")).alias("first_fail_ts"),
+        F.coalesce(F.col("m.t1"), F.col("h.t1")).alias("last_fail_ts"))
+    return out.withColumn("msg", F.lit(text))
 
 
 def consecutive_pairs(df: DataFrame, window="2 seconds", key: str = "user_id", pred: Column | None = None,
@@ -97,7 +123,8 @@ def consecutive_pairs(df: DataFrame, window="2 seconds", key: str = "user_id", p
 
 
 def fail_bursts(df: DataFrame, window="2 seconds", min_fails: int = 2, key: str = "user_id",
-                pred: Column | None = None, ts: str = "ts", seq: str = "seq", bucket="1 hour") -> DataFrame:
+                pred: Column | None = None, ts: str = "ts", seq: str = "seq", bucket="1 day",
+                hot_rows: int = HOT_ROWS) -> DataFrame:
     """Greedy bursts.  The first fail at t opens a burst of the fails in
     [t, t + window]; a success in that range discards it; at t + window the
     burst is reported if it holds at least ``min_fails`` fails.  The next burst
@@ -116,16 +143,17 @@ def fail_bursts(df: DataFrame, window="2 seconds", min_fails: int = 2, key: str
     tt = ts_type(df, ts)
     is_fail = F.coalesce(pred, F.lit(False))
     ev = F.struct(F.col(ts).alias("t"), F.col(seq).alias("s"))
-    s = ordered_scan(df, [key], [F.col(ts), F.col(seq)], time_bucket(ts, bucket), pos=None, running=[
+    s = ordered_scan(df, [key], [F.col(ts), F.col(seq)], time_bucket(ts, bucket), pos=None,
+                     **_fine(ts, hot_rows), running=[
         Running("_last_fail", "max", F.when(is_fail, ev), inclusive=False),
         Running("_last_succ", "max", F.when(~is_fail, ev), inclusive=False),
         Running("_next_succ", "min", F.when(~is_fail, F.col(ts)), inclusive=False, after=True)])
     lf, ls = F.col("_last_fail"), F.col("_last_succ")
     brk = (lf.isNull() | (ls.isNotNull() & (ls > lf))
            | (F.col(ts) > lf["t"] + F.expr(iv))).cast("int")
-    fails = s.filter(is_fail).select(key, ts, seq, "_next_succ", brk.alias("_brk"))
+    fails = materialize(s.filter(is_fail).select(key, ts, seq, "_next_succ", brk.alias("_brk")))
     seg = ordered_scan(fails, [key], [F.col(ts), F.col(seq)], time_bucket(ts, bucket), pos=None,
-                       running=[Running("_seg", "sum", F.col("_brk"))])
+                       running=[Running("_seg", "sum", F.col("_brk"))], **_fine(ts, hot_rows))
     groups = (seg.groupBy(key, "_seg")
               .agg(F.sort_array(F.collect_list(F.struct(F.col(ts).alias("ts"), F.col(seq).alias("seq"))))
                    .alias("_evs"), F.max("_next_succ").alias("_close_ts")))
@@ -156,7 +184,7 @@ class FollowedBy(NamedTuple):
 
 def followed_by(df: DataFrame, within="15 minutes", key: str = "order_id",
                 first: Column | None = None, then: Column | None = None, ts: str = "ts", seq: str = "seq",
-                bucket="1 day") -> FollowedBy:
+                bucket="1 day", hot_rows: int = HOT_ROWS) -> FollowedBy:
     """Each ``first`` event matched with the first later ``then`` event of its
     key if it comes less than ``within`` after it; otherwise a timeout at first + within.
 
@@ -165,7 +193,8 @@ def followed_by(df: DataFrame, within="15 minutes", key: str = "order_id",
     """
     first = F.col("event_type") == "create" if first is None else first
     then = F.col("event_type") == "pay" if then is None else then
-    s = ordered_scan(df, [key], [F.col(ts), F.col(seq)], time_bucket(ts, bucket), pos=None, running=[
+    s = ordered_scan(df, [key], [F.col(ts), F.col(seq)], time_bucket(ts, bucket), pos=None,
+                     **_fine(ts, hot_rows), running=[
         Running("pay_ts", "min", F.when(F.coalesce(then, F.lit(False)), F.col(ts)), inclusive=False, after=True)])
     j = s.filter(F.coalesce(first, F.lit(False))).select(key, F.col(ts).alias("create_ts"), "pay_ts")
     deadline = F.col("create_ts") + F.expr(f"INTERVAL {interval_str(within)}")

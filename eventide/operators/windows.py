@@ -29,7 +29,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from eventide.operators.scan import Running, ordered_scan, time_bucket
+from eventide.operators.scan import Running, materialize, ordered_scan, time_bucket
 from eventide.timeutil import interval_str, seconds
 
 
@@ -57,7 +57,7 @@ def _delta(df, keys, ts, size, slide, out, bucket="1 hour"):
     changes = panes.select(*keys, F.explode(F.array(
         F.struct((F.col("_pane") + step).alias("t"), F.col("_c").alias("d")),
         F.struct((F.col("_pane") + span + step).alias("t"), (-F.col("_c")).alias("d")))).alias("_x"))
-    merged = (changes.groupBy(*keys, F.col("_x.t").alias("_t")).agg(F.sum("_x.d").alias("_d")))
+    merged = materialize(changes.groupBy(*keys, F.col("_x.t").alias("_t")).agg(F.sum("_x.d").alias("_d")))
     s = ordered_scan(merged, keys, [F.col("_t")], time_bucket("_t", bucket), pos=None, running=[
         Running("_n", "sum", F.col("_d")),
         Running("_next", "min", F.col("_t"), inclusive=False, after=True)])

@@ -107,3 +107,26 @@ def test_followed_by_and_status(spark):
     st = dict(rows(order_payment_status(df, "900 seconds"), "order_id", "result"))
     assert st == {1: "payed successfully", 2: "timeout", 3: "payed but timeout", 4: "pay successfully",
                   5: "payed but not found create"}
+
+
+def test_hot_bucket_refinement_keeps_results(spark):
+    """hot_rows=2 marks nearly every (user, hour) hot: the 1-second sub-buckets must not change results."""
+    lg = Fixtures(spark, SF_MID).login
+    assert rows(consecutive_run(lg, 3, bucket="1 day", hot_rows=2)) == rows(consecutive_run(lg, 3, hot_rows=0))
+    assert rows(fail_bursts(lg, "24 hours", 2, bucket="30 days", hot_rows=2)) == rows(fail_bursts(lg, "24 hours", 2))
+    oe = Fixtures(spark, SF_MID).order_events
+    assert rows(followed_by(oe, "900 seconds", bucket="365 days", hot_rows=1).matched) == rows(
+        followed_by(oe, "900 seconds").matched)
+
+
+def test_hot_key_is_split_across_buckets(spark):
+    """One user owns most rows, all inside one hour: the plan refines it and stays exact."""
+    import random
+    rnd = random.Random(5)
+    evs = [(i, 1, "x", "fail" if rnd.random() < 0.6 else "success", T0 + dt.timedelta(milliseconds=250 * i))
+           for i in range(4000)]
+    evs += [(5000 + i, 2, "x", "fail", T0 + dt.timedelta(seconds=i)) for i in range(10)]
+    df = spark.createDataFrame(evs, "seq long, user_id long, ip string, login_state string, ts timestamp_ntz")
+    fine = rows(consecutive_run(df, 3, hot_rows=100))
+    coarse = rows(consecutive_run(df, 3, hot_rows=0))
+    assert fine == coarse and len(fine) > 100
