@@ -122,9 +122,13 @@ def consecutive_pairs(df: DataFrame, window="2 seconds", key: str = "user_id", p
     return consecutive_run(df, 2, key, pred, within=window, inclusive=inclusive, **kw)
 
 
+# Segments longer than this are resolved by pointer doubling instead of one fold.
+LONG_SEGMENT = 100_000
+
+
 def fail_bursts(df: DataFrame, window="2 seconds", min_fails: int = 2, key: str = "user_id",
                 pred: Column | None = None, ts: str = "ts", seq: str = "seq", bucket="1 day",
-                hot_rows: int = HOT_ROWS) -> DataFrame:
+                hot_rows: int = HOT_ROWS, long_segment: int = LONG_SEGMENT) -> DataFrame:
     """Greedy bursts.  The first fail at t opens a burst of the fails in
     [t, t + window]; a success in that range discards it; at t + window the
     burst is reported if it holds at least ``min_fails`` fails.  The next burst
@@ -134,8 +138,12 @@ def fail_bursts(df: DataFrame, window="2 seconds", min_fails: int = 2, key: str
     fail / success and the next success; a fail starts a new segment when no
     fail precedes it since the last success or the gap exceeds ``window`` (a
     burst never spans such a break).  Pass 2 (bucketed scan over fails)
-    numbers the segments; each segment is folded JVM-side with ``aggregate``.
-    A segment is a run of fails with no success and no gap over ``window``.
+    numbers the segments and the fails.  A segment of at most ``long_segment``
+    fails is folded JVM-side with ``aggregate``; longer ones (a bot failing
+    without pause) are resolved exactly by pointer doubling over
+    "next anchor" links (``_long_segment_bursts``), so no task gathers an
+    unbounded group.  The long-segment list is at most rows / long_segment
+    entries and is broadcast.
     """
     pred = F.col("login_state") == "fail" if pred is None else pred
     w = int(seconds(window))
@@ -152,9 +160,13 @@ def fail_bursts(df: DataFrame, window="2 seconds", min_fails: int = 2, key: str
     brk = (lf.isNull() | (ls.isNotNull() & (ls > lf))
            | (F.col(ts) > lf["t"] + F.expr(iv))).cast("int")
     fails = materialize(s.filter(is_fail).select(key, ts, seq, "_next_succ", brk.alias("_brk")))
-    seg = ordered_scan(fails, [key], [F.col(ts), F.col(seq)], time_bucket(ts, bucket), pos=None,
-                       running=[Running("_seg", "sum", F.col("_brk"))], **_fine(ts, hot_rows))
-    groups = (seg.groupBy(key, "_seg")
+    seg = materialize(ordered_scan(fails, [key], [F.col(ts), F.col(seq)], time_bucket(ts, bucket), pos="_ford",
+                                   running=[Running("_seg", "sum", F.col("_brk"))], **_fine(ts, hot_rows)))
+    stats = seg.groupBy(key, "_seg").agg(F.count(F.lit(1)).alias("_n"), F.min("_ford").alias("_s"),
+                                         F.max("_ford").alias("_e"), F.max("_next_succ").alias("_close"))
+    long_list = materialize(stats.filter(F.col("_n") > long_segment))
+    short = seg.join(F.broadcast(long_list.select(key, "_seg")), [key, "_seg"], "left_anti")
+    groups = (short.groupBy(key, "_seg")
               .agg(F.sort_array(F.collect_list(F.struct(F.col(ts).alias("ts"), F.col(seq).alias("seq"))))
                    .alias("_evs"), F.max("_next_succ").alias("_close_ts")))
     burst_t = f"struct<first_fail_ts:{tt},last_fail_ts:{tt},fail_count:int>"
@@ -171,10 +183,57 @@ def fail_bursts(df: DataFrame, window="2 seconds", min_fails: int = 2, key: str
       END,
       acc -> CASE WHEN acc.cnt >= {min_fails} AND (_close_ts IS NULL OR _close_ts > acc.anchor + {iv})
                   THEN {emit} ELSE acc.out END)"""
-    out = groups.select(key, F.explode(F.expr(fold)).alias("_b"))
-    return out.select(key, "_b.first_fail_ts", "_b.last_fail_ts", "_b.fail_count",
-                      F.concat(F.lit(f"login fail in {w}s for "), F.col("_b.fail_count").cast("string"),
-                               F.lit("tiems")).alias("msg"))
+    out = (groups.select(key, F.explode(F.expr(fold)).alias("_b"))
+           .select(key, "_b.first_fail_ts", "_b.last_fail_ts", "_b.fail_count"))
+    if not long_list.isEmpty():
+        out = out.unionByName(_long_segment_bursts(seg, long_list, key, ts, w, min_fails, bucket, hot_rows))
+    return out.withColumn("msg", F.concat(F.lit(f"login fail in {w}s for "), F.col("fail_count").cast("string"),
+                                          F.lit("tiems")))
+
+
+def _long_segment_bursts(seg: DataFrame, long_list: DataFrame, key: str, ts: str, w: int, min_fails: int,
+                         bucket, hot_rows) -> DataFrame:
+    """Exact greedy anchors of long segments by pointer doubling.
+
+    nxt(f) = the first fail of the segment after f.ts + window (a probe scan:
+    fails and probes at f.ts + window in one bucketed scan, counting fails).
+    Anchors are the segment start and its nxt-chain.  J_0 = nxt,
+    J_k+1 = J_k o J_k (an equi-join on unique (key, ordinal)); expanding the
+    start through J_K .. J_0 visits every chain distance 0 .. 2^(K+1) - 1.
+    log2(chain length) rounds, each a join over the long segments' fails;
+    every round is checkpointed so plans stay small.
+    """
+    iv = F.expr(f"INTERVAL {w} seconds")
+    f = seg.join(F.broadcast(long_list), [key, "_seg"]).select(key, "_seg", "_ford", ts, "_s", "_e", "_close")
+    ev = f.select(key, "_seg", F.col(ts).alias("_t"), F.lit(0).alias("_kind"), F.col("_ford").alias("_src"),
+                  "_s", "_e")
+    probes = f.select(key, "_seg", (F.col(ts) + iv).alias("_t"), F.lit(1).alias("_kind"),
+                      F.col("_ford").alias("_src"), "_s", "_e")
+    sc = ordered_scan(ev.unionByName(probes), [key, "_seg"], [F.col("_t"), F.col("_kind"), F.col("_src")],
+                      time_bucket("_t", bucket), pos=None, fine=time_bucket("_t", FINE_BUCKET), hot_rows=hot_rows,
+                      running=[Running("_cnt", "sum", (F.col("_kind") == 0).cast("long"))])
+    nxt = F.col("_s") + F.col("_cnt")
+    j = materialize(sc.filter(F.col("_kind") == 1).select(
+        key, F.col("_src").alias("_ford"), F.when(nxt <= F.col("_e"), nxt).alias("_nxt")))
+    levels = [j]
+    while not levels[-1].filter(F.col("_nxt").isNotNull()).isEmpty():
+        a, b = levels[-1].alias("a"), levels[-1].alias("b")
+        levels.append(materialize(a.join(b, (F.col(f"a.{key}") == F.col(f"b.{key}"))
+                                         & (F.col("a._nxt") == F.col("b._ford")), "left")
+                                  .select(F.col(f"a.{key}").alias(key), F.col("a._ford"), F.col("b._nxt"))))
+    anchors = long_list.select(key, F.col("_s").alias("_ford"))
+    for lv in reversed(levels[:-1]):
+        step = anchors.join(lv, [key, "_ford"]).filter(F.col("_nxt").isNotNull()).select(
+            key, F.col("_nxt").alias("_ford"))
+        anchors = materialize(anchors.unionByName(step))
+    a = (anchors.join(f, [key, "_ford"]).join(j, [key, "_ford"])
+         .select(key, "_ford", F.col(ts).alias("first_fail_ts"), "_nxt", "_e", "_close"))
+    end = F.coalesce(F.col("_nxt") - 1, F.col("_e"))
+    a = a.withColumn("_end", end).withColumn("fail_count", (end - F.col("_ford") + 1).cast("int"))
+    last = f.select(key, F.col("_ford").alias("_end"), F.col(ts).alias("last_fail_ts"))
+    keep = (F.col("fail_count") >= min_fails) & (
+        F.col("_nxt").isNotNull() | F.col("_close").isNull() | (F.col("_close") > F.col("first_fail_ts") + iv))
+    return a.join(last, [key, "_end"]).filter(keep).select(key, "first_fail_ts", "last_fail_ts", "fail_count")
 
 
 class FollowedBy(NamedTuple):

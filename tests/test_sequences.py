@@ -130,3 +130,23 @@ def test_hot_key_is_split_across_buckets(spark):
     fine = rows(consecutive_run(df, 3, hot_rows=100))
     coarse = rows(consecutive_run(df, 3, hot_rows=0))
     assert fine == coarse and len(fine) > 100
+
+
+@pytest.mark.parametrize("sf", ["/root/testdata/sf0.001", SF_MID])
+def test_long_segments_by_pointer_doubling(spark, sf):
+    """Forcing every segment longer than one fail through pointer doubling gives the fold's answer."""
+    lg = Fixtures(spark, sf).login
+    cols = ["user_id", "first_fail_ts", "last_fail_ts", "fail_count", "msg"]
+    folded = rows(fail_bursts(lg, "24 hours", 2), *cols)
+    doubled = rows(fail_bursts(lg, "24 hours", 2, long_segment=1), *cols)
+    assert doubled == folded and len(folded) > 0
+
+
+def test_pointer_doubling_on_a_bot(spark):
+    """One user failing every 0.7 s for a long time: chains of interleaving candidates."""
+    evs = [(i, 1, "x", "fail", T0 + dt.timedelta(milliseconds=700 * i)) for i in range(600)]
+    evs += [(600, 1, "x", "success", T0 + dt.timedelta(milliseconds=700 * 599 + 900))]
+    df = spark.createDataFrame(evs, "seq long, user_id long, ip string, login_state string, ts timestamp_ntz")
+    expected = python_bursts([(r[4], r[3] == "fail") for r in evs], dt.timedelta(seconds=2), 2)
+    got = rows(fail_bursts(df, "2 seconds", 2, long_segment=10), "first_fail_ts", "last_fail_ts", "fail_count")
+    assert got == sorted(expected)
