@@ -7,10 +7,9 @@ closes it, and equal the batch result for closed windows.
 * sliding / tumbling counts: ``groupBy(window(ts, size, slide), keys)``; for
   small slides the pane form chains a second windowed aggregation over the
   pane's ``window_time`` ([V8]).
-* top-N: ``row_number`` is not allowed on streams ([V1]); a chained
-  aggregation keeps, per window, the sorted (count, key) pairs and slices the
-  first n.  Its state per window is bounded by distinct keys of the window,
-  not by events.
+* top-N: ``row_number`` is not allowed on streams ([V1]); chained
+  aggregations keep the top n per (window, key salt), then merge at most
+  salts * n candidates per window.
 * distinct visitors: ``countDistinct`` is not allowed on streams; the
   two-level aggregation (window, user) -> window is exact ([V2]).
 * matching: stream-stream full outer join on key + time range ([V9]); Spark
@@ -42,11 +41,19 @@ def stream_sliding_count(df: DataFrame, keys: list[str], size, slide=None, ts: s
     return agg.select(*(["window"] if keep_window else []), *cols)
 
 
-def stream_top_n(counts_with_window: DataFrame, n: int, key: str) -> DataFrame:
-    """Chained aggregation: per closed window, the first n of (count desc, key asc)."""
-    top = (counts_with_window.groupBy("window")
-           .agg(F.slice(F.sort_array(F.collect_list(F.struct((-F.col("cnt")).alias("neg"), F.col(key).alias("k")))),
-                        1, n).alias("_top")))
+def stream_top_n(counts_with_window: DataFrame, n: int, key: str, salts: int = 32) -> DataFrame:
+    """Chained aggregations: per closed window, the first n of (count desc, key asc).
+
+    ``row_number`` is not allowed on streams.  Stage 1 keeps the top n per
+    (window, xxhash64(key) mod ``salts``) - each group holds 1/salts of the
+    window's keys; stage 2 merges at most salts * n candidates per window.
+    """
+    pair = F.struct((-F.col("cnt")).alias("neg"), F.col(key).alias("k"))
+    salt = F.pmod(F.xxhash64(F.col(key)), F.lit(salts))
+    part = (counts_with_window.groupBy("window", salt.alias("_salt"))
+            .agg(F.slice(F.sort_array(F.collect_list(pair)), 1, n).alias("_part")))
+    top = (part.groupBy("window")
+           .agg(F.slice(F.sort_array(F.flatten(F.collect_list("_part"))), 1, n).alias("_top")))
     ranked = top.select(F.col("window.end").alias("window_end"), F.posexplode("_top").alias("_i", "_e"))
     return ranked.select("window_end", (F.col("_i") + 1).cast("int").alias("rank"), F.col("_e.k").alias(key),
                          (-F.col("_e.neg")).alias("cnt"))
