@@ -38,3 +38,13 @@ def test_late_rows(spark):
     sp = split_late(df, "10 minutes", "1 minute", "1 minute", "1 minute")
     assert rows(sp.late, "seq") == [(2,)]
     assert rows(sp.on_time, "seq") == [(0,), (1,), (3,)]
+
+
+def test_late_rows_small_buckets(spark):
+    def at(s):
+        return T0 + dt.timedelta(seconds=s)
+    evs = [(i, at(i * 10), "/a") for i in range(50)] + [(50, at(5), "/b"), (51, at(600), "/c")]
+    df = spark.createDataFrame(evs, "seq long, ts timestamp_ntz, url string")
+    for rpb in (1, 3, 1 << 20):
+        sp = split_late(df, "1 minute", "10 seconds", "0 seconds", "0 seconds", rows_per_bucket=rpb)
+        assert rows(sp.late, "seq") == [(50,)]
