@@ -45,3 +45,13 @@ def wm_safe_filter(df: DataFrame, pred: Column, ts: str = "ts") -> DataFrame:
     keeps it above.  On batch DataFrames this is an ordinary filter.
     """
     return df.filter(F.when(F.col(ts).isNull(), F.lit(False)).otherwise(F.coalesce(pred, F.lit(False))))
+
+
+def filter_behavior(df: DataFrame, value: str = "pv", column: str = "behavior") -> DataFrame:
+    """F1 as a DataFrame operator: keep rows whose behaviour equals ``value``."""
+    return df.filter(equals_value(column, value))
+
+
+def exclude_behavior(df: DataFrame, value: str = "UNINSTALL", column: str = "behavior") -> DataFrame:
+    """F2 as a DataFrame operator: drop rows whose behaviour equals ``value``; null behaviour is kept."""
+    return df.filter(not_equals_null_safe(column, value))

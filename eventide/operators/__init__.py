@@ -1,9 +1,9 @@
-from eventide.operators.scan import Running, ordered_scan, time_bucket
+from eventide.operators.scan import Running, materialize, ordered_scan, time_bucket
 from eventide.operators.windows import sliding_count, tumbling_count, salted_count, rollup_profile
 from eventide.operators.ranking import top_n_per_window
 from eventide.operators.distinct import (unique_visitors, unique_visitors_bitmap, running_unique_visitors,
                                          unique_visitors_hll, hll_sketches)
-from eventide.operators.capping import Capped, cap_per_key
+from eventide.operators.capping import Capped, blacklist_warnings, cap_per_key
 from eventide.operators.sequences import (consecutive_run, consecutive_pairs, fail_bursts, followed_by,
                                           order_payment_status, FollowedBy)
 from eventide.operators.matching import Matched, interval_match

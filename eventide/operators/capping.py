@@ -43,3 +43,8 @@ def cap_per_key(df: DataFrame, keys: list[str], cap: int = 100, ts: str = "ts",
     warnings = ranked.filter(F.col("_rn") == cap + 1).select(
         *keys, "day", F.col(ts).alias("warn_ts"), F.lit(BLACKLIST_MSG.format(cap=cap)).alias("msg"))
     return Capped(passed, warnings)
+
+
+def blacklist_warnings(df: DataFrame, keys: list[str], cap: int = 100, **kw) -> DataFrame:
+    """K2 on its own: one warning per (keys, day) at click number cap + 1."""
+    return cap_per_key(df, keys, cap, **kw).warnings

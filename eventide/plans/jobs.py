@@ -69,6 +69,15 @@ def item_view_counts_direct(spark, sf_dir):
     return item_view_counts(spark, sf_dir, strategy="direct")
 
 
+@query
+def sliding_pane_equals_direct(spark, sf_dir):
+    """A9 check on the whole table: rows where pane and direct sliding counts differ (none)."""
+    pv = _pv(_fx(spark, sf_dir))
+    d = sliding_count(pv, ["item_id"], ITEMS["size"], ITEMS["slide"], strategy="direct")
+    p = sliding_count(pv, ["item_id"], ITEMS["size"], ITEMS["slide"], strategy="pane")
+    return d.exceptAll(p).unionByName(p.exceptAll(d))
+
+
 @query
 def item_view_counts_delta(spark, sf_dir):
     return item_view_counts(spark, sf_dir, strategy="delta")

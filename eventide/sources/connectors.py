@@ -39,3 +39,8 @@ def publish_lines_writer(lines: DataFrame, servers: str, topic: str):
     """Write text lines as value-only Kafka records (batch writer, distributed)."""
     return (lines.select(F.col("value").cast("string").alias("value")).write.format("kafka")
             .option("kafka.bootstrap.servers", servers).option("topic", topic))
+
+
+def publish_lines(spark: SparkSession, path: str, servers: str, topic: str) -> None:
+    """Publish a text file's lines to a topic as value-only records (one distributed write)."""
+    publish_lines_writer(spark.read.text(path), servers, topic).save()

@@ -1,5 +1,5 @@
 from eventide.streaming.eventtime import with_event_time, wm_safe_filter
-from eventide.streaming.sinks import split_channels, write_channels, write_stream
+from eventide.streaming.sinks import SideOutputs, split_channels, write_channels, write_stream
 from eventide.streaming.twins import (stream_interval_join, stream_salted_count, stream_sliding_count, stream_top_n,
                                       stream_unique_visitors, stream_unique_visitors_hll)
 from eventide.streaming.processors import (stream_cap_per_key, stream_consecutive_run, stream_fail_bursts,

@@ -34,6 +34,14 @@ def write_stream(df: DataFrame, name: str, sink: str = "memory", mode: str = "ap
     return w.start()
 
 
+class SideOutputs(dict):
+    """Named outputs of one multi-channel result: ``SideOutputs.of(df, ['main', 'late'])['late']``."""
+
+    @classmethod
+    def of(cls, df: DataFrame, channels: list[str], column: str = "channel") -> "SideOutputs":
+        return cls(split_channels(df, channels, column))
+
+
 def split_channels(df: DataFrame, channels: list[str], column: str = "channel") -> dict[str, DataFrame]:
     """Named outputs of a multi-channel result (works on batch and streaming DataFrames)."""
     return {c: df.filter(F.col(column) == c).drop(column) for c in channels}
