@@ -42,7 +42,10 @@ def main():
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
     repeat = int(os.environ.get("BENCH_REPEAT", "3"))
     names = sys.argv[1:] or HEADLINE
-    spark = get_spark(f"local[{cpus}]", shuffle_partitions=cpus)
+    # local[N]: shuffle partitions = cores already; AQE coalescing would only cut parallelism here
+    # (on a cluster keep it on and size spark.sql.shuffle.partitions to the data).
+    spark = get_spark(f"local[{cpus}]", shuffle_partitions=cpus,
+                      extra={"spark.sql.adaptive.coalescePartitions.enabled": "false"})
     for n in names:
         run(spark, n, sf_dir)
     times = {n: round(statistics.median(run(spark, n, sf_dir) for _ in range(repeat)), 3) for n in names}

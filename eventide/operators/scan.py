@@ -101,29 +101,27 @@ def ordered_scan(df: DataFrame, keys: list[str], order: list[Column], bucket: Co
     """
     window_cols = window_cols or {}
     B, RN = "_scan_b", "_scan_rn"
-    d = df.withColumn(B, bucket)
+    first = {B: bucket, **{f"_sv_{r.name}": r.expr for r in running}}
     if keys:
-        d = d.withColumn("_scan_k", F.struct(*[F.col(k) for k in keys]))
-        keys = ["_scan_k"]
-    else:
-        keys = []
+        first["_scan_k"] = F.struct(*[F.col(k) for k in keys])
+    d = df.withColumns(first)
+    keys = ["_scan_k"] if keys else []
     if fine is not None:
         hot = (d.groupBy(*keys, B).agg(F.count(F.lit(1)).alias("_hn")).filter(F.col("_hn") > hot_rows)
                .select(*keys, B, F.lit(True).alias("_hot")))
         d = (d.join(F.broadcast(hot), on=[*keys, B], how="left")
              .withColumn(B, F.when(F.col("_hot"), fine).otherwise(F.col(B))).drop("_hot"))
-    for r in running:
-        d = d.withColumn(f"_sv_{r.name}", r.expr)
     w = Window.partitionBy(*keys, B).orderBy(*order)
-    d = d.withColumn(RN, F.row_number().over(w))
+    wcols = {RN: F.row_number().over(w)}
     for r in running:
         if r.after:
             frame = w.rowsBetween(Window.currentRow if r.inclusive else 1, Window.unboundedFollowing)
         else:
             frame = w.rowsBetween(Window.unboundedPreceding, Window.currentRow if r.inclusive else -1)
-        d = d.withColumn(f"_sl_{r.name}", _AGG[r.kind](f"_sv_{r.name}").over(frame))
+        wcols[f"_sl_{r.name}"] = _AGG[r.kind](f"_sv_{r.name}").over(frame)
     for name, fn in window_cols.items():
-        d = d.withColumn(name, fn(w))
+        wcols[name] = fn(w)
+    d = d.withColumns(wcols)
 
     tot = d.groupBy(*keys, B).agg(F.count(F.lit(1)).alias("_st_n"),
                                   *[_AGG[r.kind](f"_sv_{r.name}").alias(f"_st_{r.name}")
