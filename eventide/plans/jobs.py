@@ -23,7 +23,7 @@ from eventide.operators import (cap_per_key, consecutive_pairs, consecutive_run,
                                 top_n_per_window, tumbling_count, unique_visitors)
 from eventide.sources import Fixtures, parse_access_log, parse_ad_click, parse_login, parse_order, \
     parse_receipt, parse_user_behavior
-from eventide.timeutil import EPOCH_NTZ
+from eventide.timeutil import ntz_to_epoch_seconds
 
 # Query parameters on the fixtures (FIXTURES.md section 4).
 ITEMS = dict(size="1 hour", slide="5 minutes", n=5)
@@ -299,7 +299,7 @@ def unmatched_receipts(spark, sf_dir):
 # ---- parsers (S5-S8): raw lines rendered from the fixture views, parsed back -------------------
 
 def _epoch_s(c):
-    return F.timestamp_diff("SECOND", F.expr(EPOCH_NTZ), F.col(c)).cast("string")
+    return ntz_to_epoch_seconds(c).cast("string")
 
 
 def _lines(df: DataFrame, *cols) -> DataFrame:

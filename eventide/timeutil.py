@@ -51,16 +51,28 @@ def plus_seconds(ts, secs) -> Column:
     return col(ts) + F.make_dt_interval(secs=col(secs).cast("decimal(18,6)"))
 
 
+# NTZ <-> epoch uses plain interval arithmetic: ``timestampdiff`` on timestamp_ntz
+# applies the session zone (an hour off inside a DST gap), interval math does not.
+
 def epoch_seconds_to_ntz(c) -> Column:
-    return F.timestamp_add("SECOND", col(c), F.expr(EPOCH_NTZ))
+    return F.expr(EPOCH_NTZ) + F.make_dt_interval(secs=col(c).cast("decimal(18,6)"))
 
 
 def epoch_millis_to_ntz(c) -> Column:
-    return F.timestamp_add("MILLISECOND", col(c), F.expr(EPOCH_NTZ))
+    return F.expr(EPOCH_NTZ) + F.make_dt_interval(secs=(col(c).cast("decimal(24,6)") / 1000).cast("decimal(18,6)"))
+
+
+def _since_epoch(c) -> Column:
+    return (col(c) - F.expr(EPOCH_NTZ)).cast("interval second")
+
+
+def ntz_to_epoch_seconds(c) -> Column:
+    """Whole seconds since the epoch of a timestamp_ntz (UTC wall clock), floor for instants after 1970."""
+    return _since_epoch(c).cast("bigint")
 
 
 def ntz_to_epoch_micros(c) -> Column:
-    return F.timestamp_diff("MICROSECOND", F.expr(EPOCH_NTZ), col(c))
+    return (_since_epoch(c).cast("decimal(24,6)") * 1_000_000).cast("bigint")
 
 
 def ntz_to_instant(c) -> Column:
@@ -69,7 +81,8 @@ def ntz_to_instant(c) -> Column:
 
 
 def instant_to_ntz(c) -> Column:
-    return F.timestamp_add("MICROSECOND", F.unix_micros(col(c)), F.expr(EPOCH_NTZ))
+    secs = (F.unix_micros(col(c)).cast("decimal(24,6)") / 1_000_000).cast("decimal(18,6)")
+    return F.expr(EPOCH_NTZ) + F.make_dt_interval(secs=secs)
 
 
 def epoch_micros(c, dtype: str) -> Column:

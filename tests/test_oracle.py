@@ -35,3 +35,19 @@ def test_query_matches_duckdb(spark, con, name):
     sp = pd.DataFrame([r.asDict() for r in sdf.collect()], columns=sdf.columns)
     od = con.execute(oracle_sql()[name]).df()
     assert canon(sp) == canon(od)
+
+
+@pytest.mark.parametrize("name", ["parse_order", "parse_receipt", "order_paid", "ad_blacklist", "pay_receipt_match"])
+def test_results_do_not_depend_on_session_time_zone(spark, name):
+    """timestamp_ntz inputs: a DST-observing session zone must not shift any value (1990s DST gaps)."""
+    con = duckdb.connect()
+    for t in TABLES:
+        con.execute(f"create view {t} as select * from read_parquet('/root/testdata/sf0.01/{t}.parquet')")
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+    try:
+        sdf = queries()[name](spark, "/root/testdata/sf0.01")
+        sp = pd.DataFrame([r.asDict() for r in sdf.collect()], columns=sdf.columns)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+    assert canon(sp) == canon(con.execute(oracle_sql()[name]).df())
