@@ -40,10 +40,13 @@ def get_spark(master: str = "local[*]", shuffle_partitions: int = 8, app: str =
 
 def checkpoint_dir(spark: SparkSession) -> str:
     """Return the session's checkpoint folder; create a scratch one only if unset."""
-    d = spark.conf.get("spark.checkpoint.dir", None)
+    d = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not d:
         d = tempfile.mkdtemp(prefix="eventide-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", d)
+        try:
+            spark.conf.set("spark.checkpoint.dir", d)
+        except Exception:  # noqa: BLE001 - core conf may be read-only at runtime; the context dir below suffices
+            pass
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(d)
     return d

@@ -177,3 +177,31 @@ def test_late_rows_and_running_uv_processors(spark, ub):
     got = run(spark, stream_running_unique_visitors(spv))
     cols = ["window_end", "bit_offset", "ts", "seq", "user_id", "uv"]
     assert as_set(got, cols) == as_set(running_unique_visitors(pv), cols)
+
+
+def test_allowed_lateness_and_sinks(spark, tmp_path):
+    from eventide.streaming.sinks import write_channels, write_stream
+    from eventide.streaming.twins import stream_counts_with_lateness
+    t0 = ts("2024-01-01 00:00:00")
+    rows = [(0, "/a", t0 + dt.timedelta(seconds=10)), (1, "/a", t0 + dt.timedelta(seconds=70)),
+            (2, "/a", t0 + dt.timedelta(seconds=20)),     # 50 s late: inside 30 s delay + 60 s lateness
+            (3, "/a", FAR)]
+    df = spark.createDataFrame(rows, "seq long, url string, ts timestamp_ntz")
+    folder = tempfile.mkdtemp(prefix="lateness-")
+    write_ordered_files(df, folder, 4, "seq")
+    raw = read_ordered_files(spark, folder, df.schema)
+    counts, mode = stream_counts_with_lateness(raw, ["url"], "1 minute", "1 minute", "30 seconds", "1 minute")
+    name = "late" + next(tempfile._get_candidate_names())
+    q = write_stream(counts, name, mode=mode, checkpoint=str(tmp_path / "ck1"))
+    q.processAllAvailable()
+    q.stop()
+    got = {(r.url, r.window_end, r.cnt) for r in spark.table(name).collect()}
+    assert ("/a", t0 + dt.timedelta(minutes=1), 2) in got and ("/a", t0 + dt.timedelta(minutes=2), 1) in got
+    # named side outputs written per micro-batch
+    tagged = read_ordered_files(spark, folder, df.schema).withColumn(
+        "channel", F.when(F.col("seq") % 2 == 0, "even").otherwise("odd"))
+    q2 = write_channels(tagged, "chan", str(tmp_path / "out"), ["even", "odd"], checkpoint=str(tmp_path / "ck2"))
+    q2.processAllAvailable()
+    q2.stop()
+    even = spark.read.parquet(str(tmp_path / "out" / "even"))
+    assert sorted(r.seq for r in even.collect()) == [0, 2]
