@@ -460,7 +460,7 @@ class LateRowProcessor(StatefulProcessor):
             t = _us(r.ts)
             last_end = (t // self.slide_us) * self.slide_us + self.size_us
             late = last_end - 1000 + self.late_us <= wm_us
-            out.append(Row(**{c: r[c] for c in self.columns}, channel="late" if late else "main"))
+            out.append(Row(**{c: r[c] for c in self.columns}, watermark=_dt(wm_us), channel="late" if late else "main"))
         return iter(out)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
@@ -471,9 +471,13 @@ class LateRowProcessor(StatefulProcessor):
 
 
 def stream_split_late(df: DataFrame, size, slide, lateness="1 minute", key: str = "url") -> DataFrame:
-    """Streaming twin of ``split_late`` (input watermarked with the out-of-orderness delay)."""
+    """Streaming twin of ``split_late`` (input watermarked with the out-of-orderness delay).
+
+    ``watermark`` is the micro-batch watermark the row was judged against (the
+    batch operator uses the watermark in front of each row)."""
     cols = tuple(df.columns)
-    schema = T.StructType([df.schema[c] for c in cols] + [T.StructField("channel", T.StringType())])
+    schema = T.StructType([df.schema[c] for c in cols] + [T.StructField("watermark", T.TimestampType()),
+                                                          T.StructField("channel", T.StringType())])
     return df.groupBy(key).transformWithState(LateRowProcessor(size, slide, lateness, cols), schema, "Append",
                                               "EventTime")
 
