@@ -44,8 +44,10 @@ def _field(i: int) -> Column:
 
 
 def _parse(lines: DataFrame, n_fields: int, cols: dict[str, Column]) -> Parsed:
+    """Other input columns (e.g. an arrival ``seq``) pass through to the parsed rows."""
+    keep = [c for c in lines.columns if c != "value"]
     split = lines.withColumn("_f", F.split(F.col("value"), ","))
-    typed = split.select("value", F.size("_f").alias("_n"), *[c.alias(n) for n, c in cols.items()])
+    typed = split.select("value", *keep, F.size("_f").alias("_n"), *[c.alias(n) for n, c in cols.items()])
     ok = F.col("_n") >= n_fields
     for n in cols:
         ok = ok & F.col(n).isNotNull()
@@ -53,7 +55,7 @@ def _parse(lines: DataFrame, n_fields: int, cols: dict[str, Column]) -> Parsed:
     reason = F.when(F.col("_n") < n_fields, F.lit(f"expected {n_fields} fields"))
     for n in cols:
         reason = reason.when(F.col(n).isNull(), F.lit(f"bad {n}"))
-    rows = typed.filter(ok).select(*cols.keys())
+    rows = typed.filter(ok).select(*keep, *cols.keys())
     rejects = typed.filter(~ok).select("value", reason.alias("reason"))
     return Parsed(rows, rejects)
 
