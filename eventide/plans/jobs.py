@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from eventide.functions import (bitmap_offset, equals_value, exclude_static_assets, format_ranking,
                                 non_empty, not_equals_null_safe)
-from eventide.functions.formatting import ITEM_LABELS
+from eventide.functions.formatting import ITEM_LABELS, PAGE_LABELS
 from eventide.functions.predicates import is_static_asset
 from eventide import operators as ops
 from eventide.operators import (cap_per_key, consecutive_pairs, consecutive_run, fail_bursts, followed_by,
@@ -115,6 +115,11 @@ def hot_pages(spark, sf_dir):
     return top_n_per_window(page_view_counts(spark, sf_dir), PAGES["n"], "url")
 
 
+@query
+def format_ranking_pages(spark, sf_dir):
+    return format_ranking(hot_pages(spark, sf_dir), "url", PAGE_LABELS)
+
+
 @query
 def late_page_events(spark, sf_dir):
     fx = _fx(spark, sf_dir)

@@ -286,3 +286,12 @@ ORACLE["parse_order"] = with_fx("fx_order_events") + \
     "select order_id, event_type, tx_id, date_trunc('second', ts) as ts from fx_order_events"
 ORACLE["parse_receipt"] = with_fx("fx_receipts") + \
     "select tx_id, pay_channel, date_trunc('second', ts) as ts from fx_receipts"
+
+ORACLE["format_ranking_pages"] = "with r as (" + ORACLE["hot_pages"].replace("\n", "\n  ") + """)
+select window_end,
+  '==============================' || '窗口结束时间：'
+  || strftime(window_end - interval 1 millisecond, '%Y-%m-%d %H:%M:%S.%g') || chr(10)
+  || string_agg('NO ' || cast(rank as varchar) || '：' || '页面URL = ' || url
+                || ' 浏览量 = ' || cast(cnt as varchar) || chr(10), '' order by rank)
+  || '==========================' || chr(10) || chr(10) as text
+from r group by window_end"""

@@ -69,10 +69,18 @@ class ConsecutiveRunProcessor(StatefulProcessor):
             t = _us(r.ts)
             self.buf.appendValue((t, r.seq, r[self.column] == self.value))
             self.h.registerTimer(_ms(t))
+            if self.within_ms is not None:
+                # past last event + within no earlier fail can pair with a later one: drop the run state
+                self.h.registerTimer(_ms(t) + self.within_ms + 1)
         return iter([])
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
         wm = timerValues.getCurrentWatermarkInMs()
+        if not self.buf.exists() and self.within_ms is not None and self.recent.exists():
+            last = max(x[0] for x in self.recent.get())
+            if _ms(last) + self.within_ms < wm:
+                self.recent.clear()
+            return iter([])
         items = sorted(tuple(x) for x in self.buf.get()) if self.buf.exists() else []
         ready = [x for x in items if _ms(x[0]) <= wm]
         rest = [x for x in items if _ms(x[0]) > wm]
