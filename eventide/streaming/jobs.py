@@ -21,7 +21,8 @@ from eventide.functions.predicates import is_static_asset
 from eventide.plans import jobs as J
 from eventide.streaming.eventtime import with_event_time, wm_safe_filter
 from eventide.streaming.processors import (stream_cap_per_key, stream_consecutive_run, stream_fail_bursts,
-                                           stream_followed_by, stream_order_payment_status, stream_split_late)
+                                           stream_followed_by, stream_order_payment_status,
+                                           stream_running_unique_visitors, stream_split_late)
 from eventide.streaming.sinks import split_channels
 from eventide.streaming.twins import (stream_interval_join, stream_salted_count, stream_sliding_count, stream_top_n,
                                       stream_unique_visitors)
@@ -66,6 +67,11 @@ def hot_pages(s: Streams) -> DataFrame:
     return stream_top_n(c, J.PAGES["n"], "url")
 
 
+@stream_job
+def page_view_counts(s: Streams) -> DataFrame:
+    return stream_sliding_count(_pages(s), ["url"], J.PAGES["size"], J.PAGES["slide"])
+
+
 @stream_job
 def late_page_events(s: Streams) -> DataFrame:
     tagged = stream_split_late(_pages(s), J.PAGES["size"], J.PAGES["slide"], J.PAGES["lateness"])
@@ -92,6 +98,11 @@ def unique_visitors_bitmap(s: Streams) -> DataFrame:
     return stream_unique_visitors(_pv(s), J.HOURLY, cap=1 << 29)
 
 
+@stream_job
+def running_unique_visitors(s: Streams) -> DataFrame:
+    return stream_running_unique_visitors(_pv(s), J.HOURLY)
+
+
 def _marketing(s: Streams) -> DataFrame:
     d = with_event_time(s["marketing"], delay=ASCENDING)
     return wm_safe_filter(d, not_equals_null_safe("behavior", "UNINSTALL"))
