@@ -1,5 +1,4 @@
 import os
-import tempfile
 
 from pyspark.sql import functions as F
 

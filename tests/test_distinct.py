@@ -1,4 +1,3 @@
-from pyspark.sql import functions as F
 
 from conftest import SF_MID, rows, ts
 from eventide.operators import running_unique_visitors, unique_visitors, unique_visitors_bitmap, unique_visitors_hll

@@ -1,4 +1,3 @@
-from pyspark.sql import functions as F
 
 from eventide.functions import bitmap_offset, equals_value, is_static_asset, non_empty, not_equals_null_safe
 

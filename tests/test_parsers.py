@@ -1,4 +1,3 @@
-from pyspark.sql import functions as F
 
 from conftest import ts
 from eventide.sources import (parse_access_log, parse_ad_click, parse_login, parse_order, parse_receipt,

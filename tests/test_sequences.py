@@ -1,7 +1,6 @@
 import datetime as dt
 
 import pytest
-from pyspark.sql import functions as F
 
 from conftest import SF_MID, rows, ts
 from eventide.operators import (consecutive_pairs, consecutive_run, fail_bursts, followed_by,

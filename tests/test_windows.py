@@ -1,5 +1,4 @@
 import pytest
-from pyspark.sql import functions as F
 
 from conftest import SF_SMALL, rows, ts
 from eventide.operators import salted_count, sliding_count, top_n_per_window, tumbling_count
