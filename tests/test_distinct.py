@@ -37,3 +37,11 @@ def test_running_unique_visitors(spark):
                                "seq long, user_id long, ts timestamp_ntz")
     got = rows(running_unique_visitors(df, bucket="1 second"), "seq", "user_id", "uv")
     assert got == [(1, 5, 1), (2, 6, 2), (4, 7, 3), (5, 8, 1)]
+
+
+def test_hll_methods_agree_roughly(spark):
+    pv = Fixtures(spark, SF_MID).user_behavior
+    exact = dict(rows(unique_visitors(pv, "1 day")))
+    hllpp = dict(rows(unique_visitors_hll(pv, "1 day", method="hllpp")))
+    for w, n in exact.items():
+        assert abs(hllpp[w] - n) <= 0.05 * n + 1
