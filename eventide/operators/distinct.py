@@ -52,7 +52,7 @@ def unique_visitors_bitmap(df: DataFrame, size="1 hour", user: str = "user_id",
 
 def running_unique_visitors(df: DataFrame, size="1 hour", user: str = "user_id", ts: str = "ts",
                             seq: str = "seq", cap: int = DEFAULT_CAP, seed: int = DEFAULT_SEED,
-                            bucket="1 minute") -> DataFrame:
+                            bucket="1 minute", hot_rows: int = 4_000_000) -> DataFrame:
     """For every offset first seen in a window, the running distinct count.
 
     First sighting per (window, offset) is a partial ``min(struct(ts, seq))``;
@@ -65,7 +65,7 @@ def running_unique_visitors(df: DataFrame, size="1 hour", user: str = "user_id",
     first = materialize(d.groupBy("window_end", "bit_offset").agg(F.min("_e").alias("_f"))
                         .select("window_end", "bit_offset", "_f.ts", "_f.seq", "_f.user_id"))
     return ordered_scan(first, ["window_end"], [F.col("ts"), F.col("seq")], time_bucket("ts", bucket),
-                        pos="uv")
+                        pos="uv", fine=time_bucket("ts", "1 second"), hot_rows=hot_rows)
 
 
 def unique_visitors_hll(df: DataFrame, size="1 hour", user: str = "user_id", ts: str = "ts",

@@ -53,3 +53,10 @@ def test_top_n_plans_partial_limit(pv):
     c = sliding_count(pv.filter("behavior = 'pv'"), ["item_id"], "1 hour", "5 minutes")
     plan = top_n_per_window(c, 5, "item_id")._jdf.queryExecution().executedPlan().toString()
     assert "WindowGroupLimit" in plan
+
+
+def test_delta_with_forced_hot_refinement(pv):
+    from eventide.operators import windows as W
+    base = rows(sliding_count(pv, ["behavior"], "1 hour", "30 seconds", strategy="direct"))
+    forced = rows(W._delta(pv, ["behavior"], "ts", "1 hour", "30 seconds", "cnt", bucket="1 day", hot_rows=1))
+    assert forced == base
