@@ -4,14 +4,15 @@ A left event (pay) and a right event (receipt) match when they share the key
 and their times differ by at most ``bound`` (inclusive), one to one.  Repeated
 keys are paired by ordinal: the k-th left event of a key (in time order) may
 only match the k-th right event.  With unique keys per side (the usual case)
-that is exactly "the receipt of this pay within +-bound".  Pairing by
-ordinal keeps the join an equi-join on unique (key, ordinal) pairs, so a hot
-key cannot produce a quadratic pair set; the ordinals come from the skew-safe
-``ordered_scan``.
-
-Unmatched events of either side are returned as named side outputs.  The time
-range stays in the join condition, so a streaming twin can use the same join
-with watermarks (Spark bounds the join state with it).
+that is exactly "the receipt of this pay within +-bound".  Ordinals come from
+one skew-safe ``ordered_scan`` over both sides, and the pairing is a grouping
+on unique (key, ordinal) pairs, so a hot key can neither produce a quadratic
+pair set nor land in one task.
+
+Unmatched events of either side are returned as named side outputs.  The
+streaming twin (``streaming.twins.stream_interval_join``) is a stream-stream
+full outer join with the time range in its condition, whose state Spark bounds
+with the watermarks.
 """
 
 from __future__ import annotations
@@ -21,7 +22,7 @@ from typing import NamedTuple
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from eventide.operators.scan import ordered_scan, time_bucket
+from eventide.operators.scan import Running, ordered_scan, time_bucket
 from eventide.timeutil import interval_str
 
 
@@ -35,27 +36,41 @@ def interval_match(left: DataFrame, right: DataFrame, key: str = "tx_id", bound=
                    left_ts: str = "ts", right_ts: str = "ts", left_order: list[str] | None = None,
                    right_order: list[str] | None = None, left_prefix: str = "pay_",
                    right_prefix: str = "receipt_", bucket="1 day", hot_rows: int = 4_000_000) -> Matched:
-    lo = [left_ts] + (left_order or [c for c in left.columns if c not in (key, left_ts)])
-    ro = [right_ts] + (right_order or [c for c in right.columns if c not in (key, right_ts)])
+    """One bucketed scan over both sides, one grouping - no join.
+
+    The two inputs are unioned (side 0 / side 1) and scanned once per key in
+    (ts, side, side order) order; separate running counts give every row its
+    ordinal within its own side.  ``groupBy(key, ordinal)`` then holds at most
+    one row per side (unique pairs, so no skew), and the time bound decides
+    between a match and two unmatched rows.
+    """
+    lo = left_order or [c for c in left.columns if c not in (key, left_ts)]
+    ro = right_order or [c for c in right.columns if c not in (key, right_ts)]
     lcols = [c for c in left.columns if c != key]
     rcols = [c for c in right.columns if c != key]
-    L = ordered_scan(left, [key], [F.col(c) for c in lo], time_bucket(left_ts, bucket), pos="_ord",
-                     fine=time_bucket(left_ts, "1 second"), hot_rows=hot_rows)
-    R = ordered_scan(right, [key], [F.col(c) for c in ro], time_bucket(right_ts, bucket), pos="_ord",
-                     fine=time_bucket(right_ts, "1 second"), hot_rows=hot_rows)
-    L = L.select(F.col(key).alias("_lk"), F.col("_ord").alias("_lo"),
-                 *[F.col(c).alias(left_prefix + c) for c in lcols])
-    R = R.select(F.col(key).alias("_rk"), F.col("_ord").alias("_ro"),
-                 *[F.col(c).alias(right_prefix + c) for c in rcols])
-    lt, rt = F.col(left_prefix + left_ts), F.col(right_prefix + right_ts)
+    L = left.select(F.col(key).alias("_k"), F.col(left_ts).alias("_t"), F.lit(0).alias("_side"),
+                    *[F.col(c).alias(f"_lo{i}") for i, c in enumerate(lo)],
+                    F.struct(*[F.col(c).alias(left_prefix + c) for c in lcols]).alias("_l"))
+    R = right.select(F.col(key).alias("_k"), F.col(right_ts).alias("_t"), F.lit(1).alias("_side"),
+                     *[F.col(c).alias(f"_ro{i}") for i, c in enumerate(ro)],
+                     F.struct(*[F.col(c).alias(right_prefix + c) for c in rcols]).alias("_r"))
+    u = L.unionByName(R, allowMissingColumns=True)
+    order = [F.col("_t"), F.col("_side")] + [F.col(f"_lo{i}") for i in range(len(lo))] + \
+            [F.col(f"_ro{i}") for i in range(len(ro))]
+    s = ordered_scan(u, ["_k"], order, time_bucket("_t", bucket), pos=None,
+                     fine=time_bucket("_t", "1 second"), hot_rows=hot_rows,
+                     running=[Running("_nl", "sum", (F.col("_side") == 0).cast("long")),
+                              Running("_nr", "sum", (F.col("_side") == 1).cast("long"))])
+    ordinal = F.when(F.col("_side") == 0, F.col("_nl")).otherwise(F.col("_nr"))
+    g = (s.select("_k", ordinal.alias("_ord"), "_l", "_r").groupBy("_k", "_ord")
+         .agg(F.max("_l").alias("_l"), F.max("_r").alias("_r")))
+    lt, rt = F.col("_l." + left_prefix + left_ts), F.col("_r." + right_prefix + right_ts)
     iv = F.expr(f"INTERVAL {interval_str(bound)}")
-    cond = ((F.col("_lk") == F.col("_rk")) & (F.col("_lo") == F.col("_ro"))
-            & (rt >= lt - iv) & (rt <= lt + iv))
-    j = L.join(R, cond, "full_outer")
-    lnames = [left_prefix + c for c in lcols]
-    rnames = [right_prefix + c for c in rcols]
-    matched = j.filter(F.col("_lk").isNotNull() & F.col("_rk").isNotNull()).select(
-        F.col("_lk").alias(key), *lnames, *rnames)
-    unl = j.filter(F.col("_rk").isNull()).select(F.col("_lk").alias(key), *lnames)
-    unr = j.filter(F.col("_lk").isNull()).select(F.col("_rk").alias(key), *rnames)
+    both = F.col("_l").isNotNull() & F.col("_r").isNotNull()
+    hit = both & (rt >= lt - iv) & (rt <= lt + iv)
+    lnames = [F.col("_l." + left_prefix + c).alias(left_prefix + c) for c in lcols]
+    rnames = [F.col("_r." + right_prefix + c).alias(right_prefix + c) for c in rcols]
+    matched = g.filter(hit).select(F.col("_k").alias(key), *lnames, *rnames)
+    unl = g.filter(F.col("_l").isNotNull() & ~hit).select(F.col("_k").alias(key), *lnames)
+    unr = g.filter(F.col("_r").isNotNull() & ~hit).select(F.col("_k").alias(key), *rnames)
     return Matched(matched, unl, unr)
