@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from eventide.llm import chat, mixing, packing, quality, tokenfile, topk, toxicity
+from eventide.llm import chat, jaccard, mixing, packing, quality, tokenfile, topk, toxicity
 from eventide.llm.common import read_table, shared_dir
 
 QUERIES, ORACLE = {}, {}
@@ -61,6 +61,14 @@ def op5_topk(spark, sf_dir):
 ORACLE["op5_topk"] = topk.ORACLE
 
 
+@query
+def op7_jaccard_join(spark, sf_dir):
+    return jaccard.near_copy_classes(read_table(spark, sf_dir, "documents")).drop("n_texts")
+
+
+ORACLE["op7_jaccard_join"] = jaccard.ORACLE
+
+
 @query
 def op8_packing(spark, sf_dir):
     return packing.packing_digest(packing.pack_documents(read_table(spark, sf_dir, "documents")))
