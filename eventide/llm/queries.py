@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from eventide.llm import chat, jaccard, mixing, packing, quality, tokenfile, topk, toxicity
+from eventide.llm import chat, jaccard, linededup, mixing, packing, quality, tokenfile, topk, toxicity
 from eventide.llm.common import read_table, shared_dir
 
 QUERIES, ORACLE = {}, {}
@@ -74,6 +74,15 @@ def op8_packing(spark, sf_dir):
     return packing.packing_digest(packing.pack_documents(read_table(spark, sf_dir, "documents")))
 
 
+@query
+def op9_line_dedup(spark, sf_dir):
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    return linededup.dedup_lines(docs, counts=True)
+
+
+ORACLE["op9_line_dedup"] = linededup.ORACLE
+
+
 @query
 def op10_mixing(spark, sf_dir):
     return mixing.mix_plan_rows(mixing.plan_mix(read_table(spark, sf_dir, "documents")))
