@@ -38,16 +38,16 @@ def _enough(line: Column, n: int) -> Column:
     return line.rlike(r"(?:[^\x20\x09-\x0D]+[\x20\x09-\x0D]+){%d}[^\x20\x09-\x0D]" % (n - 1))
 
 
-def _shingles(line: Column, width: int = 5) -> Column:
-    """64-bit hashes of the line's shingles (it has at least ``width`` words)."""
-    word = F.transform(F.split(F.regexp_replace(line, EDGE, ""), SPLIT), lambda w: F.xxhash64(w))
-    return word, lambda w: F.transform(F.sequence(F.lit(0), F.size(w) - width),
-                                       lambda i: F.xxhash64(*[F.get(w, i + j) for j in range(width)]))
+def _let(value: Column, body) -> Column:
+    """``body(value)`` with the value computed once per row (plans would otherwise repeat it at every use)."""
+    return F.get(F.transform(F.array(value), body), 0)
 
 
-def _with_shingles(lines: DataFrame, width: int) -> DataFrame:
-    word, shingle = _shingles(F.col("line"), width)
-    return lines.withColumn("_w", word).withColumn("_h", shingle(F.col("_w"))).drop("_w")
+def _shingles(line: Column, width: int) -> Column:
+    """64-bit hashes of the line's shingles (it has at least ``width`` words)."""
+    word = F.transform(F.split(F.regexp_replace(line, EDGE, ""), SPLIT), lambda w: F.xxhash64(w))
+    return _let(word, lambda w: F.transform(F.sequence(F.lit(0), F.size(w) - width),
+                                            lambda i: F.xxhash64(*[F.get(w, i + j) for j in range(width)])))
 
 
 def _bucket(h, bits: int) -> Column:
@@ -61,10 +61,10 @@ def _lines(docs: DataFrame, min_words: int) -> DataFrame:
             .withColumn("k1", F.xxhash64("line")).withColumn("k2", F.xxhash64(F.lit(1), "line")))
 
 
-def _ordered(ranks: list[int]) -> Column:
+def _ordered(shingles: Column, ranks: list[int]) -> Column:
     """Tokens of a line, rarest first: rank of the bucket above 47 hash bits, so longs sort in the global order."""
-    table = F.from_json(F.lit(str(ranks)), "array<bigint>")  # folded into one literal of 2^14 entries
-    return F.sort_array(F.array_distinct(F.transform(F.col("_h"), lambda h: F.shiftleft(
+    table = F.split(F.lit(",".join(map(str, ranks))), ",").cast("array<bigint>")  # folded into one literal
+    return F.sort_array(F.array_distinct(F.transform(shingles, lambda h: F.shiftleft(
         F.get(table, _bucket(h, COUNT_BITS).cast("int")), 47).bitwiseOR(F.shiftrightunsigned(h, 17)))))
 
 
@@ -90,17 +90,19 @@ def repeated_places(docs: DataFrame, *, width: int = 5, num: int = 4, den: int =
     lines = _lines(docs, max(width, min_words))
     places = materialize(lines.groupBy("k1", "k2").agg(F.min(F.struct("doc", "th", "pos")).alias("o"),
                                                        F.count(F.lit(1)).alias("c")), "line-places")
-    tokens = _with_shingles(lines, width)
-    counted = {r["b"]: r["n"] for r in tokens.select(F.explode("_h").alias("h")).groupBy(
+    shingles = _shingles(F.col("line"), width)
+    # explode_outer: explode would add a filter that computes the shingles once more
+    counted = {r["b"]: r["n"] for r in lines.select(F.explode_outer(shingles).alias("h")).groupBy(
         _bucket("h", COUNT_BITS).alias("b")).agg(F.count(F.lit(1)).alias("n")).collect()}
     rank = {b: i for i, b in enumerate(sorted(range(1 << COUNT_BITS), key=lambda b: (counted.get(b, 0), b)))}
-    ordered = _ordered([rank[b] for b in range(1 << COUNT_BITS)])
+    ordered = _ordered(shingles, [rank[b] for b in range(1 << COUNT_BITS)])
 
     n = F.col("n")
-    index = materialize(
-        tokens.select("k1", ordered.alias("t")).withColumn("n", F.size("t"))
-        .select("k1", "n", F.posexplode(F.slice("t", F.lit(1), n - F.expr(f"({num} * n + {den - 1}) div {den}").cast("int") + 1))
-                .alias("p", "t")), "line-index")
+    prefix = _let(ordered, lambda t: F.transform(
+        F.slice(t, F.lit(1), F.size(t) - F.floor((F.size(t) * num + den - 1) / den).cast("int") + 1),
+        lambda x: F.struct(F.size(t).alias("n"), x.alias("t"))))
+    index = materialize(lines.select("k1", F.posexplode_outer(prefix).alias("p", "x"))
+                        .select("k1", "x.n", "p", "x.t"), "line-index")
     shared = materialize(index.groupBy("t").agg(F.count(F.lit(1)).alias("m")).filter("m > 1").select("t"), "line-shared")
     met = _among(index, shared, "t").join(shared, "t", "left_semi").distinct()
     met = materialize(met.join(places.select("k1", "k2", "o"), "k1"), "line-met")
@@ -110,9 +112,9 @@ def repeated_places(docs: DataFrame, *, width: int = 5, num: int = 4, den: int =
 
     alive = materialize(met.select("k1", "k2").distinct(), "line-alive")
     sets = materialize(
-        _with_shingles(_among(lines.select("k1", "k2", "line"), alive, "k1").join(alive, ["k1", "k2"], "left_semi")
-                       .dropDuplicates(["k1", "k2"]), width)
-        .select("k1", "k2", F.array_distinct("_h").alias("s")), "line-sets")
+        _among(lines.select("k1", "k2", "line"), alive, "k1").join(alive, ["k1", "k2"], "left_semi")
+        .groupBy("k1", "k2").agg(F.first("line").alias("line"))
+        .select("k1", "k2", F.array_distinct(shingles).alias("s")), "line-sets")
 
     def verified(pairs: DataFrame) -> DataFrame:
         """Distinct later lines of the pairs (k1, k2 later; e1, e2 earlier) that reach the similarity."""
