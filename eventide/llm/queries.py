@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from eventide.llm import chat, jaccard, linededup, mixing, packing, quality, tokenfile, topk, toxicity
+from eventide.llm import chat, jaccard, linededup, lm, mixing, packing, quality, tokenfile, topk, toxicity
 from eventide.llm.common import read_table, shared_dir
 
 QUERIES, ORACLE = {}, {}
@@ -61,6 +61,14 @@ def op5_topk(spark, sf_dir):
 ORACLE["op5_topk"] = topk.ORACLE
 
 
+@query
+def op6_lm_scoring(spark, sf_dir):
+    docs = read_table(spark, sf_dir, "documents")
+    scored = lm.score_documents(docs, trains=~lm.held_out(F.col("doc_id")))
+    return scored.select("doc_id", lm.held_out(F.col("doc_id")).alias("held_out"), "n_tokens", "n_known",
+                         "train_tokens", "base_score", "score")
+
+
 @query
 def op7_jaccard_join(spark, sf_dir):
     return jaccard.near_copy_classes(read_table(spark, sf_dir, "documents")).drop("n_texts")

@@ -88,24 +88,30 @@ def _chosen(lookup: np.ndarray):
             out = []
             for f in b.column(1):
                 x = lookup[np.frombuffer(f.as_py(), "<u4")]
-                out.append(x[x > 0].astype("<u4").tobytes())
+                out.append(x[x > 0].astype("<u2").tobytes())
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(out, pa.binary())], ["label", "features"])
     return run
 
 
 def fit_logistic(rows: list[np.ndarray], y: np.ndarray, weight: np.ndarray, ratio: np.ndarray, l2: float,
-                 steps: int = 150) -> tuple[np.ndarray, float]:
-    """Weighted logistic regression on presence features scaled by ``ratio``; full-batch Adam steps."""
-    size = np.array([len(r) for r in rows])
-    idx = np.concatenate(rows) if len(rows) else np.zeros(0, np.uint32)
-    owner = np.repeat(np.arange(len(rows)), size)
-    x = ratio[idx]
+                 steps: int = 120, chunk: int = 512) -> tuple[np.ndarray, float]:
+    """Weighted logistic regression on presence features scaled by ``ratio``; full-batch Adam steps, a chunk of rows
+    at a time (the work area does not grow with the sample)."""
+    parts = []
+    for at in range(0, len(rows), chunk):
+        some = rows[at:at + chunk]
+        parts.append((np.concatenate(some), np.array([len(r) for r in some]), slice(at, at + len(some))))
     w, bias = np.zeros(len(ratio)), 0.0
     m, v, total = np.zeros(len(ratio) + 1), np.zeros(len(ratio) + 1), weight.sum()
     for t in range(1, steps + 1):
-        z = np.bincount(owner, x * w[idx], len(rows)) + bias
-        err = weight * (1 / (1 + np.exp(-np.clip(z, -30, 30))) - y) / total
-        g = np.append(np.bincount(idx, err[owner] * x, len(ratio)) + l2 * w, err.sum())
+        scaled = (w * ratio).astype(np.float32)
+        g = np.append(l2 * w, 0.0)
+        for idx, size, at in parts:
+            owner = np.repeat(np.arange(len(size)), size)
+            z = np.bincount(owner, scaled[idx], len(size)) + bias
+            err = weight[at] * (1 / (1 + np.exp(-np.clip(z, -30, 30))) - y[at]) / total
+            g[:-1] += np.bincount(idx, np.repeat(err, size), len(ratio)) * ratio
+            g[-1] += err.sum()
         m, v = 0.9 * m + 0.1 * g, 0.99 * v + 0.01 * g * g
         step = 0.05 * (1 - t / (steps + 1)) * (m / (1 - 0.9 ** t)) / (np.sqrt(v / (1 - 0.99 ** t)) + 1e-8)
         w, bias = w - step[:-1], bias - step[-1]
@@ -113,8 +119,8 @@ def fit_logistic(rows: list[np.ndarray], y: np.ndarray, weight: np.ndarray, rati
 
 
 def train(docs: DataFrame, labels: DataFrame, trains: Column | None = None, id_col="doc_id", text_col="text",
-          label_col="toxic", *, per_class: int = 4000, bits: int = 18, n_features: int = 1 << 15,
-          smoothing: float = 1.0, l2: float = 1e-4) -> Model:
+          label_col="toxic", *, per_class: int = 4000, bits: int = 18, n_features: int = 1 << 11,
+          smoothing: float = 1.0, penalty: float = 5.0) -> Model:
     """``trains``: which label rows may be learned from (a condition on ``id_col``)."""
     lab = labels.filter(F.col(label_col).isNotNull() & F.col(id_col).isNotNull())
     if trains is not None:
@@ -148,11 +154,10 @@ def train(docs: DataFrame, labels: DataFrame, trains: Column | None = None, id_c
     lookup[sums.bucket.to_numpy()[best]] = np.arange(1, len(best) + 1)
     scale = np.concatenate([[0.0], ratio[best]])
     data = sample.mapInArrow(_chosen(lookup), "label int, features binary").toPandas()
-    order = np.lexsort((data.features.map(hash), data.label)) if len(data) else []
-    data = data.iloc[sorted(order)] if len(data) else data
+    data = data.sort_values(["label", "features"], ignore_index=True)  # the same sums whatever the arrival order
     y = data.label.to_numpy(np.float64)
     weight = np.where(y > 0, n[1] / got[1], n[0] / got[0])
-    w, bias = fit_logistic([np.frombuffer(f, "<u4") for f in data.features], y, weight, scale, l2)
+    w, bias = fit_logistic([np.frombuffer(f, "<u2") for f in data.features], y, weight, scale, penalty / len(y))
     return Model(lookup, (w * scale).astype(np.float32), float(bias), bits)
 
 
