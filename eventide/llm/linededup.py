@@ -7,8 +7,8 @@ more with it.  Earlier means smaller (document id, text hash, position); shorter
 1. Exact repeats: the first place of every line by a partial aggregate over line hashes; no text is shuffled.
 2. Rarity: shingles are counted over all lines into 2^14 hash buckets (a fixed size), and a line's tokens are ordered
    by their bucket's count, rarest first, then by hash: one total order for all lines, as the prefix filter needs.
-3. Prefix filter: a line of n tokens is indexed under its first n - ceil(s n) + 1 tokens only.  Tokens that a single
-   line has are dropped by a pre-aggregated count before lines meet.
+3. Prefix filter: a line of n tokens is indexed under its first n - ceil(s n) + 1 tokens only; repeats of a line are
+   pre-aggregated away first.  One shuffle by token finds the tokens that two or more different lines share.
 4. Each line first meets the earliest line of every token it is indexed under, which settles groups of near copies
    in linear work; only lines still unsettled meet the other earlier lines.  Length and positional filters cut
    candidates inside the joins; candidates are verified by exact Jaccard on whole token sets.
@@ -24,13 +24,12 @@ all other columns pass untouched, whatever their names.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from eventide.llm.common import materialize
+from eventide.llm.common import SPACES, materialize
 
 SPLIT = r"[\x20\x09-\x0D]+"
-EDGE = r"^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$"
 COUNT_BITS, FILTER_BITS = 14, 20
 
 
@@ -43,11 +42,22 @@ def _let(value: Column, body) -> Column:
     return F.get(F.transform(F.array(value), body), 0)
 
 
+def _words(line: Column) -> Column:
+    return F.split(F.btrim(line, F.lit(SPACES)), SPLIT)
+
+
 def _shingles(line: Column, width: int) -> Column:
     """64-bit hashes of the line's shingles (it has at least ``width`` words)."""
-    word = F.transform(F.split(F.regexp_replace(line, EDGE, ""), SPLIT), lambda w: F.xxhash64(w))
-    return _let(word, lambda w: F.transform(F.sequence(F.lit(0), F.size(w) - width),
-                                            lambda i: F.xxhash64(*[F.get(w, i + j) for j in range(width)])))
+    return _let(_words(line), lambda w: F.transform(F.sequence(F.lit(0), F.size(w) - width),
+                                                    lambda i: F.xxhash64(*[F.get(w, i + j) for j in range(width)])))
+
+
+def _exploded_shingles(lines: DataFrame, width: int) -> DataFrame:
+    """The same hashes as rows: compiled code without lambdas, for passes that need no grouping by line.
+    explode_outer, as explode would add a filter that splits the line once more."""
+    words = lines.select(_words(F.col("line")).alias("w"))
+    at = words.select("w", F.explode_outer(F.sequence(F.lit(0), F.size("w") - width)).alias("i"))
+    return at.select(F.xxhash64(*[F.get(F.col("w"), F.col("i") + j) for j in range(width)]).alias("h"))
 
 
 def _bucket(h, bits: int) -> Column:
@@ -68,10 +78,10 @@ def _ordered(shingles: Column, ranks: list[int]) -> Column:
         F.get(table, _bucket(h, COUNT_BITS).cast("int")), 47).bitwiseOR(F.shiftrightunsigned(h, 17)))))
 
 
-def _among(rows: DataFrame, keys: DataFrame, key: str) -> DataFrame:
-    """Rows whose key's bucket holds one of ``keys``: at most 2^20 buckets are broadcast."""
+def _among(rows: DataFrame, keys: DataFrame, key: str, how: str = "left_semi") -> DataFrame:
+    """Rows whose key's bucket holds one of ``keys`` (``left_anti``: none): at most 2^20 buckets are broadcast."""
     buckets = keys.select(_bucket(key, FILTER_BITS).alias("_f")).distinct()
-    return rows.join(F.broadcast(buckets), _bucket(key, FILTER_BITS) == F.col("_f"), "left_semi")
+    return rows.join(F.broadcast(buckets), _bucket(key, FILTER_BITS) == F.col("_f"), how)
 
 
 def _long_enough(na: Column, nb: Column, num: int, den: int) -> Column:
@@ -86,26 +96,32 @@ def _overlap_possible(na, pa, nb, pb, num: int, den: int) -> Column:
 
 def repeated_places(docs: DataFrame, *, width: int = 5, num: int = 4, den: int = 5, min_words: int = 5) -> DataFrame:
     """(doc, th, pos) of every line to remove; ``docs`` has doc, th, text."""
-    spark = docs.sparkSession
     lines = _lines(docs, max(width, min_words))
-    places = materialize(lines.groupBy("k1", "k2").agg(F.min(F.struct("doc", "th", "pos")).alias("o"),
+    where = materialize(lines.drop("line"), "line-keys")
+    places = materialize(where.groupBy("k1", "k2").agg(F.min(F.struct("doc", "th", "pos")).alias("o"),
                                                        F.count(F.lit(1)).alias("c")), "line-places")
-    shingles = _shingles(F.col("line"), width)
-    # explode_outer: explode would add a filter that computes the shingles once more
-    counted = {r["b"]: r["n"] for r in lines.select(F.explode_outer(shingles).alias("h")).groupBy(
+    counted = {r["b"]: r["n"] for r in _exploded_shingles(lines, width).groupBy(
         _bucket("h", COUNT_BITS).alias("b")).agg(F.count(F.lit(1)).alias("n")).collect()}
     rank = {b: i for i, b in enumerate(sorted(range(1 << COUNT_BITS), key=lambda b: (counted.get(b, 0), b)))}
+    shingles = _shingles(F.col("line"), width)
     ordered = _ordered(shingles, [rank[b] for b in range(1 << COUNT_BITS)])
 
+    # every line once: those in no bucket of a repeated line as they are read, the others after a grouping
+    repeated = places.filter("c > 1").select("k1")
+    text = lines.select("k1", "k2", "line")
+    once = _among(text, repeated, "k1", "left_anti").select("k1", "line")
+    many = _among(text, repeated, "k1").groupBy("k1", "k2").agg(F.first("line").alias("line")).select("k1", "line")
     n = F.col("n")
     prefix = _let(ordered, lambda t: F.transform(
         F.slice(t, F.lit(1), F.size(t) - F.floor((F.size(t) * num + den - 1) / den).cast("int") + 1),
         lambda x: F.struct(F.size(t).alias("n"), x.alias("t"))))
-    index = materialize(lines.select("k1", F.posexplode_outer(prefix).alias("p", "x"))
-                        .select("k1", "x.n", "p", "x.t"), "line-index")
-    shared = materialize(index.groupBy("t").agg(F.count(F.lit(1)).alias("m")).filter("m > 1").select("t"), "line-shared")
-    met = _among(index, shared, "t").join(shared, "t", "left_semi").distinct()
-    met = materialize(met.join(places.select("k1", "k2", "o"), "k1"), "line-met")
+    token = Window.partitionBy("t")
+    index = (once.unionByName(many).select("k1", F.posexplode_outer(prefix).alias("p", "x"))
+             .select("k1", "x.n", "p", "x.t"))
+    met = (index.withColumn("_a", F.min("k1").over(token)).withColumn("_b", F.max("k1").over(token))
+           .filter("_a <> _b").drop("_a", "_b"))
+    met = materialize(met, "line-met")
+    met = materialize(met.join(_among(places, met, "k1").select("k1", "k2", "o"), "k1"), "line-met-places")
     first = (met.groupBy("t").agg(F.min(F.struct("o", "k1", "k2", "n", "p")).alias("e"), F.count(F.lit(1)).alias("m"))
              .filter("m > 1").select("t", "e"))
     met = materialize(met.join(first, "t"), "line-groups")
@@ -138,7 +154,7 @@ def repeated_places(docs: DataFrame, *, width: int = 5, num: int = 4, den: int =
     gone = (places.join(near.withColumn("near", F.lit(True)), ["k1", "k2"], "left")
             .filter("c > 1 or near").select("k1", "k2", "o", "near"))
     gone = materialize(gone, "line-gone")
-    return (_among(lines.drop("line"), gone, "k1").join(gone, ["k1", "k2"])
+    return (_among(where, gone, "k1").join(gone, ["k1", "k2"])
             .filter(F.col("near") | (F.struct("doc", "th", "pos") != F.col("o"))).select("doc", "th", "pos"))
 
 
