@@ -59,13 +59,12 @@ def fill_targets(sources: DataFrame, weights=WEIGHTS, max_epochs: int = 3) -> Da
     s = (sources.withColumn("_w", w).withColumn("_cap", F.col("source_size") * max_epochs)
          .withColumn("_level", (F.sum("source_size").over(everything)
                                 - F.coalesce(F.sum("_cap").over(upto), F.lit(0))) / F.sum("_w").over(rest))
-         .withColumn("_open", F.col("_w") * F.col("_level") <= F.col("_cap"))
-         # the level of the first source that stays below its cap holds for it and all after it
-         .withColumn("_at", F.min(F.when(F.col("_open"), F.struct((F.col("_cap") / F.col("_w")).alias("r"),
-                                                                  F.col("_level").alias("l")))).over(everything)))
-    target = F.when(F.col("_cap") / F.col("_w") < F.col("_at.r"), F.col("_cap").cast("double")).otherwise(
-        F.least(F.col("_w") * F.col("_at.l"), F.col("_cap").cast("double")))
-    return s.withColumn("target", F.coalesce(target, F.col("_cap").cast("double"))).drop("_w", "_cap", "_level", "_open", "_at")
+         # the level of the first source that stays below its cap: levels only fall after it
+         .withColumn("_fill", F.max(F.when(F.col("_w") * F.col("_level") <= F.col("_cap"), F.col("_level")))
+                     .over(everything)))
+    cap = F.col("_cap").cast("double")
+    return (s.withColumn("target", F.coalesce(F.least(F.col("_w") * F.col("_fill"), cap), cap))
+            .drop("_w", "_cap", "_level", "_fill"))
 
 
 def plan_mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", *,
@@ -144,10 +143,10 @@ WITH d AS (SELECT doc_id, source, md5('mix:' || coalesce(CAST(doc_id AS VARCHAR)
 s AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM d GROUP BY source),
 w AS (SELECT *, [5, 2, 1][1 + (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3] AS w, 3 * source_size AS cap FROM s),
 l AS (SELECT *, CAST((sum(source_size) OVER () - coalesce(sum(cap) OVER (r ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)) AS DOUBLE)
-    / CAST(sum(w) OVER (r ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS DOUBLE) AS level, cap / w AS ratio
+    / CAST(sum(w) OVER (r ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS DOUBLE) AS level
     FROM w WINDOW r AS (ORDER BY cap / w, source NULLS LAST)),
-a AS (SELECT min(ratio) AS r, arg_min(level, ratio) AS lv FROM l WHERE w * level <= cap),
-t AS (SELECT source, source_size, CASE WHEN ratio < r THEN CAST(cap AS DOUBLE) ELSE least(w * lv, cap) END AS target FROM l, a),
+a AS (SELECT max(level) AS lv FROM l WHERE w * level <= cap),
+t AS (SELECT source, source_size, coalesce(least(w * lv, cap), CAST(cap AS DOUBLE)) AS target FROM l, a),
 q AS (SELECT d.*, t.source_size, t.target, CAST(round(t.target) AS BIGINT) AS quota,
     coalesce(sum(size) OVER (PARTITION BY d.source ORDER BY k, doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before
     FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source)
