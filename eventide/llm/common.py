@@ -7,6 +7,7 @@
 
 from __future__ import annotations
 
+import gc
 import re
 import sys
 import types
@@ -44,10 +45,16 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     and gives the planner measured sizes (so it broadcasts a side only when it is small)."""
     spark = df.sparkSession
     path = shared_dir(spark, name)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def release_shuffles(spark: SparkSession) -> None:
+    """Let Spark's context cleaner delete the shuffle files of jobs that are done (it acts on collected plans)."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def worker_cache() -> dict:
     """A dict that lives as long as the Python worker process (models are loaded once, not once per task)."""
     return sys.modules.setdefault("_eventide_llm_cache", types.ModuleType("_eventide_llm_cache")).__dict__

@@ -27,7 +27,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from eventide.llm.common import SPACES, materialize
+from eventide.llm.common import SPACES, materialize, release_shuffles
 
 SPLIT = r"[\x20\x09-\x0D]+"
 COUNT_BITS, FILTER_BITS = 14, 20
@@ -121,23 +121,26 @@ def repeated_places(docs: DataFrame, *, width: int = 5, num: int = 4, den: int =
     met = (index.withColumn("_a", F.min("k1").over(token)).withColumn("_b", F.max("k1").over(token))
            .filter("_a <> _b").drop("_a", "_b"))
     met = materialize(met, "line-met")
+    release_shuffles(docs.sparkSession)
     met = materialize(met.join(_among(places, met, "k1").select("k1", "k2", "o"), "k1"), "line-met-places")
     first = (met.groupBy("t").agg(F.min(F.struct("o", "k1", "k2", "n", "p")).alias("e"), F.count(F.lit(1)).alias("m"))
              .filter("m > 1").select("t", "e"))
     met = materialize(met.join(first, "t"), "line-groups")
 
-    alive = materialize(met.select("k1", "k2").distinct(), "line-alive")
-    sets = materialize(
-        _among(lines.select("k1", "k2", "line"), alive, "k1").join(alive, ["k1", "k2"], "left_semi")
-        .groupBy("k1", "k2").agg(F.first("line").alias("line"))
-        .select("k1", "k2", F.array_distinct(shingles).alias("s")), "line-sets")
-
     def verified(pairs: DataFrame) -> DataFrame:
         """Distinct later lines of the pairs (k1, k2 later; e1, e2 earlier) that reach the similarity."""
+        pairs = materialize(pairs.distinct(), "line-pairs")
+        ends = materialize(pairs.select("k1", "k2").unionByName(
+            pairs.select(F.col("e1").alias("k1"), F.col("e2").alias("k2"))).distinct(), "line-ends")
+        sets = materialize(
+            _among(text, ends, "k1").groupBy("k1", "k2").agg(F.first("line").alias("line"))
+            .join(ends, ["k1", "k2"], "left_semi")
+            .select("k1", "k2", F.array_distinct(shingles).alias("s")), "line-sets")
+        release_shuffles(docs.sparkSession)
         a = sets.select("k1", "k2", F.col("s").alias("sa"))
         b = sets.select(F.col("k1").alias("e1"), F.col("k2").alias("e2"), F.col("s").alias("sb"))
         common = F.size(F.array_intersect("sa", "sb"))
-        return (pairs.distinct().join(a, ["k1", "k2"]).join(b, ["e1", "e2"])
+        return (pairs.join(a, ["k1", "k2"]).join(b, ["e1", "e2"])
                 .filter(den * common >= num * (F.size("sa") + F.size("sb") - common)).select("k1", "k2").distinct())
 
     e = F.col("e")
@@ -154,6 +157,7 @@ def repeated_places(docs: DataFrame, *, width: int = 5, num: int = 4, den: int =
     gone = (places.join(near.withColumn("near", F.lit(True)), ["k1", "k2"], "left")
             .filter("c > 1 or near").select("k1", "k2", "o", "near"))
     gone = materialize(gone, "line-gone")
+    release_shuffles(docs.sparkSession)
     return (_among(where, gone, "k1").join(gone, ["k1", "k2"])
             .filter(F.col("near") | (F.struct("doc", "th", "pos") != F.col("o"))).select("doc", "th", "pos"))
 
