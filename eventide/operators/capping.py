@@ -7,7 +7,9 @@ per (keys, day).  The day is the event-time calendar day shifted by
 
 ``row_number() <= cap + 1`` plans a partial WindowGroupLimit before the
 shuffle, so each map task forwards at most cap + 1 rows per key: a hot
-(user, ad) pair cannot flood a task.
+(user, ad) pair cannot flood a task.  Spark plans that limit only up to
+``spark.sql.optimizer.windowGroupLimitThreshold``; for larger caps positions
+come from the bucketed ``ordered_scan``, which splits a hot key's day.
 """
 
 from __future__ import annotations
@@ -17,6 +19,7 @@ from typing import NamedTuple
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from eventide.operators.scan import ordered_scan, time_bucket
 from eventide.timeutil import instant_to_ntz, ts_type
 
 # Fixed value: the black-list message is "click over" + cap + "times".
@@ -37,8 +40,14 @@ def cap_per_key(df: DataFrame, keys: list[str], cap: int = 100, ts: str = "ts",
                 day_offset_hours: int = 8) -> Capped:
     keys = list(keys)
     d = df.withColumn("day", event_day(df, ts, day_offset_hours))
-    w = Window.partitionBy(*keys, "day").orderBy(F.col(ts), F.col(seq))
-    ranked = d.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") <= cap + 1)
+    limit = int(df.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold", "1000"))
+    if cap + 1 <= limit:
+        w = Window.partitionBy(*keys, "day").orderBy(F.col(ts), F.col(seq))
+        d = d.withColumn("_rn", F.row_number().over(w))
+    else:
+        d = ordered_scan(d, [*keys, "day"], [F.col(ts), F.col(seq)], time_bucket(ts, "1 hour"), pos="_rn",
+                         fine=time_bucket(ts, "1 second"))
+    ranked = d.filter(F.col("_rn") <= cap + 1)
     passed = ranked.filter(F.col("_rn") <= cap).select(*df.columns)
     warnings = ranked.filter(F.col("_rn") == cap + 1).select(
         *keys, "day", F.col(ts).alias("warn_ts"), F.lit(BLACKLIST_MSG.format(cap=cap)).alias("msg"))

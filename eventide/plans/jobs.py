@@ -36,6 +36,7 @@ SMALL_CAP = 1 << 6
 LOGIN_PAIR_WINDOW = "6 hours"
 LOGIN_BURST = dict(window="24 hours", min_fails=2)
 LOGIN_RUN_N = 3
+LOGIN_RUN_DEFAULT_N = 8  # the surveyed value
 ORDER_TIMEOUT = "900 seconds"
 MATCH_BOUND = "5 seconds"
 
@@ -262,6 +263,11 @@ def login_fail_runs(spark, sf_dir):
     return consecutive_run(_fx(spark, sf_dir).login, LOGIN_RUN_N)
 
 
+@query
+def login_fail_runs_default(spark, sf_dir):
+    return consecutive_run(_fx(spark, sf_dir).login, LOGIN_RUN_DEFAULT_N)
+
+
 # ---- orders (C5-C7) and payment matching (J1-J3) -------------------------------------------------
 
 @query

@@ -193,8 +193,8 @@ ORACLE["login_fail_pairs_strict"] = with_fx("fx_login", extra=_lagged) + f"""
 select user_id, prev_ts as first_fail_ts, ts as last_fail_ts, 'login fail in {_pw}s for 2tiems' as msg from l
 where login_state = 'fail' and prev_state = 'fail' and ts < prev_ts + interval {_pw} second"""
 
-_n = J.LOGIN_RUN_N
-ORACLE["login_fail_runs"] = with_fx("fx_login") + f"""
+for _name, _n in (("login_fail_runs", J.LOGIN_RUN_N), ("login_fail_runs_default", J.LOGIN_RUN_DEFAULT_N)):
+    ORACLE[_name] = with_fx("fx_login") + f"""
 , r as (select user_id, ts, login_state,
       sum(case when login_state = 'fail' then 1 else 0 end)
         over (partition by user_id order by ts, seq rows between {_n - 1} preceding and current row) as nf,

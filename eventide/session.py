@@ -7,6 +7,7 @@ local tests, a scratch folder is created and registered.
 
 from __future__ import annotations
 
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -36,13 +37,20 @@ def get_spark(master: str = "local[*]", shuffle_partitions: int = 8, app: str =
         b = b.config(k, v)
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    checkpoint_dir(spark)
+    if _single_machine(spark):
+        checkpoint_dir(spark)
     return spark
 
 
+def _single_machine(spark: SparkSession) -> bool:
+    return re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master) is not None
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
-    """Return the session's checkpoint folder; create a scratch one only if unset."""
+    """Return the session's checkpoint folder; a scratch one is made only if unset and on one machine."""
     d = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not d and not _single_machine(spark):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     if not d:
         d = tempfile.mkdtemp(prefix="eventide-ckpt-")
         try:

@@ -22,8 +22,8 @@ from pyspark.sql import functions as F
 
 from eventide.timeutil import epoch_seconds_to_ntz
 
-# Fixed value: the access-log time pattern (the correct minute letter is used).
-ACCESS_LOG_TIME_FORMAT = "dd/MM/yyyy:HH:mm:ss"
+# Fixed value: the access-log time, dd/MM/yyyy:HH:mm:ss (minutes where the survey notes the wrong letter).
+ACCESS_LOG_TIME = r"^\d{2}/\d{2}/\d{4}:\d{2}:\d{2}:\d{2}$"
 
 
 class Parsed(NamedTuple):
@@ -64,8 +64,20 @@ def _long(i):
     return _field(i).try_cast("bigint")
 
 
+# Seconds a timestamp can hold: years 1 to 9999.
+_FIRST_SECOND, _LAST_SECOND = -62135596800, 253402300799
+
+
 def _secs(i):
-    return epoch_seconds_to_ntz(_long(i))
+    """Null (a reject) for what is no number or outside the calendar, e.g. milliseconds by mistake."""
+    s = _long(i)
+    return epoch_seconds_to_ntz(F.when(s.between(_FIRST_SECOND, _LAST_SECOND), s))
+
+
+def _log_time(i):
+    """dd/MM/yyyy:HH:mm:ss as written, without a detour over a zone (null for anything else)."""
+    part = [F.try_element_at(F.split(_field(i), "[/:]"), F.lit(k)).try_cast("int") for k in (3, 2, 1, 4, 5, 6)]
+    return F.when(_field(i).rlike(ACCESS_LOG_TIME), F.try_make_timestamp_ntz(*part))
 
 
 def parse_user_behavior(lines: DataFrame) -> Parsed:
@@ -77,8 +89,7 @@ def parse_user_behavior(lines: DataFrame) -> Parsed:
 
 def parse_access_log(lines: DataFrame) -> Parsed:
     """Ip,userId,-,dd/MM/yyyy:HH:mm:ss,-,method,url (fields 2 and 4 ignored)."""
-    t = F.try_to_timestamp(_field(3), F.lit(ACCESS_LOG_TIME_FORMAT)).cast("timestamp_ntz")
-    return _parse(lines, 7, {"ip": _field(0), "user_id": _field(1), "ts": t,
+    return _parse(lines, 7, {"ip": _field(0), "user_id": _field(1), "ts": _log_time(3),
                              "method": _field(5), "url": _field(6)})
 
 

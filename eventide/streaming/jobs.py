@@ -24,6 +24,7 @@ from eventide.streaming.processors import (stream_cap_per_key, stream_consecutiv
                                            stream_followed_by, stream_order_payment_status,
                                            stream_running_unique_visitors, stream_split_late)
 from eventide.streaming.sinks import split_channels
+from eventide.timeutil import seconds
 from eventide.streaming.twins import (stream_interval_join, stream_salted_count, stream_sliding_count, stream_top_n,
                                       stream_unique_visitors)
 
@@ -57,7 +58,8 @@ def item_view_counts(s: Streams) -> DataFrame:
 
 
 def _pages(s: Streams) -> DataFrame:
-    d = with_event_time(s["access_log"], delay=ACCESS_LOG_DELAY)
+    # windows stay open for the allowed lateness behind the surveyed delay, so every row is counted or late
+    d = with_event_time(s["access_log"], delay=seconds(ACCESS_LOG_DELAY) + seconds(J.PAGES["lateness"]))
     return wm_safe_filter(d, equals_value("method", "GET") & ~is_static_asset("url"))
 
 
@@ -74,7 +76,7 @@ def page_view_counts(s: Streams) -> DataFrame:
 
 @stream_job
 def late_page_events(s: Streams) -> DataFrame:
-    tagged = stream_split_late(_pages(s), J.PAGES["size"], J.PAGES["slide"], J.PAGES["lateness"])
+    tagged = stream_split_late(_pages(s), J.PAGES["size"], J.PAGES["slide"], "0 seconds")
     return split_channels(tagged, ["late"])["late"]
 
 
@@ -160,6 +162,11 @@ def login_fail_runs(s: Streams) -> DataFrame:
     return stream_consecutive_run(_login(s), J.LOGIN_RUN_N)
 
 
+@stream_job
+def login_fail_runs_default(s: Streams) -> DataFrame:
+    return stream_consecutive_run(_login(s), J.LOGIN_RUN_DEFAULT_N)
+
+
 @stream_job
 def login_fail_bursts(s: Streams) -> DataFrame:
     return stream_fail_bursts(_login(s), **J.LOGIN_BURST)
@@ -189,8 +196,8 @@ def order_payment_status(s: Streams) -> DataFrame:
 
 
 def _matched(s: Streams) -> DataFrame:
-    pays = with_event_time(s["order_events"].filter(non_empty("tx_id")).select("tx_id", "order_id", "seq", "ts"),
-                           delay=ASCENDING)
+    orders = with_event_time(s["order_events"], delay=ASCENDING)  # creates advance the watermark too
+    pays = wm_safe_filter(orders, non_empty("tx_id")).select("tx_id", "order_id", "seq", "ts")
     recs = with_event_time(s["receipts"], delay=ASCENDING)
     return stream_interval_join(pays, recs, "tx_id", J.MATCH_BOUND)
 

@@ -100,7 +100,7 @@ class ConsecutiveRunProcessor(StatefulProcessor):
                 ok = w is None or (t - first <= w if self.inclusive else t - first < w)
                 if ok:
                     out.append(Row(user_id=key[0], first_fail_ts=_dt(first), last_fail_ts=_dt(t), msg=self.msg))
-            recent = recent[len(recent) - self.n + 1:] if self.n > 1 else []
+            recent = recent[-(self.n - 1):] if self.n > 1 else []
         self.recent.clear()
         if recent:
             self.recent.put([(t,) for t in recent])
@@ -208,7 +208,8 @@ class CapProcessor(StatefulProcessor):
     """K1/K2 per (user, ad, day): pass the first ``cap`` clicks, warn once on click cap + 1.
 
     Clicks are buffered until the watermark passes them and counted in
-    (ts, seq) order; the state of a day is dropped by a timer after it ends."""
+    (ts, seq) order; at most cap + 1 clicks of a day are held, and its state
+    is dropped by a timer after it ends."""
 
     def __init__(self, cap: int = 100, msg: str = "click over{cap}times", day_offset_hours: int = 8):
         self.cap, self.msg, self.offset = cap, msg.format(cap=cap), day_offset_hours
@@ -229,6 +230,13 @@ class CapProcessor(StatefulProcessor):
             t = _us(r.ts)
             self.buf.appendValue((t, r.seq, r.province, r.city))
             self.h.registerTimer(_ms(t))
+        # a click behind the first cap + 1 of the day can only move further back: it is never output
+        left = max(0, self.cap + 1 - (self.n.get()[0] if self.n.exists() else 0))
+        held = sorted(tuple(x) for x in self.buf.get())
+        if len(held) > left:
+            self.buf.clear()
+            if left:
+                self.buf.put(held[:left])
         self.h.registerTimer(self._day_end_ms(key[2]))
         return iter([])
 
@@ -467,7 +475,7 @@ class LateRowProcessor(StatefulProcessor):
         for r in rows:
             t = _us(r.ts)
             last_end = (t // self.slide_us) * self.slide_us + self.size_us
-            late = last_end - 1000 + self.late_us <= wm_us
+            late = last_end + self.late_us <= wm_us  # exactly the rows Spark's closed windows no longer count
             out.append(Row(**{c: r[c] for c in self.columns}, watermark=_dt(wm_us), channel="late" if late else "main"))
         return iter(out)
 

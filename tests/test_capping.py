@@ -31,3 +31,19 @@ def test_ties_broken_by_seq(spark):
     t = ts("2024-01-01 00:00:00")
     df = clicks(spark, [t, t, t])
     assert rows(cap_per_key(df, ["user_id", "ad_id"], cap=2).passed, "seq") == [(0,), (1,)]
+
+
+def test_large_caps_need_no_full_key_sort_and_agree(spark):
+    base = ts("2024-01-01 01:00:00")
+    df = clicks(spark, [base + dt.timedelta(seconds=7 * i) for i in range(1500)])
+    old = spark.conf.get("spark.sql.optimizer.windowGroupLimitThreshold")
+    want = rows(cap_per_key(df, ["user_id", "ad_id"], cap=900).passed), rows(
+        cap_per_key(df, ["user_id", "ad_id"], cap=900).warnings)
+    spark.conf.set("spark.sql.optimizer.windowGroupLimitThreshold", "10")
+    try:
+        c = cap_per_key(df, ["user_id", "ad_id"], cap=900)
+        assert (rows(c.passed), rows(c.warnings)) == want
+    finally:
+        spark.conf.set("spark.sql.optimizer.windowGroupLimitThreshold", old)
+    c = cap_per_key(df, ["user_id", "ad_id"], cap=5000)
+    assert c.passed.count() == 1500 and c.warnings.count() == 0

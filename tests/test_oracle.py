@@ -6,6 +6,7 @@ import pytest
 
 from conftest import SF_SMALL
 from __spark_entry__ import entry, oracle_sql, queries
+from eventide.plans import ORACLE, QUERIES
 from eventide.sources.fixtures import TABLES
 from tools.oracle_check import canon
 
@@ -25,11 +26,11 @@ def test_entry_smoke(spark):
 
 
 def test_every_query_has_an_oracle_except_sketches():
-    missing = set(queries()) - set(oracle_sql())
+    missing = set(QUERIES) - set(oracle_sql())
     assert missing == {"unique_visitors_hll"}
 
 
-@pytest.mark.parametrize("name", sorted(oracle_sql()))
+@pytest.mark.parametrize("name", sorted(ORACLE))
 def test_query_matches_duckdb(spark, con, name):
     sdf = queries()[name](spark, SF_SMALL)
     sp = pd.DataFrame([r.asDict() for r in sdf.collect()], columns=sdf.columns)

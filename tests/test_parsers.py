@@ -56,3 +56,22 @@ def test_publish_writer_and_side_outputs(spark):
     outs = SideOutputs.of(tagged, ["main", "late"])
     assert sorted(r.seq for r in outs["main"].collect()) == [1, 3]
     assert outs["late"].columns == ["seq"]
+
+
+def test_numbers_outside_the_calendar_are_rejects(spark):
+    for parse, line in ((parse_user_behavior, "1,2,3,pv,{}"), (parse_ad_click, "1,2,p,c,{}"), (parse_login, "1,ip,fail,{}"),
+                        (parse_order, "1,pay,t,{}"), (parse_receipt, "t,ali,{}")):
+        p = parse(lines(spark, *(line.format(x) for x in ("1511658000", "1511658000000", "9223372036854775807",
+                                                          "-99999999999999", "99999999999999999999"))))
+        assert p.rows.count() == 1 and {r.reason for r in p.rejects.collect()} == {"bad ts"}
+        assert p.rejects.count() == 4
+
+
+def test_access_log_time_does_not_depend_on_the_session_zone(spark):
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+    try:  # 02:30 on 10 March 2024 does not exist there
+        rows = parse_access_log(lines(spark, "i,u,-,10/03/2024:02:30:00,-,GET,/x")).rows
+        assert rows.selectExpr("cast(ts as string) as t").first().t == "2024-03-10 02:30:00"
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
