@@ -98,8 +98,12 @@ def repeated_places(docs: DataFrame, *, width: int = 5, num: int = 4, den: int =
     """(doc, th, pos) of every line to remove; ``docs`` has doc, th, text."""
     lines = _lines(docs, max(width, min_words))
     where = materialize(lines.drop("line"), "line-keys")
-    places = materialize(where.groupBy("k1", "k2").agg(F.min(F.struct("doc", "th", "pos")).alias("o"),
-                                                       F.count(F.lit(1)).alias("c")), "line-places")
+    # a number per different line, in the order of first places: later steps compare and ship only that number
+    first_place = F.col("o")
+    places = materialize(
+        where.groupBy("k1", "k2").agg(F.min(F.struct("doc", "th", "pos")).alias("o"), F.count(F.lit(1)).alias("c"))
+        .repartitionByRange(first_place).sortWithinPartitions(first_place)
+        .withColumn("id", F.monotonically_increasing_id()), "line-places")
     counted = {r["b"]: r["n"] for r in _exploded_shingles(lines, width).groupBy(
         _bucket("h", COUNT_BITS).alias("b")).agg(F.count(F.lit(1)).alias("n")).collect()}
     rank = {b: i for i, b in enumerate(sorted(range(1 << COUNT_BITS), key=lambda b: (counted.get(b, 0), b)))}
@@ -122,39 +126,34 @@ def repeated_places(docs: DataFrame, *, width: int = 5, num: int = 4, den: int =
            .filter("_a <> _b").drop("_a", "_b"))
     met = materialize(met, "line-met")
     release_shuffles(docs.sparkSession)
-    met = materialize(met.join(_among(places, met, "k1").select("k1", "k2", "o"), "k1"), "line-met-places")
-    first = (met.groupBy("t").agg(F.min(F.struct("o", "k1", "k2", "n", "p")).alias("e"), F.count(F.lit(1)).alias("m"))
-             .filter("m > 1").select("t", "e"))
-    met = materialize(met.join(first, "t"), "line-groups")
+    met = materialize(met.join(_among(places, met, "k1").select("k1", "id"), "k1").select("t", "id", "n", "p"), "line-ids")
+    earliest = met.groupBy("t").agg(F.min(F.struct("id", "n", "p")).alias("e"))
+    met = materialize(met.join(earliest, "t").filter(F.col("id") > F.col("e.id")), "line-later")
 
     def verified(pairs: DataFrame) -> DataFrame:
-        """Distinct later lines of the pairs (k1, k2 later; e1, e2 earlier) that reach the similarity."""
+        """Distinct later lines (id) of the pairs (id, other) that reach the similarity."""
         pairs = materialize(pairs.distinct(), "line-pairs")
-        ends = materialize(pairs.select("k1", "k2").unionByName(
-            pairs.select(F.col("e1").alias("k1"), F.col("e2").alias("k2"))).distinct(), "line-ends")
-        sets = materialize(
-            _among(text, ends, "k1").groupBy("k1", "k2").agg(F.first("line").alias("line"))
-            .join(ends, ["k1", "k2"], "left_semi")
-            .select("k1", "k2", F.array_distinct(shingles).alias("s")), "line-sets")
+        ends = pairs.select("id").unionByName(pairs.select(F.col("other").alias("id"))).distinct()
+        at = F.xxhash64("o.doc", "o.th", "o.pos")
+        ends = materialize(places.join(ends, "id").select("id", "k1", "k2", at.alias("at")), "line-ends")
+        found = (_among(lines.select("k1", "k2", "line", F.xxhash64("doc", "th", "pos").alias("at")), ends, "at")
+                 .join(ends, ["at", "k1", "k2"]))
+        sets = materialize(found.select("id", F.array_distinct(shingles).alias("s")), "line-sets")
         release_shuffles(docs.sparkSession)
-        a = sets.select("k1", "k2", F.col("s").alias("sa"))
-        b = sets.select(F.col("k1").alias("e1"), F.col("k2").alias("e2"), F.col("s").alias("sb"))
+        a, b = sets.withColumnRenamed("s", "sa"), sets.select(F.col("id").alias("other"), F.col("s").alias("sb"))
         common = F.size(F.array_intersect("sa", "sb"))
-        return (pairs.join(a, ["k1", "k2"]).join(b, ["e1", "e2"])
-                .filter(den * common >= num * (F.size("sa") + F.size("sb") - common)).select("k1", "k2").distinct())
+        return (pairs.join(a, "id").join(b, "other")
+                .filter(den * common >= num * (F.size("sa") + F.size("sb") - common)).select("id").distinct())
 
     e = F.col("e")
-    one = met.filter((F.col("o") > e.o) & _long_enough(n, e.n, num, den)
-                     & _overlap_possible(n, F.col("p"), e.n, e.p, num, den))
-    settled = materialize(verified(one.select("k1", "k2", e.k1.alias("e1"), e.k2.alias("e2"))), "line-settled")
-    x = met.filter(F.col("o") > e.o).join(settled, ["k1", "k2"], "left_anti").drop("e")
-    y = met.filter(F.col("o") > e.o).select("t", F.col("k1").alias("e1"), F.col("k2").alias("e2"),
-                                            F.col("o").alias("eo"), F.col("n").alias("en"), F.col("p").alias("ep"))
-    two = x.join(y, (x["t"] == y["t"]) & (F.col("o") > F.col("eo")) & _long_enough(n, F.col("en"), num, den)
-                 & _overlap_possible(n, F.col("p"), F.col("en"), F.col("ep"), num, den))
-    near = settled.unionByName(verified(two.select("k1", "k2", "e1", "e2")))
-
-    gone = (places.join(near.withColumn("near", F.lit(True)), ["k1", "k2"], "left")
+    one = met.filter(_long_enough(n, e.n, num, den) & _overlap_possible(n, F.col("p"), e.n, e.p, num, den))
+    settled = materialize(verified(one.select("id", e.id.alias("other"))), "line-settled")
+    x = met.select("t", "id", "n", "p").join(settled, "id", "left_anti")
+    y = met.select("t", F.col("id").alias("other"), F.col("n").alias("m"), F.col("p").alias("q"))
+    two = x.join(y, "t").filter((F.col("id") > F.col("other")) & _long_enough(n, F.col("m"), num, den)
+                                & _overlap_possible(n, F.col("p"), F.col("m"), F.col("q"), num, den))
+    near = settled.unionByName(verified(two.select("id", "other")))
+    gone = (places.join(near.withColumn("near", F.lit(True)), "id", "left")
             .filter("c > 1 or near").select("k1", "k2", "o", "near"))
     gone = materialize(gone, "line-gone")
     release_shuffles(docs.sparkSession)
