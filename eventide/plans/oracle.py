@@ -39,7 +39,7 @@ FX = {
         from events""",
     "fx_order_events": """select o_orderkey * 2 as seq, o_orderkey as order_id, 'create' as event_type,
           '' as tx_id, o_orderdate + to_seconds((o_orderkey * 7919) % 80000) as ts
-        from orders where o_orderkey % 11 <> 0
+        from orders where o_orderkey % 11 <> 0 or o_orderkey % 5 = 0
         union all
         select o_orderkey * 2 + 1, o_orderkey, 'pay', concat('tx', cast(o_orderkey as varchar)),
           o_orderdate + to_seconds((o_orderkey * 7919) % 80000 + (o_orderkey * 13) % 1801 - 60)

@@ -1,9 +1,9 @@
 """Stream sinks and named side outputs.
 
 A stateful processor emits one row type with a ``channel`` column; the named
-outputs are filters of it.  ``write_channels`` writes every channel of each
-micro-batch to its own sink in one ``foreachBatch`` (a batch is written
-with its batch id, so a retried batch rewrites the same folder).
+outputs are filters of it.  ``write_channels`` writes all channels of a
+micro-batch in one partitioned write (the stateful plan runs once), to
+``channel=<name>/batch=<id>``; a retried batch rewrites its own folders.
 """
 
 from __future__ import annotations
@@ -50,8 +50,9 @@ def split_channels(df: DataFrame, channels: list[str], column: str = "channel")
 def write_channels(df: DataFrame, name: str, base_path: str, channels: list[str], column: str = "channel",
                    checkpoint: str | None = None) -> StreamingQuery:
     def per_batch(batch: DataFrame, batch_id: int):
-        for c, part in split_channels(batch, channels, column).items():
-            part.write.mode("overwrite").parquet(f"{base_path}/{c}/batch={batch_id}")
+        (batch.filter(F.col(column).isin(channels)).withColumn("batch", F.lit(batch_id))
+         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy(column, "batch").parquet(base_path))
 
     return (df.writeStream.foreachBatch(per_batch)
             .option("checkpointLocation", checkpoint or _ckpt(df.sparkSession, name)).start())

@@ -203,5 +203,5 @@ def test_allowed_lateness_and_sinks(spark, tmp_path):
     q2 = write_channels(tagged, "chan", str(tmp_path / "out"), ["even", "odd"], checkpoint=str(tmp_path / "ck2"))
     q2.processAllAvailable()
     q2.stop()
-    even = spark.read.parquet(str(tmp_path / "out" / "even"))
+    even = spark.read.parquet(str(tmp_path / "out" / "channel=even"))
     assert sorted(r.seq for r in even.collect()) == [0, 2]
