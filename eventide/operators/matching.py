@@ -1,13 +1,11 @@
 """Time-bounded matching of two keyed streams.
 
 A left event (pay) and a right event (receipt) match when they share the key
-and their times differ by at most ``bound`` (inclusive), one to one.  Repeated
-keys are paired by ordinal: the k-th left event of a key (in time order) may
-only match the k-th right event.  With unique keys per side (the usual case)
-that is exactly "the receipt of this pay within +-bound".  Ordinals come from
-one skew-safe ``ordered_scan`` over both sides, and the pairing is a grouping
-on unique (key, ordinal) pairs, so a hot key can neither produce a quadratic
-pair set nor land in one task.
+and their times differ by at most ``bound`` (inclusive).  Every pair in range is
+a match (the survey's pairing='all'); with unique keys per side (the usual case)
+that is exactly "the receipt of this pay within +-bound".  The join is on the key
+and a time bucket as wide as the bound, in which one side is entered three times,
+so a hot key is spread over its buckets and a row only meets rows near its time.
 
 Unmatched events of either side are returned as named side outputs.  The
 streaming twin (``streaming.twins.stream_interval_join``) is a stream-stream
@@ -17,13 +15,13 @@ with the watermarks.
 
 from __future__ import annotations
 
+import math
 from typing import NamedTuple
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from eventide.operators.scan import Running, ordered_scan, time_bucket
-from eventide.timeutil import interval_str
+from eventide.timeutil import interval_str, ntz_to_epoch_seconds, seconds
 
 
 class Matched(NamedTuple):
@@ -32,45 +30,36 @@ class Matched(NamedTuple):
     unmatched_right: DataFrame
 
 
+def _bucket(df: DataFrame, ts: str, width: int):
+    since = ntz_to_epoch_seconds(ts) if df.schema[ts].dataType.typeName() == "timestamp_ntz" else F.unix_seconds(ts)
+    return F.floor(since / width)
+
+
 def interval_match(left: DataFrame, right: DataFrame, key: str = "tx_id", bound="5 seconds",
                    left_ts: str = "ts", right_ts: str = "ts", left_order: list[str] | None = None,
                    right_order: list[str] | None = None, left_prefix: str = "pay_",
                    right_prefix: str = "receipt_", bucket="1 day", hot_rows: int = 4_000_000) -> Matched:
-    """One bucketed scan over both sides, one grouping - no join.
+    """One equi-join on key and time bucket per output, with the range as condition.
 
-    The two inputs are unioned (side 0 / side 1) and scanned once per key in
-    (ts, side, side order) order; separate running counts give every row its
-    ordinal within its own side.  ``groupBy(key, ordinal)`` then holds at most
-    one row per side (unique pairs, so no skew), and the time bound decides
-    between a match and two unmatched rows.
+    Times within the bound lie in the same or in neighbouring buckets, and each pair meets in the right (for
+    ``unmatched_right`` the left) event's own bucket only, so no pair comes twice.  Repeated rows count each; null
+    keys and times match nothing.  ``left_order``, ``right_order``, ``bucket`` and ``hot_rows`` do not change the
+    result and are kept for callers.
     """
-    lo = left_order or [c for c in left.columns if c not in (key, left_ts)]
-    ro = right_order or [c for c in right.columns if c not in (key, right_ts)]
-    lcols = [c for c in left.columns if c != key]
-    rcols = [c for c in right.columns if c != key]
-    L = left.select(F.col(key).alias("_k"), F.col(left_ts).alias("_t"), F.lit(0).alias("_side"),
-                    *[F.col(c).alias(f"_lo{i}") for i, c in enumerate(lo)],
-                    F.struct(*[F.col(c).alias(left_prefix + c) for c in lcols]).alias("_l"))
-    R = right.select(F.col(key).alias("_k"), F.col(right_ts).alias("_t"), F.lit(1).alias("_side"),
-                     *[F.col(c).alias(f"_ro{i}") for i, c in enumerate(ro)],
-                     F.struct(*[F.col(c).alias(right_prefix + c) for c in rcols]).alias("_r"))
-    u = L.unionByName(R, allowMissingColumns=True)
-    order = [F.col("_t"), F.col("_side")] + [F.col(f"_lo{i}") for i in range(len(lo))] + \
-            [F.col(f"_ro{i}") for i in range(len(ro))]
-    s = ordered_scan(u, ["_k"], order, time_bucket("_t", bucket), pos=None,
-                     fine=time_bucket("_t", "1 second"), hot_rows=hot_rows,
-                     running=[Running("_nl", "sum", (F.col("_side") == 0).cast("long")),
-                              Running("_nr", "sum", (F.col("_side") == 1).cast("long"))])
-    ordinal = F.when(F.col("_side") == 0, F.col("_nl")).otherwise(F.col("_nr"))
-    g = (s.select("_k", ordinal.alias("_ord"), "_l", "_r").groupBy("_k", "_ord")
-         .agg(F.max("_l").alias("_l"), F.max("_r").alias("_r")))
-    lt, rt = F.col("_l." + left_prefix + left_ts), F.col("_r." + right_prefix + right_ts)
+    width = max(1, math.ceil(seconds(bound)))
+    L = left.select(F.col(key).alias("_lk"), _bucket(left, left_ts, width).alias("_lb"),
+                    *[F.col(c).alias(left_prefix + c) for c in left.columns if c != key])
+    R = right.select(F.col(key).alias("_rk"), _bucket(right, right_ts, width).alias("_rb"),
+                     *[F.col(c).alias(right_prefix + c) for c in right.columns if c != key])
+    lt, rt = F.col(left_prefix + left_ts), F.col(right_prefix + right_ts)
     iv = F.expr(f"INTERVAL {interval_str(bound)}")
-    both = F.col("_l").isNotNull() & F.col("_r").isNotNull()
-    hit = both & (rt >= lt - iv) & (rt <= lt + iv)
-    lnames = [F.col("_l." + left_prefix + c).alias(left_prefix + c) for c in lcols]
-    rnames = [F.col("_r." + right_prefix + c).alias(right_prefix + c) for c in rcols]
-    matched = g.filter(hit).select(F.col("_k").alias(key), *lnames, *rnames)
-    unl = g.filter(F.col("_l").isNotNull() & ~hit).select(F.col("_k").alias(key), *lnames)
-    unr = g.filter(F.col("_r").isNotNull() & ~hit).select(F.col("_k").alias(key), *rnames)
+    near = ((F.col("_lk") == F.col("_rk")) & (F.col("_lb") == F.col("_rb")) & (rt >= lt - iv) & (rt <= lt + iv))
+
+    def thrice(df, b):
+        return df.withColumn(b, F.explode(F.array(F.col(b) - 1, F.col(b), F.col(b) + 1)))
+
+    lnames, rnames = L.columns[2:], R.columns[2:]
+    matched = thrice(L, "_lb").join(R, near).select(F.col("_lk").alias(key), *lnames, *rnames)
+    unl = L.join(thrice(R, "_rb"), near, "left_anti").select(F.col("_lk").alias(key), *lnames)
+    unr = R.join(thrice(L, "_lb"), near, "left_anti").select(F.col("_rk").alias(key), *rnames)
     return Matched(matched, unl, unr)
