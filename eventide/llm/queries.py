@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from eventide.llm import chat, jaccard, linededup, lm, mixing, packing, quality, tokenfile, topk, toxicity
+from eventide.llm import chat, fingerprint, jaccard, linededup, lm, mixing, packing, quality, tokenfile, topk, toxicity
 from eventide.llm.common import read_table, shared_dir
 
 QUERIES, ORACLE = {}, {}
@@ -97,3 +97,11 @@ def op10_mixing(spark, sf_dir):
 
 
 ORACLE["op10_mixing"] = mixing.ORACLE
+
+
+@query
+def op11_fingerprints(spark, sf_dir):
+    return fingerprint.fingerprint_digest(fingerprint.edited_texts(read_table(spark, sf_dir, "documents")))
+
+
+ORACLE["op11_fingerprints"] = fingerprint.ORACLE
