@@ -37,9 +37,9 @@ from eventide.llm.common import materialize
 MIN_DOCS, TOP_TERMS = 10, 10
 SHARE = 1_000_000_000
 FLUSH = 300_000
-BLOCK_ROWS, CHUNK = 1 << 16, 64
+BLOCK_ROWS, CHUNK, MAX_PARTITIONS = 1 << 16, 64, 20_000
 #: Node pairs priced at once by a task.
-FRONTIER = 1 << 21
+FRONTIER = 1 << 18
 
 #: Everything but letters ends a term: ASCII letters are lower-cased, bytes of other characters stay.
 _TERMS = bytes(b + 32 if 65 <= b <= 90 else b if 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
@@ -272,8 +272,12 @@ def audit(docs: DataFrame, lang_col: str = "lang", source_col: str = "source", t
     def price(table: pa.Table) -> pa.Table:
         return _price_block(table, top)
 
+    # work is by cells, not bytes: one partition each, which AQE does not merge
+    cells = (groups.filter("i = 0").agg(F.sum(F.col("blocks") * F.col("chunks") * (F.col("chunks") + 1) / 2))
+             .first()[0] or 1)
+    cell = ["lang", "block", "low", "high"]
     priced = materialize(
-        counts.unionByName(marks).groupBy("lang", "block", "low", "high")
+        counts.unionByName(marks).repartition(int(min(cells, MAX_PARTITIONS)), *cell).groupBy(*cell)
         .applyInArrow(price, "lang string, a long, b long, term string, value long"), "divergence-prices")
     sums = priced.filter(F.col("b").isNotNull()).groupBy("lang", "a", "b").agg(F.sum("value").alias("value"))
     both = F.explode(F.array(F.struct(F.col("a").alias("x"), F.col("b").alias("y")),
