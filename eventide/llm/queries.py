@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from eventide.llm import chat, divergence, fingerprint, jaccard, linededup, lm, mixing, packing, quality, tokenfile, topk, toxicity
+from eventide.llm import align, chat, divergence, fingerprint, jaccard, linededup, lm, mixing, packing, quality, tokenfile, topk, toxicity
 from eventide.llm.common import read_table, shared_dir
 
 QUERIES, ORACLE = {}, {}
@@ -107,6 +107,11 @@ def op11_fingerprints(spark, sf_dir):
 ORACLE["op11_fingerprints"] = fingerprint.ORACLE
 
 
+@query
+def op12_tokenizer_alignment(spark, sf_dir):
+    return align.align_corpus(read_table(spark, sf_dir, "documents"))[0]
+
+
 @query
 def op13_source_divergence(spark, sf_dir):
     return divergence.audit_rows(divergence.audit(read_table(spark, sf_dir, "documents")))
