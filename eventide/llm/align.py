@@ -40,6 +40,7 @@ MEMO, MEMO_BYTES = 300_000, 1 << 25
 #: Pairs in the broadcast table.
 HELD = 1 << 20
 CHUNK_CHARS = 1 << 18
+B_SIDE = 1 << 31
 
 
 class ByteBpe:
@@ -149,7 +150,10 @@ class _Column:
 
 
 class Aligner(dict):
-    """Memo of window alignments: (A ids, B ids) of a window, as bytes -> its number in the tables below."""
+    """Memo of window alignments: the ids of a window -> its number in the tables below.
+
+    The tuple of a window's A ids and then its B ids, these with the top bit set, is held as bytes.
+    """
 
     def __init__(self, a_path: str, b_path: str):
         super().__init__()
@@ -167,7 +171,7 @@ class Aligner(dict):
         self.shown, self.held = [], 0
         self.groups, self.links, self.pair_from, self.codes, self.times = (_Column() for _ in range(5))
 
-    def windows(self, a: np.ndarray, b: np.ndarray) -> tuple[list[tuple[bytes, bytes]], np.ndarray]:
+    def windows(self, a: np.ndarray, b: np.ndarray) -> tuple[list[bytes], np.ndarray]:
         """Id windows between the anchors of two encodings of the same bytes, and where each begins in ``a``."""
         a_end, b_end = self.a_len[a].cumsum(), self.b_len[b].cumsum()
         a_at = np.zeros(a_end[-1] + 1, np.int64)  # how many A tokens end up to a byte at which one ends before a space
@@ -177,14 +181,22 @@ class Aligner(dict):
         shared = a_at[b_end[b_cut]]
         both = shared > 0
         starts = np.concatenate([[0], shared[both]])
-        i = [*(starts * 4).tolist(), len(a) * 4]
-        j = [0, *((b_cut[both] + 1) * 4).tolist(), len(b) * 4]
-        a_ids, b_ids = a.astype(np.uint32).tobytes(), b.astype(np.uint32).tobytes()
-        return [(a_ids[w:x], b_ids[y:z]) for w, x, y, z in zip(i, i[1:], j, j[1:])], starts
-
-    def learn(self, keys: list[tuple[bytes, bytes]]) -> None:
+        b_starts = np.concatenate([[0], b_cut[both] + 1])
+        a_n, b_n = np.diff(starts, append=len(a)), np.diff(b_starts, append=len(b))
+        ids = np.empty(len(a) + len(b), np.uint32)
+        ids[np.arange(len(a)) + np.repeat(b_starts, a_n)] = a
+        ids[np.arange(len(b)) + np.repeat(starts + a_n, b_n)] = b | B_SIDE
+        data, at = ids.tobytes(), [*((starts + b_starts) * 4).tolist(), len(ids) * 4]
+        return [data[i:k] for i, k in zip(at, at[1:])], starts
+
+    def learn(self, keys: list[bytes]) -> None:
         """Align new windows, laid end to end: their ends are shared ends, so no group crosses them."""
-        a, b = (np.frombuffer(b"".join(side), np.uint32).astype(np.int64) for side in zip(*keys))
+        ids = np.frombuffer(b"".join(keys), np.uint32).astype(np.int64)
+        of_b = ids >= B_SIDE
+        a, b = ids[~of_b], ids[of_b] - B_SIDE
+        n_all = np.array([len(k) // 4 for k in keys])
+        n_b = np.add.reduceat(of_b, n_all.cumsum() - n_all, dtype=np.int64)
+        n_a = n_all - n_b
         a_end, b_end = self.a_len[a].cumsum(), self.b_len[b].cumsum()
         ends_a, ends_b = np.zeros((2, a_end[-1] + 1), bool)
         ends_a[a_end], ends_b[b_end] = True, True
@@ -192,8 +204,6 @@ class Aligner(dict):
         a_group, b_group = a_last.cumsum() - a_last, b_last.cumsum() - b_last
         na, nb = np.bincount(a_group), np.bincount(b_group)
         a_from, b_from = na.cumsum() - na, nb.cumsum() - nb
-        n_a = np.array([len(k[0]) // 4 for k in keys])
-        n_b = np.array([len(k[1]) // 4 for k in keys])
         group_end = a_group[n_a.cumsum() - 1] + 1
         n_groups = np.diff(group_end, prepend=0)
         window = np.repeat(np.arange(len(keys)), n_groups)
