@@ -7,6 +7,6 @@ from eventide.operators.capping import Capped, blacklist_warnings, cap_per_key
 from eventide.operators.sequences import (consecutive_run, consecutive_pairs, fail_bursts, followed_by,
                                           order_payment_status, FollowedBy)
 from eventide.operators.matching import Matched, interval_match
-from eventide.operators.lateness import LateSplit, split_late
+from eventide.operators.lateness import LateSplit, sliding_count_with_lateness, split_late
 
 __all__ = [n for n in dir() if not n.startswith("_")]

@@ -31,19 +31,44 @@ class LateSplit(NamedTuple):
     late: DataFrame
 
 
-def split_late(df: DataFrame, size, slide, delay="1 minute", lateness="1 minute", ts: str = "ts",
-               seq: str = "seq", pred: Column | None = None, rows_per_bucket: int = 1 << 20) -> LateSplit:
+def _with_watermark(df: DataFrame, delay, ts: str, seq: str, tie: tuple[str, ...], rows_per_bucket: int) -> DataFrame:
+    """Every row with the ``watermark`` in front of it (null for the first), in (seq, tie) order."""
     bucket = F.floor(F.col(seq) / F.lit(rows_per_bucket))
-    s = ordered_scan(df, [], [F.col(seq)], bucket,
+    s = ordered_scan(df, [], [F.col(c) for c in (seq, *tie)], bucket,
                      running=[Running("_maxts", "max", F.col(ts), inclusive=False)], pos=None)
-    wm = F.col("_maxts") - F.expr(f"INTERVAL {interval_str(delay)}")
+    return s.withColumn("watermark", F.col("_maxts") - F.expr(f"INTERVAL {interval_str(delay)}"))
+
+
+def split_late(df: DataFrame, size, slide, delay="1 minute", lateness="1 minute", ts: str = "ts",
+               seq: str = "seq", pred: Column | None = None, rows_per_bucket: int = 1 << 20,
+               tie: tuple[str, ...] = ()) -> LateSplit:
+    """``seq`` is the order of arrival, a number; ``rows_per_bucket`` of its units are scanned by one task."""
+    s = _with_watermark(df, delay, ts, seq, tie, rows_per_bucket)
+    wm = F.col("watermark")
     last_end = F.window(F.col(ts), interval_str(slide)).start + F.expr(f"INTERVAL {interval_str(size)}")
     late_flag = F.coalesce(
         last_end - F.expr("INTERVAL 1 millisecond") + F.expr(f"INTERVAL {interval_str(lateness)}") <= wm,
         F.lit(False))
-    s = s.withColumn("watermark", wm).withColumn("_late", late_flag)
+    s = s.withColumn("_late", late_flag)
     if pred is not None:
         s = s.filter(F.coalesce(pred, F.lit(False)))
     cols = df.columns
     return LateSplit(s.filter(~F.col("_late")).select(*cols),
                      s.filter(F.col("_late")).select(*cols, "watermark"))
+
+
+def sliding_count_with_lateness(df: DataFrame, keys: list[str], size, slide, delay="1 minute", lateness="1 minute",
+                                ts: str = "ts", seq: str = "seq", pred: Column | None = None,
+                                rows_per_bucket: int = 1 << 20, tie: tuple[str, ...] = ()) -> DataFrame:
+    """A10: final counts of sliding windows that take rows until ``lateness`` after the watermark passed their end.
+
+    A row counts in those of its windows that are still open when it arrives: in all if it is on time, in none if it
+    is late (``split_late``), in the last ones in between.  Windows no row was on time for do not appear."""
+    s = _with_watermark(df, delay, ts, seq, tie, rows_per_bucket)
+    if pred is not None:
+        s = s.filter(F.coalesce(pred, F.lit(False)))
+    w = s.select(*keys, "watermark", F.window(ts, interval_str(size), interval_str(slide)).end.alias("window_end"))
+    closed = (F.col("window_end") - F.expr("INTERVAL 1 millisecond") + F.expr(f"INTERVAL {interval_str(lateness)}")
+              <= F.col("watermark"))
+    return (w.filter(~F.coalesce(closed, F.lit(False))).groupBy(*keys, "window_end")
+            .agg(F.count(F.lit(1)).alias("cnt")))

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from eventide.functions import (bitmap_offset, equals_value, exclude_static_assets, format_ranking,
@@ -19,14 +19,16 @@ from eventide.functions.formatting import ITEM_LABELS, PAGE_LABELS
 from eventide.functions.predicates import is_static_asset
 from eventide import operators as ops
 from eventide.operators import (cap_per_key, consecutive_pairs, consecutive_run, fail_bursts, followed_by,
-                                interval_match, rollup_profile, salted_count, sliding_count, split_late,
-                                top_n_per_window, tumbling_count, unique_visitors)
+                                interval_match, rollup_profile, salted_count, sliding_count,
+                                sliding_count_with_lateness, split_late, top_n_per_window, tumbling_count,
+                                unique_visitors)
 from eventide.sources import Fixtures, parse_access_log, parse_ad_click, parse_login, parse_order, \
     parse_receipt, parse_user_behavior
 from eventide.timeutil import ntz_to_epoch_seconds
 
 # Query parameters on the fixtures (FIXTURES.md section 4).
 ITEMS = dict(size="1 hour", slide="5 minutes", n=5)
+PAGES_SLIDE = "5 seconds"
 PAGES = dict(size="10 minutes", slide="1 minute", n=3, delay="1 minute", lateness="1 minute")
 MARKETING = dict(size="1 hour", slide="5 minutes")
 MARKETING_DEFAULT = dict(size="1 hour", slide="5 seconds")
@@ -121,12 +123,35 @@ def format_ranking_pages(spark, sf_dir):
     return format_ranking(hot_pages(spark, sf_dir), "url", PAGE_LABELS)
 
 
+# arrivals are epoch microseconds: one scan bucket is an hour
+ARRIVALS = dict(seq="arrival", tie=("seq",), rows_per_bucket=3_600_000_000)
+
+
+def page_pred() -> Column:
+    return equals_value("method", "GET") & ~is_static_asset("url")
+
+
 @query
 def late_page_events(spark, sf_dir):
-    fx = _fx(spark, sf_dir)
-    pred = equals_value("method", "GET") & ~is_static_asset("url")
-    return split_late(fx.access_log, PAGES["size"], PAGES["slide"], PAGES["delay"], PAGES["lateness"],
-                      pred=pred).late
+    return split_late(_fx(spark, sf_dir).access_log_arrivals, PAGES["size"], PAGES["slide"], PAGES["delay"],
+                      PAGES["lateness"], pred=page_pred(), **ARRIVALS).late
+
+
+@query
+def page_view_counts_lateness(spark, sf_dir):
+    return sliding_count_with_lateness(_fx(spark, sf_dir).access_log_arrivals, ["url"], PAGES["size"], PAGES["slide"],
+                                       PAGES["delay"], PAGES["lateness"], pred=page_pred(), **ARRIVALS)
+
+
+@query
+def hot_pages_lateness(spark, sf_dir):
+    return top_n_per_window(page_view_counts_lateness(spark, sf_dir), PAGES["n"], "url")
+
+
+@query
+def page_view_counts_5s(spark, sf_dir):
+    """The surveyed windows: 10 minutes every 5 seconds."""
+    return sliding_count(_page_rows(_fx(spark, sf_dir)), ["url"], PAGES["size"], PAGES_SLIDE)
 
 
 @query(name="exclude_static_assets")

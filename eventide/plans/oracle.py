@@ -116,14 +116,34 @@ select window_end, cast(row_number() over (partition by window_end order by cnt
        url, cnt
 from c qualify rank <= {J.PAGES['n']}"""
 
-ORACLE["late_page_events"] = with_fx("fx_access_log") + f"""
-, w as (select *, max(ts) over (order by seq rows between unbounded preceding and 1 preceding)
-                  - interval {int(seconds(J.PAGES['delay']))} second as watermark from fx_access_log)
-select seq, ip, user_id, ts, method, url, watermark from w
-where method = 'GET' and not regexp_matches(url, '\\.(css|js|png|ico)$')
-  and make_timestamp((epoch_us(ts) // {us(J.PAGES['slide'])}) * {us(J.PAGES['slide'])} + {us(J.PAGES['size'])})
+ARRIVED = with_fx("fx_access_log") + f"""
+, a as (select *, epoch_us(ts) + 1000000::bigint * case when seq % 7 = 0 then 21600 when seq % 5 = 0 then 1200 else 0 end
+          as arrival from fx_access_log),
+w as (select *, max(ts) over (order by arrival, seq rows between unbounded preceding and 1 preceding)
+                  - interval {int(seconds(J.PAGES['delay']))} second as watermark from a),
+p as (select * from w where method = 'GET' and not regexp_matches(url, '\\.(css|js|png|ico)$'))"""
+
+ORACLE["late_page_events"] = ARRIVED + f"""
+select seq, ip, user_id, ts, method, url, arrival, watermark from p
+where make_timestamp((epoch_us(ts) // {us(J.PAGES['slide'])}) * {us(J.PAGES['slide'])} + {us(J.PAGES['size'])})
       - interval 1 millisecond + interval {int(seconds(J.PAGES['lateness']))} second <= watermark"""
 
+ORACLE["page_view_counts_lateness"] = ARRIVED + f"""
+, e as (select url, watermark, make_timestamp(((epoch_us(ts) // {us(J.PAGES['slide'])}) - i) * {us(J.PAGES['slide'])}
+          + {us(J.PAGES['size'])}) as window_end
+        from p, range({int(seconds(J.PAGES['size']) // seconds(J.PAGES['slide']))}) r(i))
+select url, window_end, count(*) as cnt from e
+where not coalesce(window_end - interval 1 millisecond + interval {int(seconds(J.PAGES['lateness']))} second <= watermark, false)
+group by url, window_end"""
+
+ORACLE["hot_pages_lateness"] = "with c as (" + ORACLE["page_view_counts_lateness"].replace("\n", "\n  ") + f""")
+select window_end, cast(row_number() over (partition by window_end order by cnt desc, url) as integer) as rank,
+       url, cnt
+from c qualify rank <= {J.PAGES['n']}"""
+
+ORACLE["page_view_counts_5s"] = with_fx("fx_access_log", extra=f"p as ({PAGES})") + \
+    sliding_sql("p", ["url"], J.PAGES["size"], J.PAGES_SLIDE)
+
 ORACLE["exclude_static_assets"] = with_fx("fx_access_log") + \
     "select * from fx_access_log where not regexp_matches(url, '\\.(css|js|png|ico)$')"
 

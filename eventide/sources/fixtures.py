@@ -13,7 +13,7 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventide.timeutil import plus_seconds
+from eventide.timeutil import epoch_micros, plus_seconds, ts_type
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
           "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
@@ -72,6 +72,14 @@ class Fixtures:
             F.when(k % 10 == 0, "POST").otherwise("GET").alias("method"),
             F.concat(F.lit("/p/"), (k % 20).cast("string"), suffix).alias("url"))
 
+    @cached_property
+    def access_log_arrivals(self) -> DataFrame:
+        """The access log with an order of arrival (epoch microseconds): most rows arrive at their own time, some 20
+        minutes, some six hours after it."""
+        after = (F.when(F.col("seq") % 7 == 0, 21600).when(F.col("seq") % 5 == 0, 1200).otherwise(0)).cast("bigint")
+        at = epoch_micros("ts", ts_type(self.access_log, "ts")) + after * 1_000_000
+        return self.access_log.withColumn("arrival", at)
+
     @cached_property
     def marketing(self) -> DataFrame:
         et = F.col("event_type")

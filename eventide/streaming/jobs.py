@@ -17,14 +17,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from eventide.functions import equals_value, non_empty, not_equals_null_safe
-from eventide.functions.predicates import is_static_asset
 from eventide.plans import jobs as J
 from eventide.streaming.eventtime import with_event_time, wm_safe_filter
+from eventide.streaming.late_windows import stream_final_counts, stream_windows_with_late
 from eventide.streaming.processors import (stream_cap_per_key, stream_consecutive_run, stream_fail_bursts,
                                            stream_followed_by, stream_order_payment_status,
-                                           stream_running_unique_visitors, stream_split_late)
+                                           stream_running_unique_visitors)
 from eventide.streaming.sinks import split_channels
-from eventide.timeutil import seconds
 from eventide.streaming.twins import (stream_interval_join, stream_salted_count, stream_sliding_count, stream_top_n,
                                       stream_unique_visitors)
 
@@ -37,11 +36,23 @@ ACCESS_LOG_DELAY = "1 minute"
 LOGIN_DELAY = "3 seconds"
 
 
+#: Jobs with several named outputs: one stateful query whose ``channel`` column names the output of a row.
+OUTPUT_JOBS: dict[str, tuple[Callable[[Streams], DataFrame], tuple[str, ...]]] = {}
+
+
 def stream_job(fn):
     STREAM_JOBS[fn.__name__] = fn
     return fn
 
 
+def output_job(*channels: str):
+    """Registers a job whose rows carry a ``channel``; start it with ``write_channels``."""
+    def register(fn):
+        OUTPUT_JOBS[fn.__name__] = (fn, channels)
+        return fn
+    return register
+
+
 def _pv(s: Streams) -> DataFrame:
     return wm_safe_filter(with_event_time(s["user_behavior"], delay=ASCENDING), equals_value("behavior", "pv"))
 
@@ -57,27 +68,36 @@ def item_view_counts(s: Streams) -> DataFrame:
     return stream_sliding_count(_pv(s), ["item_id"], J.ITEMS["size"], J.ITEMS["slide"])
 
 
-def _pages(s: Streams) -> DataFrame:
-    # windows stay open for the allowed lateness behind the surveyed delay, so every row is counted or late
-    d = with_event_time(s["access_log"], delay=seconds(ACCESS_LOG_DELAY) + seconds(J.PAGES["lateness"]))
-    return wm_safe_filter(d, equals_value("method", "GET") & ~is_static_asset("url"))
+def _page_counts(s: Streams, slide=J.PAGES["slide"]) -> DataFrame:
+    d = with_event_time(s["access_log"], delay=ACCESS_LOG_DELAY)
+    return stream_final_counts(d, "url", J.PAGES["size"], slide, J.PAGES["lateness"], pred=J.page_pred())
 
 
 @stream_job
 def hot_pages(s: Streams) -> DataFrame:
-    c = stream_sliding_count(_pages(s), ["url"], J.PAGES["size"], J.PAGES["slide"], keep_window=True)
-    return stream_top_n(c, J.PAGES["n"], "url")
+    return stream_top_n(_page_counts(s), J.PAGES["n"], "url")
 
 
 @stream_job
 def page_view_counts(s: Streams) -> DataFrame:
-    return stream_sliding_count(_pages(s), ["url"], J.PAGES["size"], J.PAGES["slide"])
+    return _page_counts(s).drop("closes")
+
+
+@stream_job
+def page_view_counts_5s(s: Streams) -> DataFrame:
+    return _page_counts(s, J.PAGES_SLIDE).drop("closes")
+
+
+@output_job("fired", "late")
+def page_windows(s: Streams) -> DataFrame:
+    """Every firing of the page windows, first and repeated, and the late rows, from one stateful query."""
+    d = with_event_time(s["access_log"], delay=ACCESS_LOG_DELAY)
+    return stream_windows_with_late(d, "url", J.PAGES["size"], J.PAGES["slide"], J.PAGES["lateness"], pred=J.page_pred())
 
 
 @stream_job
 def late_page_events(s: Streams) -> DataFrame:
-    tagged = stream_split_late(_pages(s), J.PAGES["size"], J.PAGES["slide"], "0 seconds")
-    return split_channels(tagged, ["late"])["late"]
+    return split_channels(page_windows(s), ["late"])["late"].drop("window_end", "added")
 
 
 @stream_job
@@ -132,6 +152,12 @@ def _capped(s: Streams) -> DataFrame:
     return stream_cap_per_key(d, J.ADS["cap"], J.ADS["day_offset_hours"])
 
 
+@output_job("main", "blacklist")
+def ad_clicks(s: Streams) -> DataFrame:
+    """Clicks within the cap and the warnings, from one stateful query."""
+    return _capped(s)
+
+
 @stream_job
 def ad_clicks_capped(s: Streams) -> DataFrame:
     return split_channels(_capped(s), ["main"])["main"].drop("day", "msg")
@@ -190,6 +216,12 @@ def order_timeouts(s: Streams) -> DataFrame:
                                                          F.col("end_ts").alias("timeout_ts"), "result")
 
 
+@output_job("main", "side")
+def order_payments(s: Streams) -> DataFrame:
+    """Paid orders and the side output of timeouts, late and orphaned pays, from one stateful query."""
+    return stream_order_payment_status(_orders(s), J.ORDER_TIMEOUT)
+
+
 @stream_job
 def order_payment_status(s: Streams) -> DataFrame:
     return stream_order_payment_status(_orders(s), J.ORDER_TIMEOUT)
@@ -202,6 +234,12 @@ def _matched(s: Streams) -> DataFrame:
     return stream_interval_join(pays, recs, "tx_id", J.MATCH_BOUND)
 
 
+@output_job("matched", "unmatched_pays", "unmatched_receipts")
+def pay_receipt(s: Streams) -> DataFrame:
+    """Matched and both kinds of unmatched rows, from one stateful query."""
+    return _matched(s)
+
+
 @stream_job
 def pay_receipt_match(s: Streams) -> DataFrame:
     return split_channels(_matched(s), ["matched"])["matched"]

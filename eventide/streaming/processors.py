@@ -16,6 +16,8 @@ from __future__ import annotations
 
 import calendar
 import datetime as dt
+import heapq
+import itertools
 
 from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
@@ -32,6 +34,7 @@ _TS = T.StructType([T.StructField("ts", T.LongType())])
 
 
 _EPOCH = dt.datetime(1970, 1, 1)
+_EPOCH_UTC = _EPOCH.replace(tzinfo=dt.timezone.utc)
 
 
 def _us(t: dt.datetime) -> int:
@@ -41,7 +44,7 @@ def _us(t: dt.datetime) -> int:
 
 
 def _dt(us: int) -> dt.datetime:
-    return (_EPOCH + dt.timedelta(microseconds=us)).replace(tzinfo=dt.timezone.utc).astimezone().replace(tzinfo=None)
+    return _EPOCH_UTC + dt.timedelta(microseconds=us)
 
 
 def _ms(us: int) -> int:
@@ -453,51 +456,6 @@ def stream_fail_bursts(logins: DataFrame, window="2 seconds", min_fails: int = 2
             .transformWithState(BurstProcessor(window, min_fails), BURST_SCHEMA, "Append", "EventTime"))
 
 
-class LateRowProcessor(StatefulProcessor):
-    """T4: tag each row ``main`` or ``late`` against the current watermark.
-
-    A row is late when its last sliding window ends (minus 1 ms, plus the
-    allowed lateness) at or before the watermark.  Stateless per key; the
-    processor only gives access to the watermark, so rows are keyed by a
-    spreading column (e.g. the URL) and stay partitioned."""
-
-    def __init__(self, size, slide, lateness="1 minute", columns=("seq", "url", "ts")):
-        self.size_us, self.slide_us = int(seconds(size) * 1e6), int(seconds(slide) * 1e6)
-        self.late_us = int(seconds(lateness) * 1e6)
-        self.columns = columns
-
-    def init(self, handle):
-        pass
-
-    def handleInputRows(self, key, rows, timerValues):
-        wm_us = timerValues.getCurrentWatermarkInMs() * 1000
-        out = []
-        for r in rows:
-            t = _us(r.ts)
-            last_end = (t // self.slide_us) * self.slide_us + self.size_us
-            late = last_end + self.late_us <= wm_us  # exactly the rows Spark's closed windows no longer count
-            out.append(Row(**{c: r[c] for c in self.columns}, watermark=_dt(wm_us), channel="late" if late else "main"))
-        return iter(out)
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
-        return iter([])
-
-    def close(self):
-        pass
-
-
-def stream_split_late(df: DataFrame, size, slide, lateness="1 minute", key: str = "url") -> DataFrame:
-    """Streaming twin of ``split_late`` (input watermarked with the out-of-orderness delay).
-
-    ``watermark`` is the micro-batch watermark the row was judged against (the
-    batch operator uses the watermark in front of each row)."""
-    cols = tuple(df.columns)
-    schema = T.StructType([df.schema[c] for c in cols] + [T.StructField("watermark", T.TimestampType()),
-                                                          T.StructField("channel", T.StringType())])
-    return df.groupBy(key).transformWithState(LateRowProcessor(size, slide, lateness, cols), schema, "Append",
-                                              "EventTime")
-
-
 class RunningUniqueProcessor(_BufferedProcessor):
     """D4/T8 per window: one row per first-seen bit offset with the running count.
 
@@ -548,3 +506,39 @@ def stream_running_unique_visitors(pv: DataFrame, size="1 hour", cap: int = 1 <<
                   bitmap_offset("user_id", cap).alias("bit_offset"), "ts", "seq", "user_id")
     return d.groupBy("window_end").transformWithState(RunningUniqueProcessor(), RUNNING_UV_SCHEMA, "Append",
                                                       "EventTime")
+
+
+class LeastProcessor(StatefulProcessor):
+    """K0 per (closing time, window end, salt): the n first of (count desc, key asc), n rows of state."""
+
+    def __init__(self, n: int, key_type: T.DataType):
+        self.n, self.key_type = n, key_type
+
+    def init(self, handle):
+        self.h = handle
+        self.best = handle.getListState("best", T.StructType([T.StructField("cnt", T.LongType()),
+                                                              T.StructField("k", self.key_type)]))
+
+    def handleInputRows(self, key, rows, timerValues):
+        held = [tuple(x) for x in self.best.get()] if self.best.exists() else []
+        pairs = itertools.chain(held, ((r.cnt, r.k) for r in rows))
+        self.best.put(heapq.nsmallest(self.n, pairs, key=lambda p: (-p[0], p[1] is not None, p[1])))
+        self.h.registerTimer(_ms(key[0]))
+        return iter([])
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
+        out = [Row(at=_EPOCH_UTC + dt.timedelta(microseconds=key[0] - 1), _e=key[1], cnt=n, k=k)
+               for n, k in (self.best.get() if self.best.exists() else [])]
+        self.best.clear()
+        return iter(out)
+
+    def close(self):
+        pass
+
+
+def stream_least(grouped, n: int, key_type: T.DataType) -> DataFrame:
+    """``grouped`` by (closing micros, window end micros, salt), with columns k and cnt.  ``at``: event time."""
+    schema = T.StructType([T.StructField("at", T.TimestampType()), T.StructField("_e", T.LongType()),
+                           T.StructField("cnt", T.LongType()), T.StructField("k", key_type)])
+    return grouped.transformWithState(LeastProcessor(n, key_type), schema, "Append", "EventTime",
+                                      eventTimeColumnName="at")

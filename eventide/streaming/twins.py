@@ -7,9 +7,9 @@ closes it, and equal the batch result for closed windows.
 * sliding / tumbling counts: ``groupBy(window(ts, size, slide), keys)``; for
   small slides the pane form chains a second windowed aggregation over the
   pane's ``window_time`` ([V8]).
-* top-N: ``row_number`` is not allowed on streams ([V1]); chained
-  aggregations keep the top n per (window, key salt), then merge at most
-  salts * n candidates per window.
+* top-N: ``row_number`` is not allowed on streams ([V1]); a processor keeps n
+  rows per (window, key salt), then an aggregate merges at most salts * n
+  candidates per window.
 * distinct visitors: ``countDistinct`` is not allowed on streams; the
   two-level aggregation (window, user) -> window is exact ([V2]).
 * matching: stream-stream full outer join on key + time range ([V9]); Spark
@@ -24,6 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from eventide.functions.bitmap import DEFAULT_CAP, bitmap_offset
+from eventide.streaming.processors import stream_least
 from eventide.timeutil import interval_str, seconds
 
 
@@ -41,22 +42,21 @@ def stream_sliding_count(df: DataFrame, keys: list[str], size, slide=None, ts: s
     return agg.select(*(["window"] if keep_window else []), *cols)
 
 
-def stream_top_n(counts_with_window: DataFrame, n: int, key: str, salts: int = 32) -> DataFrame:
-    """Chained aggregations: per closed window, the first n of (count desc, key asc).
-
-    ``row_number`` is not allowed on streams.  Stage 1 keeps the top n per
-    (window, xxhash64(key) mod ``salts``) - each group holds 1/salts of the
-    window's keys; stage 2 merges at most salts * n candidates per window.
-    """
-    pair = F.struct((-F.col("cnt")).alias("neg"), F.col(key).alias("k"))
-    salt = F.pmod(F.xxhash64(F.col(key)), F.lit(salts))
-    part = (counts_with_window.groupBy("window", salt.alias("_salt"))
-            .agg(F.slice(F.sort_array(F.collect_list(pair)), 1, n).alias("_part")))
-    top = (part.groupBy("window")
-           .agg(F.slice(F.sort_array(F.flatten(F.collect_list("_part"))), 1, n).alias("_top")))
-    ranked = top.select(F.col("window.end").alias("window_end"), F.posexplode("_top").alias("_i", "_e"))
-    return ranked.select("window_end", (F.col("_i") + 1).cast("int").alias("rank"), F.col("_e.k").alias(key),
-                         (-F.col("_e.neg")).alias("cnt"))
+def stream_top_n(counts: DataFrame, n: int, key: str, salts: int = 32) -> DataFrame:
+    """Per closed window, the first n of (count desc, key asc).
+
+    ``row_number`` is not allowed on streams.  A processor per (window, xxhash64(key) mod ``salts``) reads its share
+    of the window's counts once and holds n of them; an aggregate merges the at most salts * n candidates.
+    ``counts``: key, cnt, window_end and the column Spark closes them by, ``closes`` or ``window``."""
+    closes = F.col("closes") if "closes" in counts.columns else F.col("window.end")
+    d = counts.select(F.unix_micros(closes).alias("_c"), F.unix_micros("window_end").alias("_e"),
+                      F.pmod(F.xxhash64(F.col(key)), F.lit(salts)).alias("_salt"), F.col(key).alias("k"), "cnt")
+    top = stream_least(d.groupBy("_c", "_e", "_salt"), n, counts.schema[key].dataType)
+    pair = F.struct((-F.col("cnt")).alias("neg"), "k")
+    best = (top.groupBy("at", "_e").agg(F.slice(F.sort_array(F.collect_list(pair)), 1, n).alias("_top"))
+            .select(F.timestamp_micros("_e").alias("window_end"), F.posexplode("_top").alias("_i", "_p")))
+    return best.select("window_end", (F.col("_i") + 1).cast("int").alias("rank"), F.col("_p.k").alias(key),
+                       (-F.col("_p.neg")).alias("cnt"))
 
 
 def stream_salted_count(df: DataFrame, size, salt_of: str = "seq", n_salts: int = 10, ts: str = "ts") -> DataFrame:

@@ -160,18 +160,9 @@ def test_followed_by_and_burst_processors(spark):
     assert as_set(got, cols) == as_set(fail_bursts(lg, "24 hours", 2), cols)
 
 
-def test_late_rows_and_running_uv_processors(spark, ub):
+def test_running_uv_processor(spark, ub):
     from eventide.operators import running_unique_visitors
-    from eventide.streaming import stream_running_unique_visitors, stream_split_late
-    t0 = ts("2019-05-21 09:27:22")
-    rows = [(0, "/a", t0), (1, "/a", t0 + dt.timedelta(seconds=1000)),
-            (2, "/a", t0 + dt.timedelta(seconds=100)), (3, "/b", t0 + dt.timedelta(seconds=900))]
-    df = spark.createDataFrame(rows, "seq long, url string, ts timestamp_ntz")
-    folder = tempfile.mkdtemp(prefix="late-")
-    write_ordered_files(df, folder, 2, "seq")
-    s = with_event_time(read_ordered_files(spark, folder, df.schema), delay="1 minute")
-    out = run(spark, stream_split_late(s, "10 minutes", "1 minute", "1 minute"))
-    assert {(r.seq, r.channel) for r in out.collect()} == {(0, "main"), (1, "main"), (2, "late"), (3, "main")}
+    from eventide.streaming import stream_running_unique_visitors
     pv = ub.filter("behavior = 'pv'")
     spv = wm_safe_filter(with_event_time(replay(spark, ub, flush_ub(ub))), equals_value("behavior", "pv"))
     got = run(spark, stream_running_unique_visitors(spv))
@@ -205,3 +196,25 @@ def test_allowed_lateness_and_sinks(spark, tmp_path):
     q2.stop()
     even = spark.read.parquet(str(tmp_path / "out" / "channel=even"))
     assert sorted(r.seq for r in even.collect()) == [0, 2]
+
+
+def test_top_n_of_many_keys_equals_batch(spark, tmp_path):
+    """100,000 keys in each of two windows; no plan node gathers them."""
+    from eventide.operators import sliding_count, top_n_per_window
+    from eventide.streaming import stream_sliding_count, stream_top_n
+    t0 = "timestamp_ntz'2024-01-01 00:00:00'"
+    n = F.when(F.col("id") % 1000 == 7, 5).otherwise(1) + (F.col("id") % 3 == 0).cast("int")
+    rows = (spark.range(200_000).select((F.col("id") % 100_000).alias("item_id"), "id", n.alias("n"))
+            .select("item_id", "id", F.explode(F.sequence(F.lit(1), "n")).alias("r"))
+            .select("item_id", (F.col("id") * 10 + F.col("r")).alias("seq"),
+                    F.expr(f"{t0} + make_dt_interval(0, 0, 0, id div 100000 * 3600 + id % 3000)").alias("ts")))
+    src = str(tmp_path / "keys")
+    flush = spark.createDataFrame([(1, 10 ** 9, FAR)], rows.schema)
+    rows.unionByName(flush).coalesce(1).sortWithinPartitions("seq").write.parquet(src)
+    s = with_event_time(spark.readStream.schema(rows.schema).parquet(src))
+    counts = stream_sliding_count(s, ["item_id"], "1 hour", keep_window=True)
+    out = stream_top_n(counts, 4, "item_id")
+    got = run(spark, out).collect()
+    want = top_n_per_window(sliding_count(rows, ["item_id"], "1 hour", "1 hour"), 4, "item_id").collect()
+    key = lambda r: (r.window_end.replace(tzinfo=None), r["rank"], r.item_id, r.cnt)
+    assert sorted(map(key, want)) == sorted(key(r) for r in got if r.window_end.year < 2030)
