@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from eventide.plans import QUERIES
 from eventide.sources import parsers as P
 from eventide.sources.connectors import kafka_lines, publish_lines
-from eventide.streaming.jobs import OUTPUT_JOBS, STREAM_JOBS
+from eventide.streaming.jobs import OUTPUT_JOBS, SINK_JOBS, STREAM_JOBS
 from eventide.streaming.sinks import write_channels, write_stream
 
 TEXT_PARSERS = {"user_behavior": P.parse_user_behavior, "access_log": P.parse_access_log,
@@ -78,7 +78,7 @@ def main(argv=None):
     if a.cmd == "list":
         print("batch:", " ".join(sorted(QUERIES)))
         print("stream:", " ".join(sorted(STREAM_JOBS)))
-        print("stream, several outputs:", " ".join(sorted(OUTPUT_JOBS)))
+        print("stream, to a folder:", " ".join(sorted(OUTPUT_JOBS | SINK_JOBS)))
         return 0
     from eventide.session import get_spark
     spark = SparkSession.getActiveSession() or get_spark()
@@ -95,9 +95,11 @@ def main(argv=None):
         if a.format != "text" and a.schema_from and a.format != "kafka":
             schema = spark.read.parquet(f"{a.schema_from.rstrip('/')}/{name}.parquet").schema
         streams[name] = stream_source(spark, name, path, a.format, schema, a.max_files, a.brokers)
-    if a.job in OUTPUT_JOBS:
-        if not a.out:
-            ap.error(f"{a.job} has several outputs: give --out a folder for them")
+    if a.job in OUTPUT_JOBS | SINK_JOBS and not a.out:
+        ap.error(f"{a.job} writes a folder: give --out")
+    if a.job in SINK_JOBS:
+        q = SINK_JOBS[a.job](streams, a.out, a.checkpoint)
+    elif a.job in OUTPUT_JOBS:
         job, channels = OUTPUT_JOBS[a.job]
         q = write_channels(job(streams), a.job, a.out, list(channels), checkpoint=a.checkpoint)
     else:

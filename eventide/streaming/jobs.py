@@ -15,14 +15,15 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from eventide.functions import equals_value, non_empty, not_equals_null_safe
 from eventide.plans import jobs as J
 from eventide.streaming.eventtime import with_event_time, wm_safe_filter
 from eventide.streaming.late_windows import stream_final_counts, stream_windows_with_late
 from eventide.streaming.processors import (stream_cap_per_key, stream_consecutive_run, stream_fail_bursts,
-                                           stream_followed_by, stream_order_payment_status,
-                                           stream_running_unique_visitors)
+                                           stream_followed_by, stream_order_payment_status)
+from eventide.streaming.running import write_running_unique_visitors
 from eventide.streaming.sinks import split_channels
 from eventide.streaming.twins import (stream_interval_join, stream_salted_count, stream_sliding_count, stream_top_n,
                                       stream_unique_visitors)
@@ -39,6 +40,14 @@ LOGIN_DELAY = "3 seconds"
 #: Jobs with several named outputs: one stateful query whose ``channel`` column names the output of a row.
 OUTPUT_JOBS: dict[str, tuple[Callable[[Streams], DataFrame], tuple[str, ...]]] = {}
 
+#: Jobs that finish their micro-batches with batch operators: (streams, out, checkpoint) -> the started query.
+SINK_JOBS: dict[str, Callable[..., StreamingQuery]] = {}
+
+
+def sink_job(fn):
+    SINK_JOBS[fn.__name__] = fn
+    return fn
+
 
 def stream_job(fn):
     STREAM_JOBS[fn.__name__] = fn
@@ -120,9 +129,9 @@ def unique_visitors_bitmap(s: Streams) -> DataFrame:
     return stream_unique_visitors(_pv(s), J.HOURLY, cap=1 << 29)
 
 
-@stream_job
-def running_unique_visitors(s: Streams) -> DataFrame:
-    return stream_running_unique_visitors(_pv(s), J.HOURLY)
+@sink_job
+def running_unique_visitors(s: Streams, out: str, checkpoint: str | None = None) -> StreamingQuery:
+    return write_running_unique_visitors(_pv(s), "running_unique_visitors", out, J.HOURLY, checkpoint=checkpoint)
 
 
 def _marketing(s: Streams) -> DataFrame:

@@ -456,56 +456,91 @@ def stream_fail_bursts(logins: DataFrame, window="2 seconds", min_fails: int = 2
             .transformWithState(BurstProcessor(window, min_fails), BURST_SCHEMA, "Append", "EventTime"))
 
 
-class RunningUniqueProcessor(_BufferedProcessor):
-    """D4/T8 per window: one row per first-seen bit offset with the running count.
+class FirstSightingProcessor(StatefulProcessor):
+    """D4 per (window end, offset salt): the first sighting of every bit offset, handed on when the watermark passes
+    the end of its time bucket, after which no earlier one can come."""
 
-    Keyed by window end; the seen offsets live in a MapState (the Spark-state
-    form of the per-window bitmap) and the window is dropped by a timer once
-    the watermark passes its end."""
+    def __init__(self, bucket):
+        self.bucket = int(round(seconds(bucket) * 1_000_000))
 
-    fields = T.StructType([T.StructField("ts", T.LongType()), T.StructField("seq", T.LongType()),
-                           T.StructField("off", T.LongType()), T.StructField("user_id", T.LongType())])
-
-    def setup(self, handle):
-        self.seen = handle.getMapState("seen", T.StructType([T.StructField("o", T.LongType())]),
-                                       T.StructType([T.StructField("b", T.BooleanType())]))
-        self.n = handle.getValueState("n", T.StructType([T.StructField("n", T.LongType())]))
-
-    def row_values(self, r):
-        return (_us(r.ts), r.seq, r.bit_offset, r.user_id)
+    def init(self, handle):
+        self.h = handle
+        offset = T.StructType([T.StructField("o", T.LongType())])
+        self.seen = handle.getMapState("seen", offset, T.StructType([T.StructField("b", T.BooleanType())]))
+        self.new = handle.getMapState("new", offset, T.StructType([
+            T.StructField("t", T.LongType()), T.StructField("seq", T.LongType()), T.StructField("user_id", T.LongType())]))
+        self.timer = handle.getValueState("timer", _TS)
+
+    def _end(self, t: int) -> int:
+        return t - t % self.bucket + self.bucket
+
+    def _wait(self, ends) -> None:
+        """One timer: the end of the first open bucket, at last that of the window."""
+        due = -(-min(ends) // 1000)
+        old = self.timer.get()[0] if self.timer.exists() else None
+        if old is None or due < old:
+            if old is not None:
+                self.h.deleteTimer(old)
+            self.h.registerTimer(due)
+            self.timer.update((due,))
 
-    def on_events(self, key, events, wm):
-        n = self.n.get()[0] if self.n.exists() else 0
-        out = []
-        for t, seq, off, user in events:
-            if self.seen.containsKey((off,)):
+    def handleInputRows(self, key, rows, timerValues):
+        first = {}
+        for r in rows:
+            e = (r.t, r.seq, r.user_id)
+            if r.bit_offset not in first or e[:2] < first[r.bit_offset][:2]:
+                first[r.bit_offset] = e
+        ends = [key[0]]
+        for offset, e in first.items():
+            if self.seen.containsKey((offset,)):
                 continue
-            self.seen.updateValue((off,), (True,))
-            n += 1
-            out.append(Row(window_end=key[0], bit_offset=off, ts=_dt(t), seq=seq, user_id=user, uv=n))
-        self.n.update((n,))
-        self.h.registerTimer(_ms(_us(key[0])))
-        return out
+            if self.new.containsKey((offset,)) and tuple(self.new.getValue((offset,)))[:2] <= e[:2]:
+                continue
+            self.new.updateValue((offset,), e)
+            ends.append(self._end(e[0]))
+        self._wait(ends)
+        return iter([])
 
-    def on_watermark(self, key, wm):
-        if _ms(_us(key[0])) <= wm and not self.buf.exists():
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
+        wm = timerValues.getCurrentWatermarkInMs() * 1000
+        self.timer.clear()
+        out, ends = [], []
+        for (offset,), (t, seq, user) in list(self.new.iterator()):
+            end = self._end(t)
+            if end > wm:
+                ends.append(end)
+                continue
+            out.append(Row(at=_EPOCH_UTC + dt.timedelta(microseconds=end - 1), _w=key[0], bit_offset=offset, t=t, seq=seq,
+                           user_id=user))
+            self.new.removeKey((offset,))
+            self.seen.updateValue((offset,), (True,))
+        if key[0] <= wm:
             self.seen.clear()
-            self.n.clear()
-        return []
+        else:
+            self._wait([key[0], *ends])
+        return iter(out)
+
+    def close(self):
+        pass
 
 
-RUNNING_UV_SCHEMA = T.StructType([T.StructField("window_end", T.TimestampType()), T.StructField("bit_offset", T.LongType()),
-                                  T.StructField("ts", T.TimestampType()), T.StructField("seq", T.LongType()),
-                                  T.StructField("user_id", T.LongType()), T.StructField("uv", T.LongType())])
+_SIGHTING = T.StructType([T.StructField("at", T.TimestampType())]
+                         + [T.StructField(c, T.LongType()) for c in ("_w", "bit_offset", "t", "seq", "user_id")])
 
 
-def stream_running_unique_visitors(pv: DataFrame, size="1 hour", cap: int = 1 << 29) -> DataFrame:
+def stream_first_sightings(pv: DataFrame, size="1 hour", cap: int = 1 << 29, bucket="1 second",
+                           salts: int = 32) -> DataFrame:
+    """window_end, bit_offset, ts, seq, user_id of the first row of every bit offset in every window, once the
+    watermark has passed its time bucket.  No group holds more than one salt of a window's visitors."""
     from eventide.functions.bitmap import bitmap_offset
     from eventide.timeutil import interval_str
-    d = pv.select(F.window("ts", interval_str(size)).end.alias("window_end"),
-                  bitmap_offset("user_id", cap).alias("bit_offset"), "ts", "seq", "user_id")
-    return d.groupBy("window_end").transformWithState(RunningUniqueProcessor(), RUNNING_UV_SCHEMA, "Append",
-                                                      "EventTime")
+    offset = bitmap_offset("user_id", cap)
+    d = pv.select(F.unix_micros(F.window("ts", interval_str(size)).end).alias("_w"), "ts", offset.alias("bit_offset"),
+                  F.unix_micros("ts").alias("t"), "seq", "user_id")
+    d = d.withColumn("_salt", F.pmod(F.xxhash64("bit_offset"), F.lit(salts)))
+    out = d.groupBy("_w", "_salt").transformWithState(FirstSightingProcessor(bucket), _SIGHTING, "Append", "EventTime")
+    return out.select(F.timestamp_micros("_w").alias("window_end"), "bit_offset", F.timestamp_micros("t").alias("ts"),
+                      "seq", "user_id", "at")
 
 
 class LeastProcessor(StatefulProcessor):

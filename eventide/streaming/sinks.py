@@ -15,7 +15,7 @@ from pyspark.sql.streaming import StreamingQuery
 from eventide.session import checkpoint_dir
 
 
-def _ckpt(spark: SparkSession, name: str) -> str:
+def checkpoint_of(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_dir(spark).rstrip('/')}/streams/{name}"
 
 
@@ -24,7 +24,7 @@ def write_stream(df: DataFrame, name: str, sink: str = "memory", mode: str = "ap
                  trigger: dict | None = None) -> StreamingQuery:
     """Start a stream into ``memory`` (query name = ``name``), ``console`` or a file format."""
     w = (df.writeStream.outputMode(mode).format(sink)
-         .option("checkpointLocation", checkpoint or _ckpt(df.sparkSession, name)))
+         .option("checkpointLocation", checkpoint or checkpoint_of(df.sparkSession, name)))
     if sink == "memory":
         w = w.queryName(name)
     if path:
@@ -55,4 +55,4 @@ def write_channels(df: DataFrame, name: str, base_path: str, channels: list[str]
          .partitionBy(column, "batch").parquet(base_path))
 
     return (df.writeStream.foreachBatch(per_batch)
-            .option("checkpointLocation", checkpoint or _ckpt(df.sparkSession, name)).start())
+            .option("checkpointLocation", checkpoint or checkpoint_of(df.sparkSession, name)).start())

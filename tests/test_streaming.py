@@ -160,14 +160,36 @@ def test_followed_by_and_burst_processors(spark):
     assert as_set(got, cols) == as_set(fail_bursts(lg, "24 hours", 2), cols)
 
 
-def test_running_uv_processor(spark, ub):
+@pytest.mark.parametrize("salts", [1, 32])
+def test_running_uv_job_equals_batch(spark, ub, tmp_path, salts):
     from eventide.operators import running_unique_visitors
-    from eventide.streaming import stream_running_unique_visitors
-    pv = ub.filter("behavior = 'pv'")
+    from eventide.streaming import write_running_unique_visitors
     spv = wm_safe_filter(with_event_time(replay(spark, ub, flush_ub(ub))), equals_value("behavior", "pv"))
-    got = run(spark, stream_running_unique_visitors(spv))
+    q = write_running_unique_visitors(spv, "uv", str(tmp_path / "out"), checkpoint=str(tmp_path / "ck"), salts=salts)
+    q.processAllAvailable()
+    q.stop()
+    got = spark.read.parquet(str(tmp_path / "out"))
+    assert got.select("batch").distinct().count() > 2  # counts go on from batch to batch
     cols = ["window_end", "bit_offset", "ts", "seq", "user_id", "uv"]
-    assert as_set(got, cols) == as_set(running_unique_visitors(pv), cols)
+    assert as_set(got, cols) == as_set(running_unique_visitors(ub.filter("behavior = 'pv'")), cols)
+
+
+def test_running_uv_batch_run_twice_gives_its_rows_once(spark, tmp_path):
+    from eventide.streaming import running
+    t0 = ts("2024-01-01 00:00:00")
+    h = dt.timedelta(hours=1)
+
+    def batch(*seqs):
+        return spark.createDataFrame([(t0 + h, s, t0 + dt.timedelta(seconds=s), s, s, t0 + dt.timedelta(seconds=s + 1))
+                                      for s in seqs],
+                                     "window_end timestamp, bit_offset long, ts timestamp, seq long, user_id long, at timestamp")
+    totals, out = str(tmp_path / "totals"), str(tmp_path / "out")
+    for k in range(running.SLOTS):
+        spark.createDataFrame([(None, 0, -1)], running._TOTALS).write.parquet(f"{totals}/slot{k}")
+    for i, seqs in enumerate([(1, 2, 3), (4, 5), (4, 5), (), (9,), (10, 11)]):
+        running.number_batch(batch(*seqs), [0, 1, 1, 2, 3, 4][i], totals, out)
+    got = {(r.seq, r.uv, r.batch) for r in spark.read.parquet(out).collect()}
+    assert got == {(1, 1, 0), (2, 2, 0), (3, 3, 0), (4, 4, 1), (5, 5, 1), (9, 6, 3), (10, 7, 4), (11, 8, 4)}
 
 
 def test_allowed_lateness_and_sinks(spark, tmp_path):
