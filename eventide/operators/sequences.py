@@ -1,20 +1,13 @@
 """Sequence detection per key in (ts, seq) order.
 
-All detectors start from one ``ordered_scan`` (bucketed, skew-safe) that
-gives every event its position and running counts inside its key.  With those
-ordinals "the previous fail", "the first pay after this create" or "the fail
-n-1 places back in this run" are equi-joins on unique (key, ordinal) pairs:
-no per-key collection, no all-pairs join.
-
-* consecutive runs (C1, C3, C4): the events between two non-matching events
-  form an island; ``run_id`` = number of non-matching events so far is
-  constant inside it.  A run of n ends at fail f iff the fail with ordinal
-  ord(f) - n + 1 has the same run_id.
+Every detector works on (key, time bucket), so a hot key is spread over its
+buckets; rows that matter to a neighbouring bucket are copied into it.
+
+* consecutive runs (C1, C3, C4): a window over the last n events.
 * bursts (C2): greedy anchoring is a fold.  The timeline is first cut into
   independent segments (a success or a gap > window always ends a burst), and
   the native ``aggregate`` higher-order function folds each segment JVM-side.
-* followed-by (C5/C6): the first pay after a create is the pay whose pay
-  ordinal is (pays before the create) + 1.
+* followed-by (C5/C6): a running min over the later events.
 * order status (C7): a per-order aggregate of min create / min pay times.
 """
 
@@ -22,11 +15,11 @@ from __future__ import annotations
 
 from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from eventide.operators.scan import Running, materialize, ordered_scan, time_bucket
-from eventide.timeutil import col, interval_str, seconds, ts_type
+from eventide.timeutil import epoch_micros, interval_str, seconds, ts_type
 
 # Messages of the surveyed detectors.
 PAIR_MSG = "login fail in {window}s for {n}tiems"
@@ -50,70 +43,69 @@ def _fine(ts, hot_rows):
     return {"fine": time_bucket(ts, FINE_BUCKET), "hot_rows": hot_rows} if hot_rows else {}
 
 
-def _is(pred) -> Column:
-    return F.coalesce(pred, F.lit(False)).cast("int")
+def _buckets(df: DataFrame, ts: str, width, reach=None, copy: Column | None = None, ahead: bool = True) -> DataFrame:
+    """Rows with the start ``_b`` (epoch microseconds) of their time bucket; with ``reach``, rows for which ``copy``
+    holds and that lie within ``reach`` of the next bucket (``ahead``; else of the one before) are copied into it,
+    marked ``_ghost``.  A bucket is at least ``reach`` wide, so rows no further apart than that always meet."""
+    micros = int(round(max(seconds(width), seconds(reach or 0)) * 1_000_000))
+    d = df.withColumn("_t", epoch_micros(ts, ts_type(df, ts)))
+    start = F.col("_t") - F.pmod(F.col("_t"), F.lit(micros))
+    if reach is None:
+        return d.withColumn("_b", start).drop("_t")
+    near = int(round(seconds(reach) * 1_000_000))
+    edge = F.col("_t") >= start + (micros - near) if ahead else F.col("_t") <= start + near
+    own = F.struct(start.alias("b"), F.lit(False).alias("g"))
+    other = F.struct((start + micros if ahead else start - micros).alias("b"), F.lit(True).alias("g"))
+    if copy is not None:
+        edge = edge & copy
+    d = d.withColumn("_s", F.explode(F.when(edge, F.array(own, other)).otherwise(F.array(own))))
+    return d.select("*", F.col("_s.b").alias("_b"), F.col("_s.g").alias("_ghost")).drop("_s", "_t")
 
 
 def consecutive_run(df: DataFrame, n: int = 8, key: str = "user_id",
                     pred: Column | None = None, within=None, inclusive: bool = True,
-                    ts: str = "ts", seq: str = "seq", bucket="1 day", msg: str | None = None,
-                    hot_rows: int = HOT_ROWS) -> DataFrame:
+                    ts: str = "ts", seq: str = "seq", bucket="1 hour", msg: str | None = None) -> DataFrame:
     """Every run of ``n`` directly consecutive matching events (overlapping matches).
 
     A run of r matching events yields r - n + 1 rows (first and last event
     time).  ``within`` bounds last - first (inclusive ``<=`` or strict ``<``).
 
-    One bucketed scan: a row whose n-row frame lies inside its bucket is
-    decided by in-bucket window frames; only the first n-1 rows of a bucket
-    look up the row n-1 places back, among the last n-1 rows of earlier
-    buckets - a grouping of at most 2(n-1) rows per (key, bucket).
+    A window over (key, time bucket) decides each row by its last n rows, so a
+    hot key is spread over its buckets.  With ``within`` the rows that far in
+    front of a bucket are copied into it: one shuffle.  Without it, the first
+    n - 1 rows of a bucket need rows from any time before; they are decided by
+    a second window, per key, over the first and last n - 1 rows of each
+    bucket alone, between which no row that matters is left out.
     """
     pred = F.col("login_state") == "fail" if pred is None else pred
-    hit = _is(pred)
-    frame = (lambda w: w.rowsBetween(-(n - 1), 0))
-    s = ordered_scan(df, [key], [F.col(ts), F.col(seq)], time_bucket(ts, bucket),
-                     running=[Running("_cum", "sum", hit)], bucket_info=True, **_fine(ts, hot_rows),
-                     window_cols={"_nf": lambda w: F.sum(hit).over(frame(w)),
-                                  "_first": lambda w: F.first(F.col(ts)).over(frame(w))})
     is_hit = F.coalesce(pred, F.lit(False))
-
-    def bounded(first_ts, last_ts):
-        if within is None:
-            return F.lit(True)
-        b = first_ts + F.expr(f"INTERVAL {interval_str(within)}")
-        return (last_ts <= b) if inclusive else (last_ts < b)
-
     text = msg if msg is not None else (
         PAIR_MSG.format(window=int(seconds(within)), n=n) if within is not None else RUN_MSG.format(n=n))
-    # One consumer of the scan (so its shuffle runs once): every row emits at most
-    #   M - a match decided inside its bucket (target -pos, alone in its group),
-    #   H - a bucket head that needs the row n-1 places back (target pos),
-    #   T - a bucket tail, offered to the head n-1 places ahead (target pos + n - 1);
-    # one groupBy(key, target) pairs heads with tails.
-    rec = "struct<role:string,tgt:bigint,t0:{tt},t1:{tt},cum:bigint,hit:int>".format(tt=ts_type(df, ts))
-    pos, rn, bn, cum = F.col("pos"), F.col("_b_rn"), F.col("_b_n"), F.col("_cum")
-
-    def mk(role, tgt, t0, t1):
-        return F.struct(F.lit(role).alias("role"), tgt.cast("bigint").alias("tgt"), t0.alias("t0"), t1.alias("t1"),
-                        cum.cast("bigint").alias("cum"), hit.alias("hit"))
-
-    recs = F.filter(F.array(
-        F.when(is_hit & (rn >= n) & (F.col("_nf") == n) & bounded(F.col("_first"), F.col(ts)),
-               mk("M", -pos, F.col("_first"), F.col(ts))),
-        F.when(is_hit & (rn < n) & (pos >= n), mk("H", pos, F.col(ts), F.col(ts))),
-        F.when(rn > bn - (n - 1), mk("T", pos + (n - 1), F.col(ts), F.col(ts)))).cast(f"array<{rec}>"),
-        lambda x: x.isNotNull())
-    x = s.select(key, F.explode(recs).alias("r"))
-    g = x.groupBy(key, F.col("r.tgt").alias("_tgt")).agg(
-        F.max(F.when(F.col("r.role") == "M", F.col("r"))).alias("m"),
-        F.max(F.when(F.col("r.role") == "H", F.col("r"))).alias("h"),
-        F.max(F.when(F.col("r.role") == "T", F.col("r"))).alias("t"))
-    edge_ok = (F.col("h").isNotNull() & F.col("t").isNotNull()
-               & (F.col("h.cum") - F.col("t.cum") + F.col("t.hit") == n) & bounded(F.col("t.t0"), F.col("h.t1")))
-    out = g.filter(F.col("m").isNotNull() | edge_ok).select(
-        key, F.coalesce(F.col("m.t0"), F.col("t.t0")).alias("first_fail_ts"),
-        F.coalesce(F.col("m.t1"), F.col("h.t1")).alias("last_fail_ts"))
-    return out.withColumn("msg", F.lit(text))
+    d = df.select(key, ts, seq, is_hit.alias("_hit"))
+    d = _buckets(d, ts, bucket, within if n > 1 else None)
+    order = [F.col(ts), F.col(seq)]
+
+    def runs(rows, *keys):
+        last_n = Window.partitionBy(*keys).orderBy(*order).rowsBetween(-(n - 1), 0)
+        return rows.withColumns({"_n": F.sum(F.col("_hit").cast("int")).over(last_n),
+                                 "first_fail_ts": F.first(F.col(ts)).over(last_n)})
+
+    found = F.col("_hit") & (F.col("_n") == n)
+    out = [key, "first_fail_ts", F.col(ts).alias("last_fail_ts"), F.lit(text).alias("msg")]
+    if within is not None:
+        end = F.col("first_fail_ts") + F.expr(f"INTERVAL {interval_str(within)}")
+        near = F.col(ts) <= end if inclusive else F.col(ts) < end
+        mine = ~F.col("_ghost") if n > 1 else F.lit(True)
+        return runs(d, key, "_b").filter(found & near & mine).select(*out)
+    inside = runs(d, key, "_b").filter(found)
+    if n == 1:
+        return inside.select(*out)
+    in_bucket = Window.partitionBy(key, "_b")
+    edge = (d.withColumns({"_rn": F.row_number().over(in_bucket.orderBy(*order)),
+                           "_rows": F.count(F.lit(1)).over(in_bucket)})
+            .filter((F.col("_rn") < n) | (F.col("_rn") > F.col("_rows") - (n - 1))))
+    across = runs(edge, key).filter(found & (F.col("_rn") < n))
+    return inside.select(*out).unionByName(across.select(*out))
 
 
 def consecutive_pairs(df: DataFrame, window="2 seconds", key: str = "user_id", pred: Column | None = None,
@@ -243,19 +235,22 @@ class FollowedBy(NamedTuple):
 
 def followed_by(df: DataFrame, within="15 minutes", key: str = "order_id",
                 first: Column | None = None, then: Column | None = None, ts: str = "ts", seq: str = "seq",
-                bucket="1 day", hot_rows: int = HOT_ROWS) -> FollowedBy:
+                bucket="1 hour") -> FollowedBy:
     """Each ``first`` event matched with the first later ``then`` event of its
     key if it comes less than ``within`` after it; otherwise a timeout at first + within.
 
-    "The first later ``then``" is a backwards running min over the bucketed
-    scan: one pass, no join of creates against pays.
+    Only a ``then`` less than ``within`` away decides, so one that close behind a time
+    bucket is copied into it, and a running min over (key, bucket), latest event first,
+    finds it: one read, one shuffle, and a hot key spread over its buckets.
     """
     first = F.col("event_type") == "create" if first is None else first
     then = F.col("event_type") == "pay" if then is None else then
-    s = ordered_scan(df, [key], [F.col(ts), F.col(seq)], time_bucket(ts, bucket), pos=None,
-                     **_fine(ts, hot_rows), running=[
-        Running("pay_ts", "min", F.when(F.coalesce(then, F.lit(False)), F.col(ts)), inclusive=False, after=True)])
-    j = s.filter(F.coalesce(first, F.lit(False))).select(key, F.col(ts).alias("create_ts"), "pay_ts")
+    d = df.select(key, ts, seq, F.coalesce(first, F.lit(False)).alias("_first"), F.coalesce(then, F.lit(False)).alias("_then"))
+    d = _buckets(d.filter(F.col("_first") | F.col("_then")), ts, bucket, within, F.col("_then"), ahead=False)
+    later = (Window.partitionBy(key, "_b").orderBy(F.col(ts).desc(), F.col(seq).desc())
+             .rowsBetween(Window.unboundedPreceding, -1))
+    d = d.withColumn("pay_ts", F.min(F.when(F.col("_then"), F.col(ts))).over(later))
+    j = d.filter(F.col("_first") & ~F.col("_ghost")).select(key, F.col(ts).alias("create_ts"), "pay_ts")
     deadline = F.col("create_ts") + F.expr(f"INTERVAL {interval_str(within)}")
     ok = F.coalesce(F.col("pay_ts") < deadline, F.lit(False))
     matched = j.filter(ok).select(key, "create_ts", "pay_ts", F.lit(PAYED).alias("result"))

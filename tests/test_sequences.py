@@ -108,27 +108,89 @@ def test_followed_by_and_status(spark):
                   5: "payed but not found create"}
 
 
-def test_hot_bucket_refinement_keeps_results(spark):
-    """hot_rows=2 marks nearly every (user, hour) hot: the 1-second sub-buckets must not change results."""
+def test_narrow_buckets_keep_results(spark):
     lg = Fixtures(spark, SF_MID).login
-    assert rows(consecutive_run(lg, 3, bucket="1 day", hot_rows=2)) == rows(consecutive_run(lg, 3, hot_rows=0))
+    assert rows(consecutive_run(lg, 3, bucket="1 second")) == rows(consecutive_run(lg, 3, bucket="365 days"))
     assert rows(fail_bursts(lg, "24 hours", 2, bucket="30 days", hot_rows=2)) == rows(fail_bursts(lg, "24 hours", 2))
     oe = Fixtures(spark, SF_MID).order_events
-    assert rows(followed_by(oe, "900 seconds", bucket="365 days", hot_rows=1).matched) == rows(
-        followed_by(oe, "900 seconds").matched)
-
-
-def test_hot_key_is_split_across_buckets(spark):
-    """One user owns most rows, all inside one hour: the plan refines it and stays exact."""
+    wide, narrow = followed_by(oe, "900 seconds", bucket="365 days"), followed_by(oe, "900 seconds", bucket="1 second")
+    assert rows(wide.matched) == rows(narrow.matched) and rows(wide.timeouts) == rows(narrow.timeouts)
+
+
+def python_runs(evs, n, within=None, inclusive=True):
+    """Plain replay of (seq, user, state, ts) rows."""
+    out, by_user = [], {}
+    for s, u, st, t in sorted(evs, key=lambda e: (e[3], e[0])):
+        run = by_user.setdefault(u, [])
+        run.append(t) if st == "fail" else run.clear()
+        if len(run) >= n:
+            gap = run[-1] - run[-n]
+            if within is None or gap < within or (inclusive and gap == within):
+                out.append((u, run[-n], run[-1]))
+    return sorted(out)
+
+
+@pytest.mark.parametrize("bucket", ["1 second", "1 minute", "1 hour"])
+def test_hot_key_is_split_across_buckets(spark, bucket):
+    """One user owns most rows, all inside one hour, many at the same instant."""
     import random
     rnd = random.Random(5)
-    evs = [(i, 1, "x", "fail" if rnd.random() < 0.6 else "success", T0 + dt.timedelta(milliseconds=250 * i))
-           for i in range(4000)]
-    evs += [(5000 + i, 2, "x", "fail", T0 + dt.timedelta(seconds=i)) for i in range(10)]
-    df = spark.createDataFrame(evs, "seq long, user_id long, ip string, login_state string, ts timestamp_ntz")
-    fine = rows(consecutive_run(df, 3, hot_rows=100))
-    coarse = rows(consecutive_run(df, 3, hot_rows=0))
-    assert fine == coarse and len(fine) > 100
+    evs = [(i, 1, "fail" if rnd.random() < 0.7 else "success", T0 + dt.timedelta(milliseconds=250 * (i // 3 * 3)))
+           for i in range(3000)]
+    evs += [(5000 + i, 2, "fail", T0 + dt.timedelta(seconds=7 * i)) for i in range(10)]
+    df = spark.createDataFrame(evs, "seq long, user_id long, login_state string, ts timestamp_ntz")
+    cols = ["user_id", "first_fail_ts", "last_fail_ts"]
+    for n in (1, 2, 3, 8):
+        assert rows(consecutive_run(df, n, bucket=bucket), *cols) == python_runs(evs, n)
+    two = dt.timedelta(seconds=2)
+    for n, inclusive in ((2, True), (2, False), (4, True)):
+        got = consecutive_run(df, n, within="2 seconds", inclusive=inclusive, bucket=bucket)
+        assert rows(got, *cols) == python_runs(evs, n, two, inclusive)
+
+
+def python_followed(evs, within):
+    matched, timeouts = [], []
+    for s, o, kind, _, t in evs:
+        if kind == "create":
+            pays = [(p, q) for q, r, k, _, p in evs if r == o and k == "pay" and (p, q) > (t, s)]
+            if pays and min(pays)[0] - t < within:
+                matched.append((o, t, min(pays)[0]))
+            else:
+                timeouts.append((o, t, t + within))
+    return sorted(matched), sorted(timeouts)
+
+
+@pytest.mark.parametrize("bucket", ["1 second", "1 hour"])
+def test_followed_by_equals_plain_replay(spark, bucket):
+    import random
+    rnd = random.Random(8)
+    df = orders(spark, [(rnd.choice([1, 1, 1, 2, 3]), rnd.choice(["create", "pay", "other"]), "", rnd.choice([0, 900, 1800, 3600])
+                         + rnd.randint(0, 4000)) for _ in range(300)] + [(4, "create", "", 0), (4, "pay", "", 900),
+                                                                          (5, "pay", "", 7), (5, "create", "", 7)])
+    evs = [tuple(r) for r in df.collect()]
+    fb = followed_by(df, "900 seconds", bucket=bucket)
+    got = rows(fb.matched, "order_id", "create_ts", "pay_ts"), rows(fb.timeouts, "order_id", "create_ts", "timeout_ts")
+    assert got == python_followed(evs, dt.timedelta(seconds=900))
+
+
+@pytest.mark.parametrize("name,exchanges", [("order_paid", 1), ("order_timeouts", 1), ("login_fail_pairs", 1),
+                                            ("login_fail_pairs_strict", 1), ("login_fail_runs", 3),
+                                            ("login_fail_runs_default", 3)])
+def test_shuffles_of_sequence_queries(spark, name, exchanges):
+    import re
+    from eventide.plans import QUERIES
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        df = QUERIES[name](spark, "/root/testdata/sf0.001")
+        plan = df._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert len(re.findall(r"(?<!\], )Exchange hashpartitioning", plan)) == exchanges  # those reused: "[..], Exchange"
+    # a create and a pay are two projections of one orders row
+    assert len(re.findall(r"FileScan parquet", plan)) <= 2
 
 
 @pytest.mark.parametrize("sf", ["/root/testdata/sf0.001", SF_MID])
