@@ -1,27 +1,40 @@
 """Time-bounded matching of two keyed streams.
 
-A left event (pay) and a right event (receipt) match when they share the key
-and their times differ by at most ``bound`` (inclusive).  Every pair in range is
-a match (the survey's pairing='all'); with unique keys per side (the usual case)
-that is exactly "the receipt of this pay within +-bound".  The join is on the key
-and a time bucket as wide as the bound, in which one side is entered three times,
-so a hot key is spread over its buckets and a row only meets rows near its time.
-
-Unmatched events of either side are returned as named side outputs.  The
-streaming twin (``streaming.twins.stream_interval_join``) is a stream-stream
-full outer join with the time range in its condition, whose state Spark bounds
-with the watermarks.
+A left event (pay) and a right event (receipt) can match when they share the key
+and their times differ by at most ``bound`` (inclusive).
+
+* pairing ``all`` (default): every pair in range.  The join is on the key and a time
+  bucket as wide as the bound, in which one side is entered three times, so a hot key
+  is spread over its buckets and a row only meets rows near its time.
+* ``first``: each side keeps the first event of every key, by (time, order), and those
+  two match if they are in range; later events of a key are not looked at.
+* ``one``: one-to-one, first come first served.  Events of a key are taken in time
+  order (left before right, then by order); each is paired with the longest waiting
+  event of the other side that is still in range, or waits itself.  No pair spans a
+  silence of the key longer than the bound, so the stretches between silences are
+  matched independently, each in one pass over its sorted rows that holds only the
+  waiting ones.
+
+With unique keys per side the three agree.  Unmatched events of either side are
+returned as named side outputs.  The streaming twins are a stream-stream full outer
+join (``all``) and ``stream_one_to_one`` (``one``).
 """
 
 from __future__ import annotations
 
+import itertools
 import math
+from collections import deque
 from typing import NamedTuple
 
-from pyspark.sql import DataFrame
+import pyarrow as pa
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from eventide.timeutil import interval_str, ntz_to_epoch_seconds, seconds
+from eventide.operators.scan import Running, ordered_scan, time_bucket
+from eventide.operators.sequences import time_buckets
+from eventide.timeutil import epoch_micros, interval_str, ntz_to_epoch_seconds, seconds, ts_type
 
 
 class Matched(NamedTuple):
@@ -35,17 +48,104 @@ def _bucket(df: DataFrame, ts: str, width: int):
     return F.floor(since / width)
 
 
+def first_come_pairs(events, bound: int):
+    """(left, right) pairs and unmatched (left, None) / (None, right) of one stretch; events: (time, side, payload)
+    in order, side 0 being left."""
+    waiting, side_waiting = deque(), 0
+    for t, side, payload in events:
+        while waiting and waiting[0][0] < t - bound:
+            old = waiting.popleft()[1]
+            yield (None, old) if side_waiting else (old, None)
+        if waiting and side_waiting != side:
+            other = waiting.popleft()[1]
+            yield (payload, other) if side == 0 else (other, payload)
+        else:
+            waiting.append((t, payload))
+            side_waiting = side
+    for _, old in waiting:
+        yield (None, old) if side_waiting else (old, None)
+
+
+def _one_to_one(left: DataFrame, right: DataFrame, key: str, bound, left_ts: str, right_ts: str,
+                left_order: list[str], right_order: list[str]) -> DataFrame:
+    """Columns _l and _r, structs of the paired rows (null: unmatched)."""
+    def side(df, ts, number, mine, other, theirs):
+        row = F.struct(*[F.col(c) for c in df.columns])
+        return df.select(F.col(key).cast("string").alias("_k"), F.col(ts).alias("_ts"), F.lit(number).alias("_side"),
+                         row.alias(mine), F.lit(None).cast(other.schema).alias(theirs))
+
+    both = side(left, left_ts, 0, "_l", right, "_r").unionByName(side(right, right_ts, 1, "_r", left, "_l"))
+    ties = [F.col(f"_l.{c}") for c in left_order] + [F.col(f"_r.{c}") for c in right_order]
+    lone = both.filter(F.col("_k").isNull() | F.col("_ts").isNull()).select("_l", "_r")
+    both = both.filter(F.col("_k").isNotNull() & F.col("_ts").isNotNull())
+    both = both.withColumn("_us", epoch_micros("_ts", ts_type(both, "_ts")))
+    reach = int(round(seconds(bound) * 1_000_000))
+    # a silence before a row: the last one before it, itself or copied from the bucket before, is out of reach
+    d = time_buckets(both, "_ts", "1 hour", bound)
+    before = F.max("_us").over(Window.partitionBy("_k", "_b").orderBy("_us").rowsBetween(
+        Window.unboundedPreceding, -1))
+    d = (d.withColumn("_silence", before.isNull() | (F.col("_us") > before + reach)).filter(~F.col("_ghost"))
+         .drop("_b", "_ghost"))
+    d = ordered_scan(d, ["_k"], [F.col("_us"), F.col("_side"), *ties], time_bucket("_ts", "1 hour"), pos=None,
+                     running=[Running("_start", "max", F.when(F.col("_silence"), F.col("_us")))])
+    d = (d.repartition("_k", "_start").sortWithinPartitions("_k", "_start", "_us", "_side", *ties)
+         .select("_k", "_start", "_us", "_side", "_l", "_r"))
+    types = pa.schema([pa.field("_l", _arrow(left)), pa.field("_r", _arrow(right))])
+
+    def run(batches):
+        def rows():
+            for b in batches:
+                yield from zip(*[c.to_pylist() for c in b.columns])
+        out = []
+        for _, stretch in itertools.groupby(rows(), key=lambda r: r[:2]):
+            for pair in first_come_pairs(((us, s, r if s else x) for _, _, us, s, x, r in stretch), reach):
+                out.append(pair)
+                if len(out) >= 4096:
+                    yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out), types)], schema=types)
+                    out = []
+        if out:
+            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out), types)], schema=types)
+
+    paired = d.mapInArrow(run, T.StructType([T.StructField("_l", left.schema), T.StructField("_r", right.schema)]))
+    return paired.unionByName(lone)
+
+
+def _arrow(df: DataFrame):
+    from pyspark.sql.pandas.types import to_arrow_type
+    return to_arrow_type(df.schema)
+
+
+def _firsts(df: DataFrame, key: str, ts: str, order: list[str]) -> DataFrame:
+    """The first row of every key, by partial aggregation; rows without key or time stay as they are."""
+    rest = [c for c in df.columns if c not in (key, ts, *order)]
+    whole = F.col(key).isNotNull() & F.col(ts).isNotNull()
+    least = (df.filter(whole).groupBy(key).agg(F.min(F.struct(ts, *order, *rest)).alias("_f"))
+             .select(key, "_f.*").select(*df.columns))
+    return least.unionByName(df.filter(~whole))
+
+
 def interval_match(left: DataFrame, right: DataFrame, key: str = "tx_id", bound="5 seconds",
                    left_ts: str = "ts", right_ts: str = "ts", left_order: list[str] | None = None,
                    right_order: list[str] | None = None, left_prefix: str = "pay_",
-                   right_prefix: str = "receipt_", bucket="1 day", hot_rows: int = 4_000_000) -> Matched:
-    """One equi-join on key and time bucket per output, with the range as condition.
+                   right_prefix: str = "receipt_", pairing: str = "all") -> Matched:
+    """Pairs and unmatched rows of both sides (see the module for ``pairing``).
 
     Times within the bound lie in the same or in neighbouring buckets, and each pair meets in the right (for
     ``unmatched_right`` the left) event's own bucket only, so no pair comes twice.  Repeated rows count each; null
-    keys and times match nothing.  ``left_order``, ``right_order``, ``bucket`` and ``hot_rows`` do not change the
-    result and are kept for callers.
+    keys and times match nothing.  ``left_order`` and ``right_order`` break ties of time for ``first`` and ``one``.
     """
+    if pairing not in ("all", "first", "one"):
+        raise ValueError(f"unknown pairing {pairing!r}")
+    if pairing == "one":
+        p = _one_to_one(left, right, key, bound, left_ts, right_ts, left_order or [], right_order or [])
+        lcols = [F.col(f"_l.{c}").alias(left_prefix + c) for c in left.columns if c != key]
+        rcols = [F.col(f"_r.{c}").alias(right_prefix + c) for c in right.columns if c != key]
+        lkey, rkey = F.col(f"_l.{key}").alias(key), F.col(f"_r.{key}").alias(key)
+        both, no_l, no_r = F.col("_l").isNotNull() & F.col("_r").isNotNull(), F.col("_l").isNull(), F.col("_r").isNull()
+        return Matched(p.filter(both).select(lkey, *lcols, *rcols), p.filter(no_r).select(lkey, *lcols),
+                       p.filter(no_l).select(rkey, *rcols))
+    if pairing == "first":
+        left, right = _firsts(left, key, left_ts, left_order or []), _firsts(right, key, right_ts, right_order or [])
     width = max(1, math.ceil(seconds(bound)))
     L = left.select(F.col(key).alias("_lk"), _bucket(left, left_ts, width).alias("_lb"),
                     *[F.col(c).alias(left_prefix + c) for c in left.columns if c != key])

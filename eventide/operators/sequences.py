@@ -43,7 +43,7 @@ def _fine(ts, hot_rows):
     return {"fine": time_bucket(ts, FINE_BUCKET), "hot_rows": hot_rows} if hot_rows else {}
 
 
-def _buckets(df: DataFrame, ts: str, width, reach=None, copy: Column | None = None, ahead: bool = True) -> DataFrame:
+def time_buckets(df: DataFrame, ts: str, width, reach=None, copy: Column | None = None, ahead: bool = True) -> DataFrame:
     """Rows with the start ``_b`` (epoch microseconds) of their time bucket; with ``reach``, rows for which ``copy``
     holds and that lie within ``reach`` of the next bucket (``ahead``; else of the one before) are copied into it,
     marked ``_ghost``.  A bucket is at least ``reach`` wide, so rows no further apart than that always meet."""
@@ -82,7 +82,7 @@ def consecutive_run(df: DataFrame, n: int = 8, key: str = "user_id",
     text = msg if msg is not None else (
         PAIR_MSG.format(window=int(seconds(within)), n=n) if within is not None else RUN_MSG.format(n=n))
     d = df.select(key, ts, seq, is_hit.alias("_hit"))
-    d = _buckets(d, ts, bucket, within if n > 1 else None)
+    d = time_buckets(d, ts, bucket, within if n > 1 else None)
     order = [F.col(ts), F.col(seq)]
 
     def runs(rows, *keys):
@@ -246,7 +246,7 @@ def followed_by(df: DataFrame, within="15 minutes", key: str = "order_id",
     first = F.col("event_type") == "create" if first is None else first
     then = F.col("event_type") == "pay" if then is None else then
     d = df.select(key, ts, seq, F.coalesce(first, F.lit(False)).alias("_first"), F.coalesce(then, F.lit(False)).alias("_then"))
-    d = _buckets(d.filter(F.col("_first") | F.col("_then")), ts, bucket, within, F.col("_then"), ahead=False)
+    d = time_buckets(d.filter(F.col("_first") | F.col("_then")), ts, bucket, within, F.col("_then"), ahead=False)
     later = (Window.partitionBy(key, "_b").orderBy(F.col(ts).desc(), F.col(seq).desc())
              .rowsBetween(Window.unboundedPreceding, -1))
     d = d.withColumn("pay_ts", F.min(F.when(F.col("_then"), F.col(ts))).over(later))

@@ -317,6 +317,31 @@ def _match(spark, sf_dir):
                           right_order=["pay_channel"])
 
 
+MATCH_FIRST = dict(bound="6 hours", groups=997)
+MATCH_ONE = dict(bound="10 minutes", groups=97)
+
+
+def _match_groups(spark, sf_dir, groups: int, bound, pairing: str):
+    """Matching on ids that repeat: transactions fall into ``groups`` of the order number."""
+    fx = _fx(spark, sf_dir)
+    pays = fx.order_events.filter(non_empty("tx_id")).select(
+        F.concat(F.lit("g"), F.col("order_id") % groups).alias("tx_id"), "order_id", "seq", "ts")
+    number = F.substring("tx_id", 3, 20).cast("bigint")
+    receipts = fx.receipts.select(F.concat(F.lit("g"), number % groups).alias("tx_id"), number.alias("order_id"),
+                                  "pay_channel", "ts")
+    return interval_match(pays, receipts, "tx_id", bound, left_order=["seq"], right_order=["order_id"], pairing=pairing)
+
+
+@query
+def pay_receipt_first(spark, sf_dir):
+    return _match_groups(spark, sf_dir, MATCH_FIRST["groups"], MATCH_FIRST["bound"], "first").matched
+
+
+@query
+def pay_receipt_one_to_one(spark, sf_dir):
+    return _match_groups(spark, sf_dir, MATCH_ONE["groups"], MATCH_ONE["bound"], "one").matched
+
+
 @query
 def pay_receipt_match(spark, sf_dir):
     return _match(spark, sf_dir).matched

@@ -279,20 +279,29 @@ select order_id, create_ts, pay_ts, result,
        case when result in ('payed successfully', 'pay successfully') then 'main' else 'side' end as channel from s"""
 
 _mb = int(seconds(J.MATCH_BOUND))
-_join = f"""p as (select tx_id, order_id, seq, ts,
-      row_number() over (partition by tx_id order by ts, seq) as o from fx_order_events where tx_id is distinct from '')
-, r as (select *, row_number() over (partition by tx_id order by ts, pay_channel) as o from fx_receipts)
-, j as (select p.tx_id as ptx, r.tx_id as rtx, p.order_id as pay_order_id, p.seq as pay_seq, p.ts as pay_ts,
-               r.pay_channel as receipt_pay_channel, r.ts as receipt_ts
-        from p full outer join r on p.tx_id = r.tx_id and p.o = r.o
-          and r.ts >= p.ts - interval {_mb} second and r.ts <= p.ts + interval {_mb} second)"""
-ORACLE["pay_receipt_match"] = with_fx("fx_order_events", "fx_receipts", extra=_join) + """
-select ptx as tx_id, pay_order_id, pay_seq, pay_ts, receipt_pay_channel, receipt_ts from j
-where ptx is not null and rtx is not null"""
-ORACLE["unmatched_pays"] = with_fx("fx_order_events", "fx_receipts", extra=_join) + """
-select ptx as tx_id, pay_order_id, pay_seq, pay_ts from j where rtx is null"""
-ORACLE["unmatched_receipts"] = with_fx("fx_order_events", "fx_receipts", extra=_join) + """
-select rtx as tx_id, receipt_pay_channel, receipt_ts from j where ptx is null"""
+_join = """p as (select * from fx_order_events where tx_id is distinct from '')"""
+_near = f"""p.tx_id = r.tx_id and r.ts >= p.ts - interval {_mb} second and r.ts <= p.ts + interval {_mb} second"""
+ORACLE["pay_receipt_match"] = with_fx("fx_order_events", "fx_receipts", extra=_join) + f"""
+select p.tx_id, p.order_id as pay_order_id, p.seq as pay_seq, p.ts as pay_ts,
+       r.pay_channel as receipt_pay_channel, r.ts as receipt_ts
+from p join fx_receipts r on {_near}"""
+ORACLE["unmatched_pays"] = with_fx("fx_order_events", "fx_receipts", extra=_join) + f"""
+select tx_id, order_id as pay_order_id, seq as pay_seq, ts as pay_ts from p
+where not exists (select 1 from fx_receipts r where {_near})"""
+ORACLE["unmatched_receipts"] = with_fx("fx_order_events", "fx_receipts", extra=_join) + f"""
+select tx_id, pay_channel as receipt_pay_channel, ts as receipt_ts from fx_receipts r
+where not exists (select 1 from p where {_near})"""
+
+_g, _fb_s = J.MATCH_FIRST["groups"], int(seconds(J.MATCH_FIRST["bound"]))
+ORACLE["pay_receipt_first"] = with_fx("fx_order_events", "fx_receipts") + f"""
+, p as (select 'g' || cast(order_id % {_g} as varchar) as tx_id, order_id, seq, ts from fx_order_events
+        where tx_id is distinct from '' qualify row_number() over (partition by order_id % {_g} order by ts, seq) = 1)
+, q as (select cast(substr(tx_id, 3) as bigint) as order_id, pay_channel, ts from fx_receipts)
+, r as (select 'g' || cast(order_id % {_g} as varchar) as tx_id, order_id, pay_channel, ts from q
+        qualify row_number() over (partition by order_id % {_g} order by ts, order_id) = 1)
+select p.tx_id, p.order_id as pay_order_id, p.seq as pay_seq, p.ts as pay_ts, r.order_id as receipt_order_id,
+       r.pay_channel as receipt_pay_channel, r.ts as receipt_ts
+from p join r on p.tx_id = r.tx_id and r.ts >= p.ts - interval {_fb_s} second and r.ts <= p.ts + interval {_fb_s} second"""
 
 ORACLE["parse_user_behavior"] = with_fx("fx_user_behavior") + \
     "select user_id, item_id, category_id, behavior, date_trunc('second', ts) as ts from fx_user_behavior"
