@@ -14,10 +14,12 @@ the watermark.
 
 from __future__ import annotations
 
+import bisect
 import calendar
 import datetime as dt
 import heapq
 import itertools
+from collections import deque
 
 from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
@@ -52,9 +54,74 @@ def _ms(us: int) -> int:
     return us // 1000
 
 
-class ConsecutiveRunProcessor(StatefulProcessor):
+class _BufferedProcessor(StatefulProcessor):
+    """Buffers a key's events until the watermark passes them, then hands them
+    over in (ts, seq) order to ``on_events``; ``on_watermark`` runs after.
+
+    One timer is pending for the whole buffer, at its earliest event; when it
+    goes off, all events the watermark has passed are taken at once.  So the
+    buffer is read and sorted once per watermark step, not once per event."""
+
+    fields: T.StructType
+
+    def init(self, handle):
+        self.h = handle
+        self.buf = handle.getListState("buf", self.fields)
+        self.alarm = handle.getValueState("alarm", _TS)
+        self.setup(handle)
+
+    def setup(self, handle):
+        pass
+
+    def row_values(self, r) -> tuple:
+        raise NotImplementedError
+
+    def _set_alarm(self, us: int) -> None:
+        old = self.alarm.get()[0] if self.alarm.exists() else None
+        if old is None or _ms(us) < old:
+            if old is not None:
+                self.h.deleteTimer(old)
+            self.h.registerTimer(_ms(us))
+            self.alarm.update((_ms(us),))
+
+    def handleInputRows(self, key, rows, timerValues):
+        new = [self.row_values(r) for r in rows]
+        if new:
+            self.buf.appendList(new)
+            self._set_alarm(min(v[0] for v in new))
+        return iter([])
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
+        wm = timerValues.getCurrentWatermarkInMs()
+        out = []
+        if self.alarm.exists() and self.alarm.get()[0] <= wm:
+            self.alarm.clear()
+            items = sorted(tuple(x) for x in self.buf.get()) if self.buf.exists() else []
+            cut = bisect.bisect_right(items, wm, key=lambda x: _ms(x[0]))
+            self.buf.clear()
+            if items[cut:]:
+                self.buf.put(items[cut:])
+                self._set_alarm(items[cut][0])
+            if cut:
+                out += self.on_events(key, items[:cut], wm)
+        out += self.on_watermark(key, wm)
+        return iter(out)
+
+    def on_events(self, key, events, wm):
+        return []
+
+    def on_watermark(self, key, wm):
+        return []
+
+    def close(self):
+        pass
+
+
+class ConsecutiveRunProcessor(_BufferedProcessor):
     """Runs of n consecutive matching events, optionally within a bound."""
 
+    fields = _EV
+
     def __init__(self, n: int, within=None, inclusive: bool = True, column: str = "login_state",
                  value: str = "fail", msg: str | None = None):
         self.n, self.inclusive, self.column, self.value = n, inclusive, column, value
@@ -62,37 +129,16 @@ class ConsecutiveRunProcessor(StatefulProcessor):
         self.msg = msg or (PAIR_MSG.format(window=int(seconds(within)), n=n) if within is not None
                            else RUN_MSG.format(n=n))
 
-    def init(self, handle):
-        self.h = handle
-        self.buf = handle.getListState("buf", _EV)
+    def setup(self, handle):
         self.recent = handle.getListState("recent", _TS)
 
-    def handleInputRows(self, key, rows, timerValues):
-        for r in rows:
-            t = _us(r.ts)
-            self.buf.appendValue((t, r.seq, r[self.column] == self.value))
-            self.h.registerTimer(_ms(t))
-            if self.within_ms is not None:
-                # past last event + within no earlier fail can pair with a later one: drop the run state
-                self.h.registerTimer(_ms(t) + self.within_ms + 1)
-        return iter([])
+    def row_values(self, r):
+        return (_us(r.ts), r.seq, r[self.column] == self.value)
 
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
-        wm = timerValues.getCurrentWatermarkInMs()
-        if not self.buf.exists() and self.within_ms is not None and self.recent.exists():
-            last = max(x[0] for x in self.recent.get())
-            if _ms(last) + self.within_ms < wm:
-                self.recent.clear()
-            return iter([])
-        items = sorted(tuple(x) for x in self.buf.get()) if self.buf.exists() else []
-        ready = [x for x in items if _ms(x[0]) <= wm]
-        rest = [x for x in items if _ms(x[0]) > wm]
-        self.buf.clear()
-        if rest:
-            self.buf.put(rest)
+    def on_events(self, key, events, wm):
         recent = [x[0] for x in self.recent.get()] if self.recent.exists() else []
         out = []
-        for t, _, hit in ready:
+        for t, _, hit in events:
             if not hit:
                 recent = []
                 continue
@@ -107,10 +153,16 @@ class ConsecutiveRunProcessor(StatefulProcessor):
         self.recent.clear()
         if recent:
             self.recent.put([(t,) for t in recent])
-        return iter(out)
+            if self.within_ms is not None:
+                # past last event + within no earlier fail can pair with a later one: drop the run state
+                self.h.registerTimer(_ms(recent[-1]) + self.within_ms + 1)
+        return out
 
-    def close(self):
-        pass
+    def on_watermark(self, key, wm):
+        if self.within_ms is not None and not self.buf.exists() and self.recent.exists():
+            if _ms(max(x[0] for x in self.recent.get())) + self.within_ms < wm:
+                self.recent.clear()
+        return []
 
 
 RUN_SCHEMA = T.StructType([T.StructField("user_id", T.LongType()), T.StructField("first_fail_ts", T.TimestampType()),
@@ -207,7 +259,7 @@ def stream_order_payment_status(orders: DataFrame, timeout="15 minutes") -> Data
             .transformWithState(OrderStatusProcessor(timeout), STATUS_SCHEMA, "Append", "EventTime"))
 
 
-class CapProcessor(StatefulProcessor):
+class CapProcessor(_BufferedProcessor):
     """K1/K2 per (user, ad, day): pass the first ``cap`` clicks, warn once on click cap + 1.
 
     Clicks are buffered until the watermark passes them and counted in
@@ -217,22 +269,18 @@ class CapProcessor(StatefulProcessor):
     def __init__(self, cap: int = 100, msg: str = "click over{cap}times", day_offset_hours: int = 8):
         self.cap, self.msg, self.offset = cap, msg.format(cap=cap), day_offset_hours
 
-    def init(self, handle):
-        self.h = handle
+    fields = T.StructType([T.StructField("ts", T.LongType()), T.StructField("seq", T.LongType()),
+                           T.StructField("province", T.StringType()), T.StructField("city", T.StringType())])
+
+    def setup(self, handle):
         self.n = handle.getValueState("n", T.StructType([T.StructField("n", T.LongType())]))
-        self.buf = handle.getListState("buf", T.StructType([
-            T.StructField("ts", T.LongType()), T.StructField("seq", T.LongType()), T.StructField("province", T.StringType()),
-            T.StructField("city", T.StringType())]))
 
     def _day_end_ms(self, day: dt.date) -> int:
         nxt = dt.datetime.combine(day + dt.timedelta(days=1), dt.time()) - dt.timedelta(hours=self.offset)
         return calendar.timegm(nxt.timetuple()) * 1000
 
     def handleInputRows(self, key, rows, timerValues):
-        for r in rows:
-            t = _us(r.ts)
-            self.buf.appendValue((t, r.seq, r.province, r.city))
-            self.h.registerTimer(_ms(t))
+        self.buf.appendList([(_us(r.ts), r.seq, r.province, r.city) for r in rows])
         # a click behind the first cap + 1 of the day can only move further back: it is never output
         left = max(0, self.cap + 1 - (self.n.get()[0] if self.n.exists() else 0))
         held = sorted(tuple(x) for x in self.buf.get())
@@ -240,6 +288,8 @@ class CapProcessor(StatefulProcessor):
             self.buf.clear()
             if left:
                 self.buf.put(held[:left])
+        for t, *_ in held[:left][:1]:  # one timer for the buffer, at its first click
+            self._set_alarm(t)
         self.h.registerTimer(self._day_end_ms(key[2]))
         return iter([])
 
@@ -253,8 +303,10 @@ class CapProcessor(StatefulProcessor):
         ready = [x for x in items if _ms(x[0]) <= wm]
         rest = [x for x in items if _ms(x[0]) > wm]
         self.buf.clear()
+        self.alarm.clear()
         if rest:
             self.buf.put(rest)
+            self._set_alarm(rest[0][0])
         n = self.n.get()[0] if self.n.exists() else 0
         out = []
         for t, seq, prov, city in ready:
@@ -288,52 +340,6 @@ def stream_cap_per_key(clicks: DataFrame, cap: int = 100, day_offset_hours: int
                                 "EventTime"))
 
 
-class _BufferedProcessor(StatefulProcessor):
-    """Buffers a key's events until the watermark passes them, then hands them
-    over in (ts, seq) order to ``on_events``; ``on_watermark`` runs after."""
-
-    fields: T.StructType
-
-    def init(self, handle):
-        self.h = handle
-        self.buf = handle.getListState("buf", self.fields)
-        self.setup(handle)
-
-    def setup(self, handle):
-        pass
-
-    def row_values(self, r) -> tuple:
-        raise NotImplementedError
-
-    def handleInputRows(self, key, rows, timerValues):
-        for r in rows:
-            v = self.row_values(r)
-            self.buf.appendValue(v)
-            self.h.registerTimer(_ms(v[0]))
-        return iter([])
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
-        wm = timerValues.getCurrentWatermarkInMs()
-        items = sorted(tuple(x) for x in self.buf.get()) if self.buf.exists() else []
-        ready = [x for x in items if _ms(x[0]) <= wm]
-        rest = [x for x in items if _ms(x[0]) > wm]
-        self.buf.clear()
-        if rest:
-            self.buf.put(rest)
-        out = list(self.on_events(key, ready, wm)) if ready else []
-        out += list(self.on_watermark(key, wm))
-        return iter(out)
-
-    def on_events(self, key, events, wm):
-        return []
-
-    def on_watermark(self, key, wm):
-        return []
-
-    def close(self):
-        pass
-
-
 class FollowedByProcessor(_BufferedProcessor):
     """Every create matched with the first later pay if it comes less than
     ``within`` after it; otherwise a timeout once the watermark passes the deadline."""
@@ -577,3 +583,82 @@ def stream_least(grouped, n: int, key_type: T.DataType) -> DataFrame:
                            T.StructField("cnt", T.LongType()), T.StructField("k", key_type)])
     return grouped.transformWithState(LeastProcessor(n, key_type), schema, "Append", "EventTime",
                                       eventTimeColumnName="at")
+
+
+class OneToOneProcessor(_BufferedProcessor):
+    """J1 one-to-one per key: each event, once the watermark has passed it, pairs with the longest waiting event of
+    the other side in range, or waits; one that waited for ``bound`` goes out unmatched.  Only one side waits."""
+
+    def __init__(self, bound, event: T.StructType):
+        self.bound, self.fields = int(seconds(bound) * 1_000_000), event
+
+    def setup(self, handle):
+        self.waiting = handle.getListState("waiting", self.fields)
+
+    def row_values(self, r):
+        return tuple(r[f.name] for f in self.fields)
+
+    def _row(self, key, pay, receipt):
+        names = [f.name for f in self.fields[3:]]
+        values = {c: None for c in [*names, "pay_t", "receipt_t"]}
+        for e, side in ((pay, "pay_"), (receipt, "receipt_")):
+            if e:
+                values.update({c: v for c, v in zip(names, e[3:]) if c.startswith(side)}, **{side + "t": e[0]})
+        return Row(key=key[0], channel="unmatched_receipts" if not pay else "unmatched_pays" if not receipt else "matched",
+                   **values)
+
+    def _alone(self, key, e):
+        return self._row(key, None, e) if e[1] else self._row(key, e, None)
+
+    def _expire(self, key, waiting: deque, us: int):
+        while waiting and waiting[0][0] < us - self.bound:
+            yield self._alone(key, waiting.popleft())
+
+    def _step(self, key, events, wm):
+        waiting = deque(tuple(x) for x in self.waiting.get()) if self.waiting.exists() else deque()
+        out = []
+        for e in events:
+            out += self._expire(key, waiting, e[0])
+            if waiting and waiting[0][1] != e[1]:
+                o = waiting.popleft()
+                out.append(self._row(key, o, e) if e[1] else self._row(key, e, o))
+            else:
+                waiting.append(e)
+        out += self._expire(key, waiting, wm * 1000)
+        self.waiting.clear()
+        if waiting:
+            self.waiting.put(list(waiting))
+            self.h.registerTimer(_ms(waiting[0][0] + self.bound) + 1)
+        return out
+
+    def on_events(self, key, events, wm):
+        return self._step(key, events, wm)
+
+    def on_watermark(self, key, wm):
+        return self._step(key, [], wm) if self.waiting.exists() else []
+
+
+def stream_one_to_one(pays: DataFrame, receipts: DataFrame, key: str = "tx_id", bound="5 seconds",
+                      pay_order: str = "seq", receipt_order: str = "pay_channel") -> DataFrame:
+    """Streaming twin of ``interval_match(pairing="one")``: the columns of both sides, prefixed, and ``channel``
+    (matched, unmatched_pays, unmatched_receipts).  Both inputs are watermarked on ``ts``."""
+    def order(df, name):
+        c = F.col(name).cast("string")
+        return F.lpad(c, 20, "0") if isinstance(df.schema[name].dataType, T.IntegralType) else c
+
+    p, r = ([c for c in d.columns if c not in (key, "ts")] for d in (pays, receipts))
+    pay_side = pays.select(key, "ts", F.unix_micros("ts").alias("t"), F.lit(0).alias("side"),
+                           order(pays, pay_order).alias("o"), *[F.col(c).alias("pay_" + c) for c in p])
+    receipt_side = receipts.select(key, "ts", F.unix_micros("ts").alias("t"), F.lit(1).alias("side"),
+                                   order(receipts, receipt_order).alias("o"), *[F.col(c).alias("receipt_" + c) for c in r])
+    both = pay_side.unionByName(receipt_side, allowMissingColumns=True)
+    names = ["pay_" + c for c in p] + ["receipt_" + c for c in r]
+    payload = [both.schema[c] for c in names]
+    event = T.StructType([T.StructField("t", T.LongType()), T.StructField("side", T.IntegerType()),
+                          T.StructField("o", T.StringType()), *payload])
+    proc = OneToOneProcessor(bound, event)
+    out = T.StructType([T.StructField("key", both.schema[key].dataType), T.StructField("channel", T.StringType()),
+                        *payload, T.StructField("pay_t", T.LongType()), T.StructField("receipt_t", T.LongType())])
+    d = both.groupBy(key).transformWithState(proc, out, "Append", "EventTime")
+    return d.select(F.col("key").alias(key), "channel", *names, F.timestamp_micros("pay_t").alias("pay_ts"),
+                    F.timestamp_micros("receipt_t").alias("receipt_ts"))

@@ -94,3 +94,36 @@ def test_one_to_one_query_has_pairs(spark):
     from eventide.plans import QUERIES
     got = QUERIES["pay_receipt_one_to_one"](spark, SF_SMALL).collect()
     assert got and len({r.pay_seq for r in got}) == len(got) == len({r.receipt_order_id for r in got})
+
+
+def test_one_to_one_stream_equals_the_loop(spark, tmp_path):
+    import tempfile
+
+    from eventide.streaming import stream_one_to_one, with_event_time
+    from eventide.streaming.harness import read_ordered_files, write_ordered_files
+    far = ts("2031-01-01 00:00:00")
+    pays, recs = repeated(11)
+    pays = [p for p in pays if None not in (p[0], p[2])]
+    recs = [r for r in recs if None not in (r[0], r[2])]
+
+    def stream(side, schema, last):
+        df = spark.createDataFrame(side, schema)
+        folder = tempfile.mkdtemp(prefix="one-")
+        write_ordered_files(df, folder, 5, "ts", flush_row=dict(zip(df.columns, last)))
+        return with_event_time(read_ordered_files(spark, folder, df.schema))
+
+    out = stream_one_to_one(stream(pays, PAY, ("zz", 10 ** 6, far)), stream(recs, RECEIPT, ("zy", "z", far)), bound=5)
+    q = (out.writeStream.format("memory").queryName("one_to_one").outputMode("append")
+         .option("checkpointLocation", str(tmp_path / "ck")).start())
+    q.processAllAvailable()
+    q.stop()
+    got = spark.table("one_to_one")
+    want = python_one_to_one(pays, recs, dt.timedelta(seconds=5))
+    assert rows(got.filter("channel = 'matched'"), "pay_seq", "receipt_pay_channel") == want
+    by_seq = {p[1]: p for p in pays}
+    assert all(r.pay_ts == by_seq[r.pay_seq][2] and r.tx_id == by_seq[r.pay_seq][0]
+               for r in got.filter("channel = 'matched'").collect())
+    assert rows(got.filter("channel = 'unmatched_pays' and tx_id < 'z'"), "pay_seq") == sorted(
+        (p[1],) for p in pays if p[1] not in {x for x, _ in want})
+    assert rows(got.filter("channel = 'unmatched_receipts' and tx_id < 'z'"), "receipt_pay_channel") == sorted(
+        (r[1],) for r in recs if r[1] not in {x for _, x in want})

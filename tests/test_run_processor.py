@@ -24,6 +24,9 @@ class State:
     def appendValue(self, v):
         self.v = [*(self.v or []), v]
 
+    def appendList(self, v):
+        self.v = [*(self.v or []), *v]
+
     def update(self, v):
         self.v = v
 
@@ -43,6 +46,9 @@ class Handle:
     def registerTimer(self, t):
         self.timers.add(t)
 
+    def deleteTimer(self, t):
+        self.timers.discard(t)
+
 
 def at(i):
     return dt.datetime(2024, 1, 1) + dt.timedelta(seconds=i)
@@ -85,3 +91,32 @@ def test_cap_state_stays_bounded():
     assert [r.channel for r in out] == ["main"] * 5 + ["blacklist"]
     p.handleInputRows((1, 2, dt.date(2024, 1, 1)), click[10:], times(0))
     assert not p.buf.exists()
+
+
+def test_work_per_event_does_not_grow_with_the_buffer():
+    """10,000 events of one key: one timer, the buffer read once per watermark step."""
+    class Counting(State):
+        reads = 0
+
+        def get(self):
+            Counting.reads += len(self.v) if isinstance(self.v, list) else 0
+            return super().get()
+
+    class CountingHandle(Handle):
+        def getListState(self, name, schema):
+            return Counting()
+
+    h = CountingHandle()
+    p = ConsecutiveRunProcessor(2)
+    p.init(h)
+    class R(dict):
+        __getattr__ = dict.__getitem__
+
+    rows = [R(ts=at(i), seq=i, login_state="fail") for i in range(10_000)]
+    list(p.handleInputRows((1,), iter(rows), times(0)))
+    assert len(h.timers) == 1
+    out = []
+    while h.timers and (due := min(h.timers)) <= 2 * 10 ** 12:
+        h.timers.discard(due)
+        out += list(p.handleExpiredTimer((1,), times(2 * 10 ** 12), SimpleNamespace(getExpiryTimeInMs=lambda: due)))
+    assert len(out) == 9_999 and Counting.reads <= 10_000
