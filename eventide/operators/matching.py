@@ -22,17 +22,15 @@ join (``all``) and ``stream_one_to_one`` (``one``).
 
 from __future__ import annotations
 
-import itertools
 import math
 from collections import deque
 from typing import NamedTuple
 
-import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from eventide.operators.scan import Running, ordered_scan, time_bucket
+from eventide.operators.scan import Running, fold_groups, ordered_scan, time_bucket
 from eventide.operators.sequences import time_buckets
 from eventide.timeutil import epoch_micros, interval_str, ntz_to_epoch_seconds, seconds, ts_type
 
@@ -88,31 +86,14 @@ def _one_to_one(left: DataFrame, right: DataFrame, key: str, bound, left_ts: str
          .drop("_b", "_ghost"))
     d = ordered_scan(d, ["_k"], [F.col("_us"), F.col("_side"), *ties], time_bucket("_ts", "1 hour"), pos=None,
                      running=[Running("_start", "max", F.when(F.col("_silence"), F.col("_us")))])
-    d = (d.repartition("_k", "_start").sortWithinPartitions("_k", "_start", "_us", "_side", *ties)
-         .select("_k", "_start", "_us", "_side", "_l", "_r"))
-    types = pa.schema([pa.field("_l", _arrow(left)), pa.field("_r", _arrow(right))])
-
-    def run(batches):
-        def rows():
-            for b in batches:
-                yield from zip(*[c.to_pylist() for c in b.columns])
-        out = []
-        for _, stretch in itertools.groupby(rows(), key=lambda r: r[:2]):
-            for pair in first_come_pairs(((us, s, r if s else x) for _, _, us, s, x, r in stretch), reach):
-                out.append(pair)
-                if len(out) >= 4096:
-                    yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out), types)], schema=types)
-                    out = []
-        if out:
-            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out), types)], schema=types)
-
-    paired = d.mapInArrow(run, T.StructType([T.StructField("_l", left.schema), T.StructField("_r", right.schema)]))
-    return paired.unionByName(lone)
+    d = d.select("_k", "_start", "_us", "_side", "_l", "_r")
 
+    def pairs(_, stretch):
+        return first_come_pairs(((us, side, r if side else x) for _, _, us, side, x, r in stretch), reach)
 
-def _arrow(df: DataFrame):
-    from pyspark.sql.pandas.types import to_arrow_type
-    return to_arrow_type(df.schema)
+    paired = fold_groups(d, ["_k", "_start"], ["_us", "_side", *ties], pairs,
+                         T.StructType([T.StructField("_l", left.schema), T.StructField("_r", right.schema)]))
+    return paired.unionByName(lone)
 
 
 def _firsts(df: DataFrame, key: str, ts: str, order: list[str]) -> DataFrame:

@@ -36,11 +36,15 @@ null key (e.g. a missing behaviour) is a key like any other.
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Callable
 from typing import NamedTuple
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from eventide.timeutil import col, interval_str
 
@@ -143,3 +147,24 @@ def ordered_scan(df: DataFrame, keys: list[str], order: list[Column], bucket: Co
     if bucket_info:
         extra += [F.col(RN).alias("_b_rn"), F.col("_b_n")]
     return out.select(*df.columns, *extra)
+
+
+def fold_groups(df: DataFrame, by: list[str], order: list, fn: Callable, schema: T.StructType) -> DataFrame:
+    """Rows of ``fn(key, rows)`` for every group of ``by``; ``rows`` are tuples of ``df`` in ``order``, read once.
+
+    Rows are shuffled by ``by``, sorted, and streamed through the fold: a task holds what ``fn`` holds, not the group."""
+    n = [df.columns.index(c) for c in by]
+    types = to_arrow_schema(schema)
+
+    def run(batches):
+        def rows():
+            for b in batches:
+                yield from zip(*[c.to_pylist() for c in b.columns])
+        def results():
+            for key, group in itertools.groupby(rows(), key=lambda r: tuple(r[i] for i in n)):
+                yield from fn(key, group)
+        found = results()
+        while out := list(itertools.islice(found, 4096)):
+            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out), types)], schema=types)
+
+    return df.repartition(*by).sortWithinPartitions(*by, *order).mapInArrow(run, schema)

@@ -4,22 +4,24 @@ Every detector works on (key, time bucket), so a hot key is spread over its
 buckets; rows that matter to a neighbouring bucket are copied into it.
 
 * consecutive runs (C1, C3, C4): a window over the last n events.
-* bursts (C2): greedy anchoring is a fold.  The timeline is first cut into
-  independent segments (a success or a gap > window always ends a burst), and
-  the native ``aggregate`` higher-order function folds each segment JVM-side.
+* bursts (C2): jumps of each bucket, followed per key, then folds from the
+  true starts.
 * followed-by (C5/C6): a running min over the later events.
 * order status (C7): a per-order aggregate of min create / min pay times.
 """
 
 from __future__ import annotations
 
+import itertools
+from collections import deque
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from eventide.operators.scan import Running, materialize, ordered_scan, time_bucket
-from eventide.timeutil import epoch_micros, interval_str, seconds, ts_type
+from eventide.operators.scan import fold_groups
+from eventide.timeutil import epoch_micros, epoch_micros_to_ntz, interval_str, seconds, ts_type
 
 # Messages of the surveyed detectors.
 PAIR_MSG = "login fail in {window}s for {n}tiems"
@@ -34,15 +36,6 @@ STATUS_PAY_FIRST = "pay successfully"
 STATUS_NO_CREATE = "payed but not found create"
 
 
-# A (key, bucket) with more rows than this is split into 1-second sub-buckets.
-HOT_ROWS = 4_000_000
-FINE_BUCKET = "1 second"
-
-
-def _fine(ts, hot_rows):
-    return {"fine": time_bucket(ts, FINE_BUCKET), "hot_rows": hot_rows} if hot_rows else {}
-
-
 def time_buckets(df: DataFrame, ts: str, width, reach=None, copy: Column | None = None, ahead: bool = True) -> DataFrame:
     """Rows with the start ``_b`` (epoch microseconds) of their time bucket; with ``reach``, rows for which ``copy``
     holds and that lie within ``reach`` of the next bucket (``ahead``; else of the one before) are copied into it,
@@ -114,118 +107,143 @@ def consecutive_pairs(df: DataFrame, window="2 seconds", key: str = "user_id", p
     return consecutive_run(df, 2, key, pred, within=window, inclusive=inclusive, **kw)
 
 
-# Segments longer than this are resolved by pointer doubling instead of one fold.
-LONG_SEGMENT = 100_000
+def burst_jumps(rows, window: int, end: int):
+    """Where each possible start leaves a time bucket that ends at ``end``: (open burst at its start, open burst at
+    its end) by anchor time, None being no open burst.  Rows in order: (t, is_fail, is_own); those not own are the
+    fails in front of the bucket that a burst may still be open from.  One pair for all starts if they agree.
+
+    Starts whose burst is over by a fail go on together from it, so the chains only ever merge.
+    """
+    chains, own = deque([(None, [None])]), False
+    for t, fail, mine in rows:
+        if not mine:
+            if fail and chains[-1][0] != t:
+                chains.append((t, [t]))
+            continue
+        own = True
+        if not fail:
+            chains = deque([(None, [s for _, starts in chains for s in starts])])
+            continue
+        merged = None
+        while chains and (chains[0][0] is None or chains[0][0] < t - window):
+            starts = chains.popleft()[1]
+            if merged is None:
+                merged = starts
+            else:
+                big, small = (merged, starts) if len(merged) > len(starts) else (starts, merged)
+                big.extend(small)
+                merged = big
+        if merged is not None:
+            chains.append((t, merged))
+    if not own:
+        return
+    left = [(None if a is None or a + window < end else a, starts) for a, starts in chains]
+    if len({a for a, _ in left}) == 1:
+        yield None, left[0][0], True
+    else:
+        for a, starts in left:
+            for s in starts:
+                yield s, a, False
+
+
+def burst_starts(rows, width: int):
+    """(bucket, open burst at its start) of one key, by following the jumps from bucket to bucket; only where a burst
+    is open.  Rows in order of bucket: (bucket, start, end, for all starts)."""
+    last, state = None, None
+    for bucket, jumps in itertools.groupby(rows, key=lambda r: r[0]):
+        jumps = {None if whole else s: (e, whole) for _, s, e, whole in jumps}
+        state = state if last == bucket - width else None
+        if state is not None:
+            yield bucket, state
+        whole = jumps[None][1]
+        state = jumps[None if whole or state not in jumps else state][0]
+        last = bucket
+
+
+def burst_rows(rows, window: int, min_fails: int, opened: int | None):
+    """(first, last, fails) of the bursts that begin in a bucket.  Rows in order: (t, is_fail, is_own); those not own
+    lie behind the bucket.  ``opened``: the burst open at its start, which an earlier bucket reports."""
+    anchor, last, n = opened, None, 0
+    for t, fail, own in rows:
+        if anchor is not None and t > anchor + window:
+            if n >= min_fails:
+                yield anchor, last, n
+            anchor, n = None, 0
+        if not fail:
+            anchor, n = None, 0
+        elif anchor is None and own:
+            anchor, last, n = t, t, 1
+        elif anchor is not None and n:
+            last, n = t, n + 1
+    if anchor is not None and n >= min_fails:
+        yield anchor, last, n
 
 
 def fail_bursts(df: DataFrame, window="2 seconds", min_fails: int = 2, key: str = "user_id",
-                pred: Column | None = None, ts: str = "ts", seq: str = "seq", bucket="1 day",
-                hot_rows: int = HOT_ROWS, long_segment: int = LONG_SEGMENT) -> DataFrame:
+                pred: Column | None = None, ts: str = "ts", seq: str = "seq", bucket="1 hour") -> DataFrame:
     """Greedy bursts.  The first fail at t opens a burst of the fails in
     [t, t + window]; a success in that range discards it; at t + window the
     burst is reported if it holds at least ``min_fails`` fails.  The next burst
     starts at the next fail after that.  End of input closes an open burst.
 
-    Pass 1 (bucketed scan over all events) gives every fail the latest earlier
-    fail / success and the next success; a fail starts a new segment when no
-    fail precedes it since the last success or the gap exceeds ``window`` (a
-    burst never spans such a break).  Pass 2 (bucketed scan over fails)
-    numbers the segments and the fails.  A segment of at most ``long_segment``
-    fails is folded JVM-side with ``aggregate``; longer ones (a bot failing
-    without pause) are resolved exactly by pointer doubling over
-    "next anchor" links (``_long_segment_bursts``), so no task gathers an
-    unbounded group.  The long-segment list is at most rows / long_segment
-    entries and is broadcast.
+    Which fail opens a burst depends on all before it, so a key is cut into time
+    buckets, and its bursts are found in three lazy steps: every bucket says where
+    each burst that may be open at its start leads (``burst_jumps``; mostly all to
+    one place); per key these jumps, a row or few per bucket, are followed in order
+    (``burst_starts``); every bucket reports its bursts from its true start
+    (``burst_rows``).  The first and last step work on (key, bucket) with rows
+    streamed in order, so a key that fails without pause is split, and no step
+    holds more than the fails of one window length.
     """
     pred = F.col("login_state") == "fail" if pred is None else pred
     w = int(seconds(window))
-    iv = f"INTERVAL {w} seconds"
-    tt = ts_type(df, ts)
-    is_fail = F.coalesce(pred, F.lit(False))
-    ev = F.struct(F.col(ts).alias("t"), F.col(seq).alias("s"))
-    s = ordered_scan(df, [key], [F.col(ts), F.col(seq)], time_bucket(ts, bucket), pos=None,
-                     **_fine(ts, hot_rows), running=[
-        Running("_last_fail", "max", F.when(is_fail, ev), inclusive=False),
-        Running("_last_succ", "max", F.when(~is_fail, ev), inclusive=False),
-        Running("_next_succ", "min", F.when(~is_fail, F.col(ts)), inclusive=False, after=True)])
-    lf, ls = F.col("_last_fail"), F.col("_last_succ")
-    brk = (lf.isNull() | (ls.isNotNull() & (ls > lf))
-           | (F.col(ts) > lf["t"] + F.expr(iv))).cast("int")
-    fails = materialize(s.filter(is_fail).select(key, ts, seq, "_next_succ", brk.alias("_brk")))
-    seg = materialize(ordered_scan(fails, [key], [F.col(ts), F.col(seq)], time_bucket(ts, bucket), pos="_ford",
-                                   running=[Running("_seg", "sum", F.col("_brk"))], **_fine(ts, hot_rows)))
-    stats = seg.groupBy(key, "_seg").agg(F.count(F.lit(1)).alias("_n"), F.min("_ford").alias("_s"),
-                                         F.max("_ford").alias("_e"), F.max("_next_succ").alias("_close"))
-    long_list = materialize(stats.filter(F.col("_n") > long_segment))
-    short = seg.join(F.broadcast(long_list.select(key, "_seg")), [key, "_seg"], "left_anti")
-    groups = (short.groupBy(key, "_seg")
-              .agg(F.sort_array(F.collect_list(F.struct(F.col(ts).alias("ts"), F.col(seq).alias("seq"))))
-                   .alias("_evs"), F.max("_next_succ").alias("_close_ts")))
-    burst_t = f"struct<first_fail_ts:{tt},last_fail_ts:{tt},fail_count:int>"
-    emit = ("array_append(acc.out, named_struct('first_fail_ts', acc.anchor, 'last_fail_ts', acc.last, "
-            "'fail_count', acc.cnt))")
-    fold = f"""aggregate(_evs,
-      named_struct('anchor', CAST(NULL AS {tt}), 'last', CAST(NULL AS {tt}), 'cnt', 0,
-                   'out', CAST(array() AS array<{burst_t}>)),
-      (acc, e) -> CASE
-        WHEN acc.anchor IS NULL THEN named_struct('anchor', e.ts, 'last', e.ts, 'cnt', 1, 'out', acc.out)
-        WHEN e.ts <= acc.anchor + {iv} THEN named_struct('anchor', acc.anchor, 'last', e.ts, 'cnt', acc.cnt + 1, 'out', acc.out)
-        ELSE named_struct('anchor', e.ts, 'last', e.ts, 'cnt', 1,
-                          'out', CASE WHEN acc.cnt >= {min_fails} THEN {emit} ELSE acc.out END)
-      END,
-      acc -> CASE WHEN acc.cnt >= {min_fails} AND (_close_ts IS NULL OR _close_ts > acc.anchor + {iv})
-                  THEN {emit} ELSE acc.out END)"""
-    out = (groups.select(key, F.explode(F.expr(fold)).alias("_b"))
-           .select(key, "_b.first_fail_ts", "_b.last_fail_ts", "_b.fail_count"))
-    if not long_list.isEmpty():
-        out = out.unionByName(_long_segment_bursts(seg, long_list, key, ts, w, min_fails, bucket, hot_rows))
-    return out.withColumn("msg", F.concat(F.lit(f"login fail in {w}s for "), F.col("fail_count").cast("string"),
-                                          F.lit("tiems")))
-
-
-def _long_segment_bursts(seg: DataFrame, long_list: DataFrame, key: str, ts: str, w: int, min_fails: int,
-                         bucket, hot_rows) -> DataFrame:
-    """Exact greedy anchors of long segments by pointer doubling.
-
-    nxt(f) = the first fail of the segment after f.ts + window (a probe scan:
-    fails and probes at f.ts + window in one bucketed scan, counting fails).
-    Anchors are the segment start and its nxt-chain.  J_0 = nxt,
-    J_k+1 = J_k o J_k (an equi-join on unique (key, ordinal)); expanding the
-    start through J_K .. J_0 visits every chain distance 0 .. 2^(K+1) - 1.
-    log2(chain length) rounds, each a join over the long segments' fails;
-    every round is checkpointed so plans stay small.
-    """
-    iv = F.expr(f"INTERVAL {w} seconds")
-    f = seg.join(F.broadcast(long_list), [key, "_seg"]).select(key, "_seg", "_ford", ts, "_s", "_e", "_close")
-    ev = f.select(key, "_seg", F.col(ts).alias("_t"), F.lit(0).alias("_kind"), F.col("_ford").alias("_src"),
-                  "_s", "_e")
-    probes = f.select(key, "_seg", (F.col(ts) + iv).alias("_t"), F.lit(1).alias("_kind"),
-                      F.col("_ford").alias("_src"), "_s", "_e")
-    sc = ordered_scan(ev.unionByName(probes), [key, "_seg"], [F.col("_t"), F.col("_kind"), F.col("_src")],
-                      time_bucket("_t", bucket), pos=None, fine=time_bucket("_t", FINE_BUCKET), hot_rows=hot_rows,
-                      running=[Running("_cnt", "sum", (F.col("_kind") == 0).cast("long"))])
-    nxt = F.col("_s") + F.col("_cnt")
-    j = materialize(sc.filter(F.col("_kind") == 1).select(
-        key, F.col("_src").alias("_ford"), F.when(nxt <= F.col("_e"), nxt).alias("_nxt")))
-    levels = [j]
-    while not levels[-1].filter(F.col("_nxt").isNotNull()).isEmpty():
-        a, b = levels[-1].alias("a"), levels[-1].alias("b")
-        levels.append(materialize(a.join(b, (F.col(f"a.{key}") == F.col(f"b.{key}"))
-                                         & (F.col("a._nxt") == F.col("b._ford")), "left")
-                                  .select(F.col(f"a.{key}").alias(key), F.col("a._ford"), F.col("b._nxt"))))
-    anchors = long_list.select(key, F.col("_s").alias("_ford"))
-    for lv in reversed(levels[:-1]):
-        step = anchors.join(lv, [key, "_ford"]).filter(F.col("_nxt").isNotNull()).select(
-            key, F.col("_nxt").alias("_ford"))
-        anchors = materialize(anchors.unionByName(step))
-    a = (anchors.join(f, [key, "_ford"]).join(j, [key, "_ford"])
-         .select(key, "_ford", F.col(ts).alias("first_fail_ts"), "_nxt", "_e", "_close"))
-    end = F.coalesce(F.col("_nxt") - 1, F.col("_e"))
-    a = a.withColumn("_end", end).withColumn("fail_count", (end - F.col("_ford") + 1).cast("int"))
-    last = f.select(key, F.col("_ford").alias("_end"), F.col(ts).alias("last_fail_ts"))
-    keep = (F.col("fail_count") >= min_fails) & (
-        F.col("_nxt").isNotNull() | F.col("_close").isNull() | (F.col("_close") > F.col("first_fail_ts") + iv))
-    return a.join(last, [key, "_end"]).filter(keep).select(key, "first_fail_ts", "last_fail_ts", "fail_count")
+    reach = int(round(seconds(window) * 1_000_000))
+    width = int(round(max(seconds(bucket), seconds(window)) * 1_000_000))
+    ntz = ts_type(df, ts) == "timestamp_ntz"
+    d = df.select(F.col(key), epoch_micros(ts, ts_type(df, ts)).alias("t"), F.col(seq).alias("s"),
+                  F.coalesce(pred, F.lit(False)).alias("fail")).filter(F.col("t").isNotNull())
+    d = d.withColumn("b", F.col("t") - F.pmod(F.col("t"), F.lit(width)))
+
+    def with_edge(edge, shift):
+        own = F.struct(F.col("b").alias("b"), F.lit(True).alias("own"))
+        copy = F.struct((F.col("b") + shift).alias("b"), F.lit(False).alias("own"))
+        e = F.explode(F.when(edge, F.array(own, copy)).otherwise(F.array(own))).alias("_e")
+        return d.select(key, "t", "s", "fail", e).select(key, F.col("_e.b").alias("b"), "t", "s", "fail", F.col("_e.own").alias("own"))
+
+    key_field = T.StructField("k", df.schema[key].dataType)
+
+    def long(*names):
+        return [T.StructField(n, T.LongType()) for n in names]
+
+    def jumps(group, rows):
+        k, b = group
+        for start, end, whole in burst_jumps(((t, f, own) for _, _, t, _, f, own in rows), reach, b + width):
+            yield k, b, start, end, whole
+
+    def starts(group, rows):
+        for b, a in burst_starts(((b, s, e, whole) for _, b, s, e, whole in rows), width):
+            yield group[0], b, a
+
+    def bursts(group, rows):
+        first = next(rows)
+        opened = first[2] if first[4] is None else None
+        rest = rows if first[4] is None else itertools.chain([first], rows)
+        for a, z, n in burst_rows(((t, f, own) for _, _, t, _, f, own in rest), reach, min_fails, opened):
+            yield group[0], a, z, n
+
+    before = with_edge(F.col("fail") & (F.col("t") >= F.col("b") + (width - reach)), width)
+    j = fold_groups(before, [key, "b"], ["t", "s"], jumps,
+                    T.StructType([key_field, *long("b", "start", "end"), T.StructField("whole", T.BooleanType())]))
+    opened = fold_groups(j, ["k"], ["b"], starts, T.StructType([key_field, *long("b", "t")]))
+    opened = opened.select(F.col("k").alias(key), "b", "t", F.lit(None).cast(df.schema[seq].dataType).alias("s"),
+                           F.lit(None).cast("boolean").alias("fail"), F.lit(False).alias("own"))
+    behind = with_edge(F.col("t") <= F.col("b") + reach, -width).unionByName(opened)
+    found = fold_groups(behind, [key, "b"], ["t", F.col("s").asc_nulls_first()], bursts,
+                        T.StructType([key_field, *long("a", "z", "n")]))
+    at = epoch_micros_to_ntz if ntz else F.timestamp_micros
+    return found.select(F.col("k").alias(key), at(F.col("a")).alias("first_fail_ts"), at(F.col("z")).alias("last_fail_ts"),
+                        F.col("n").cast("int").alias("fail_count"),
+                        F.concat(F.lit(f"login fail in {w}s for "), F.col("n").cast("string"), F.lit("tiems")).alias("msg"))
 
 
 class FollowedBy(NamedTuple):

@@ -62,6 +62,10 @@ def epoch_millis_to_ntz(c) -> Column:
     return F.expr(EPOCH_NTZ) + F.make_dt_interval(secs=(col(c).cast("decimal(24,6)") / 1000).cast("decimal(18,6)"))
 
 
+def epoch_micros_to_ntz(c) -> Column:
+    return F.expr(EPOCH_NTZ) + F.make_dt_interval(secs=(col(c).cast("decimal(24,6)") / 1_000_000).cast("decimal(18,6)"))
+
+
 def _since_epoch(c) -> Column:
     return (col(c) - F.expr(EPOCH_NTZ)).cast("interval second")
 

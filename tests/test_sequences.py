@@ -1,6 +1,7 @@
 import datetime as dt
 
 import pytest
+from pyspark.sql import functions as F
 
 from conftest import SF_MID, rows, ts
 from eventide.operators import (consecutive_pairs, consecutive_run, fail_bursts, followed_by,
@@ -111,7 +112,7 @@ def test_followed_by_and_status(spark):
 def test_narrow_buckets_keep_results(spark):
     lg = Fixtures(spark, SF_MID).login
     assert rows(consecutive_run(lg, 3, bucket="1 second")) == rows(consecutive_run(lg, 3, bucket="365 days"))
-    assert rows(fail_bursts(lg, "24 hours", 2, bucket="30 days", hot_rows=2)) == rows(fail_bursts(lg, "24 hours", 2))
+    assert rows(fail_bursts(lg, "24 hours", 2, bucket="30 days")) == rows(fail_bursts(lg, "24 hours", 2))
     oe = Fixtures(spark, SF_MID).order_events
     wide, narrow = followed_by(oe, "900 seconds", bucket="365 days"), followed_by(oe, "900 seconds", bucket="1 second")
     assert rows(wide.matched) == rows(narrow.matched) and rows(wide.timeouts) == rows(narrow.timeouts)
@@ -193,21 +194,44 @@ def test_shuffles_of_sequence_queries(spark, name, exchanges):
     assert len(re.findall(r"FileScan parquet", plan)) <= 2
 
 
-@pytest.mark.parametrize("sf", ["/root/testdata/sf0.001", SF_MID])
-def test_long_segments_by_pointer_doubling(spark, sf):
-    """Forcing every segment longer than one fail through pointer doubling gives the fold's answer."""
-    lg = Fixtures(spark, sf).login
-    cols = ["user_id", "first_fail_ts", "last_fail_ts", "fail_count", "msg"]
-    folded = rows(fail_bursts(lg, "24 hours", 2), *cols)
-    doubled = rows(fail_bursts(lg, "24 hours", 2, long_segment=1), *cols)
-    assert doubled == folded and len(folded) > 0
-
-
-def test_pointer_doubling_on_a_bot(spark):
-    """One user failing every 0.7 s for a long time: chains of interleaving candidates."""
+@pytest.mark.parametrize("bucket", ["2 seconds", "7 seconds", "1 hour"])
+def test_bursts_of_a_bot(spark, bucket):
+    """One user failing every 0.7 s for a long time: bursts run through every bucket."""
     evs = [(i, 1, "x", "fail", T0 + dt.timedelta(milliseconds=700 * i)) for i in range(600)]
     evs += [(600, 1, "x", "success", T0 + dt.timedelta(milliseconds=700 * 599 + 900))]
     df = spark.createDataFrame(evs, "seq long, user_id long, ip string, login_state string, ts timestamp_ntz")
     expected = python_bursts([(r[4], r[3] == "fail") for r in evs], dt.timedelta(seconds=2), 2)
-    got = rows(fail_bursts(df, "2 seconds", 2, long_segment=10), "first_fail_ts", "last_fail_ts", "fail_count")
+    got = rows(fail_bursts(df, "2 seconds", 2, bucket=bucket), "first_fail_ts", "last_fail_ts", "fail_count")
     assert got == sorted(expected)
+
+
+def test_bursts_of_random_logins_in_narrow_buckets(spark):
+    """Ties, successes inside bursts, gaps over several buckets, a null key."""
+    import random
+    rnd = random.Random(7)
+    evs, t = [], 0
+    for i in range(4000):
+        t += rnd.choice([0, 0, 100, 300, 700, 1000, 1900, 2000, 2001, 9000])
+        evs.append((i, rnd.choice([1, 1, 1, 2, None]), "x", "fail" if rnd.random() < 0.93 else "success",
+                    T0 + dt.timedelta(milliseconds=t)))
+    df = spark.createDataFrame(evs, "seq long, user_id long, ip string, login_state string, ts timestamp_ntz")
+    want = sorted((str(u), a, b, n) for u in (1, 2, None) for a, b, n in python_bursts(
+        [(e[4], e[3] == "fail") for e in evs if e[1] == u], dt.timedelta(seconds=2), 2))
+    for bucket in ("2 seconds", "5 seconds", "1 day"):
+        got = fail_bursts(df, "2 seconds", 2, bucket=bucket).select(
+            F.coalesce(F.col("user_id").cast("string"), F.lit("None")).alias("u"), "first_fail_ts", "last_fail_ts", "fail_count")
+        assert rows(got) == want
+
+
+def test_calling_a_sequence_query_runs_no_job(spark):
+    from eventide.plans import QUERIES
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("lazy", "queries that are only built")
+    try:
+        for name in ("login_fail_bursts", "login_fail_runs", "login_fail_pairs", "order_paid", "pay_receipt_one_to_one"):
+            QUERIES[name](spark, "/root/testdata/sf0.001").schema
+        # reading the schema of a Parquet folder is a job of its own, with one task
+        sizes = [tracker.getJobInfo(j).stageIds for j in tracker.getJobIdsForGroup("lazy")]
+        assert all(len(s) == 1 and tracker.getStageInfo(s[0]).numTasks == 1 for s in sizes)
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
