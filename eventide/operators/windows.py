@@ -29,7 +29,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from eventide.operators.scan import Running, materialize, ordered_scan, time_bucket
+from eventide.operators.scan import Running, ordered_scan, time_bucket
 from eventide.timeutil import interval_str, seconds
 
 
@@ -49,7 +49,7 @@ def _pane(df, keys, ts, size, slide, out):
     return (ex.groupBy(*keys, end.alias("window_end")).agg(F.sum("_c").cast("bigint").alias(out)))
 
 
-def _delta(df, keys, ts, size, slide, out, bucket="1 hour", hot_rows=4_000_000):
+def _delta(df, keys, ts, size, slide, out, bucket="1 hour"):
     step = F.expr(f"INTERVAL {interval_str(slide)}")
     span = F.expr(f"INTERVAL {interval_str(size)}")
     panes = (df.select(*keys, F.window(F.col(ts), interval_str(slide)).start.alias("_pane"))
@@ -57,9 +57,10 @@ def _delta(df, keys, ts, size, slide, out, bucket="1 hour", hot_rows=4_000_000):
     changes = panes.select(*keys, F.explode(F.array(
         F.struct((F.col("_pane") + step).alias("t"), F.col("_c").alias("d")),
         F.struct((F.col("_pane") + span + step).alias("t"), (-F.col("_c")).alias("d")))).alias("_x"))
-    merged = materialize(changes.groupBy(*keys, F.col("_x.t").alias("_t")).agg(F.sum("_x.d").alias("_d")))
-    s = ordered_scan(merged, keys, [F.col("_t")], time_bucket("_t", bucket), pos=None,
-                     fine=time_bucket("_t", "1 second"), hot_rows=hot_rows, running=[
+    # read by each step of the scan: the plan shuffles it once and reuses that exchange
+    merged = changes.groupBy(*keys, F.col("_x.t").alias("_t")).agg(F.sum("_x.d").alias("_d"))
+    # a key has at most bucket / slide change points in a bucket
+    s = ordered_scan(merged, keys, [F.col("_t")], time_bucket("_t", bucket), pos=None, running=[
         Running("_n", "sum", F.col("_d")),
         Running("_next", "min", F.col("_t"), inclusive=False, after=True)])
     live = s.filter(F.col("_n") > 0)

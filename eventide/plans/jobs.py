@@ -202,6 +202,20 @@ def unique_visitors_hll(spark, sf_dir):
     return ops.unique_visitors_hll(_pv(_fx(spark, sf_dir)), HOURLY)
 
 
+#: Five standard errors of a sketch of 2^12 registers.
+HLL_TOLERANCE = 0.08
+
+
+@query
+def unique_visitors_hll_tolerance(spark, sf_dir):
+    """The sketch beside the exact count of every day, and whether it is close enough."""
+    pv = _pv(_fx(spark, sf_dir))
+    exact = unique_visitors(pv, "1 day")
+    sketch = ops.unique_visitors_hll(pv, "1 day", out="sketch")
+    close = F.abs(F.col("sketch") - F.col("uv")) <= F.greatest(F.lit(1.0), F.lit(HLL_TOLERANCE) * F.col("uv"))
+    return exact.join(sketch, "window_end").select("window_end", "uv", close.alias("within_tolerance"))
+
+
 # ---- marketing (F2, A4, A6) ---------------------------------------------------------------------
 
 def _marketing(fx: Fixtures) -> DataFrame:

@@ -154,6 +154,10 @@ ORACLE["page_views_salted"] = ORACLE["page_views_hourly"]
 ORACLE["unique_visitors_hourly"] = with_fx("fx_user_behavior", extra=f"pv as ({PV})") + \
     f"select {HOUR_END} as window_end, count(distinct user_id) as uv from pv group by all"
 
+ORACLE["unique_visitors_hll_tolerance"] = with_fx("fx_user_behavior", extra=f"pv as ({PV})") + \
+    "select date_trunc('day', ts) + interval 1 day as window_end, count(distinct user_id) as uv, true as within_tolerance " \
+    "from pv group by all"
+
 ORACLE["unique_visitors_bitmap"] = with_fx("fx_user_behavior", extra=f"pv as ({PV})") + \
     f"select {HOUR_END} as window_end, count(distinct {bitmap_sql('user_id')}) as uv from pv group by all"
 

@@ -37,8 +37,8 @@ def _long(name):
 class LateWindowProcessor(StatefulProcessor):
     """Firings (key, end, added) and, with ``passes``, late rows.  All times are epoch microseconds."""
 
-    def __init__(self, key: str, size, slide, lateness, passes: tuple[str, ...] = ()):
-        self.key, self.passes = key, passes
+    def __init__(self, keys: list[str], size, slide, lateness, passes: tuple[str, ...] = ()):
+        self.keys, self.passes = keys, passes
         self.size, self.slide, self.lateness = (int(round(seconds(x) * 1_000_000)) for x in (size, slide, lateness))
 
     def init(self, handle):
@@ -62,17 +62,17 @@ class LateWindowProcessor(StatefulProcessor):
                     added[end] = added.get(end, 0) + n
         return added
 
-    def _step(self, key, rows, wm: int):
+    def _advance(self, rows, wm: int) -> tuple[list, list]:
+        """(window end, rows added since its last firing) of what fires now, and the late rows."""
         before, timer = tuple(self.fired.get()) if self.fired.exists() else (-(1 << 62), None)
         panes = {k[0]: v[0] for k, v in self.panes.iterator()}
         added = self._fire(panes, before, wm) if wm > before else {}
-        out, new = [], {}
+        late, new = [], {}
         for r in rows:
             pane = r.t - r.t % self.slide
             if self._is_over(pane + self.size, wm, self.lateness):
                 if self.passes:
-                    out.append(Row(channel="late", window_end=None, added=None, watermark=wm,
-                                   **{c: r[c] for c in self.passes}))
+                    late.append({c: r[c] for c in self.passes})
             else:
                 new[pane] = new.get(pane, 0) + 1
         for pane, n in new.items():
@@ -80,9 +80,6 @@ class LateWindowProcessor(StatefulProcessor):
                 if self._is_over(end, wm) and not self._is_over(end, wm, self.lateness):
                     added[end] = added.get(end, 0) + n
             panes[pane] = panes.get(pane, 0) + n
-        nothing = dict.fromkeys(self.passes)
-        for end, n in sorted(added.items()):
-            out.append(Row(channel="fired", window_end=end, added=n, watermark=wm, **{**nothing, self.key: key[0]}))
         pending = None
         for pane, n in panes.items():
             if self._is_over(pane + self.size, wm):  # all its windows have fired; later rows add to them directly
@@ -103,13 +100,21 @@ class LateWindowProcessor(StatefulProcessor):
                 self.handle.deleteTimer(timer)
             if due is not None:
                 self.handle.registerTimer(due)
-        return iter(out)
+        return sorted(added.items()), late
+
+    def _rows(self, key, fired: list, late: list, wm: int):
+        for values in late:
+            yield Row(channel="late", window_end=None, added=None, watermark=wm, **values)
+        nothing = dict.fromkeys(self.passes)
+        for end, n in fired:
+            yield Row(channel="fired", window_end=end, added=n, watermark=wm, **{**nothing, **dict(zip(self.keys, key))})
 
     def handleInputRows(self, key, rows, timerValues):
-        return self._step(key, rows, timerValues.getCurrentWatermarkInMs() * 1000)
+        wm = timerValues.getCurrentWatermarkInMs() * 1000
+        return self._rows(key, *self._advance(rows, wm), wm)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
-        return self._step(key, [], timerValues.getCurrentWatermarkInMs() * 1000)
+        return self.handleInputRows(key, [], timerValues)
 
     def close(self):
         pass
@@ -119,50 +124,57 @@ class FiringProcessor(LateWindowProcessor):
     """Firings alone, with the time at which their window closes for good as event time, so that Spark's own
     aggregates can follow."""
 
-    def _step(self, key, rows, wm):
-        for r in super()._step(key, rows, wm):
-            closes = _EPOCH + dt.timedelta(microseconds=r.window_end + self.lateness)
-            yield Row(**{self.key: key[0]}, window_end=r.window_end, added=r.added, closes=closes)
+    def _rows(self, key, fired: list, late: list, wm: int):
+        for end, n in fired:
+            closes = _EPOCH + dt.timedelta(microseconds=end + self.lateness)
+            yield Row(**dict(zip(self.keys, key)), window_end=end, added=n, closes=closes)
+
+
+def _as_list(keys: str | list[str]) -> list[str]:
+    return [keys] if isinstance(keys, str) else list(keys)
 
 
-def _salted(df: DataFrame, key: str, columns: list[str], salt_of: str, salts: int, ts: str, pred: Column | None):
+def _salted(df: DataFrame, keys: list[str], columns: list[str], salt_of: str, salts: int, ts: str, pred: Column | None):
     """Copy of a watermarked stream with plain times; rows failing ``pred`` still move the watermark."""
     d = df.withColumn("t", F.unix_micros(ts))
     if pred is not None:
         d = wm_safe_filter(d, pred)
     salt = F.pmod(F.xxhash64(salt_of), F.lit(salts)).alias("_salt")
-    return d.select(*[c for c in columns if c != ts], "t", salt).groupBy(key, "_salt")
+    return d.select(*[c for c in columns if c != ts], "t", salt).groupBy(*keys, "_salt")
 
 
-def stream_windows_with_late(df: DataFrame, key: str, size, slide, lateness="1 minute", ts: str = "ts",
+def stream_windows_with_late(df: DataFrame, keys: str | list[str], size, slide, lateness="1 minute", ts: str = "ts",
                              salt_of: str = "seq", salts: int = 16, pred: Column | None = None) -> DataFrame:
     """One stateful query, two named outputs: ``fired`` (key, window_end, added) and ``late`` (the input's columns),
     both with the ``watermark`` they were judged by.  ``df`` is watermarked with the out-of-orderness delay alone."""
-    columns = df.columns
+    keys, columns = _as_list(keys), df.columns
+    if taken := {"channel", "window_end", "added", "watermark"} & set(columns):
+        raise ValueError(f"columns of the input named like those of the outputs: {sorted(taken)}")
     plain = [c for c in columns if c != ts]
-    proc = LateWindowProcessor(key, size, slide, lateness, (*plain, "t"))
+    proc = LateWindowProcessor(keys, size, slide, lateness, (*plain, "t"))
     schema = T.StructType([T.StructField("channel", T.StringType()), T.StructField("window_end", _L),
                            T.StructField("added", _L), T.StructField("watermark", _L)]
                           + [T.StructField(c, df.schema[c].dataType) for c in plain] + [T.StructField("t", _L)])
-    out = _salted(df, key, columns, salt_of, salts, ts, pred).transformWithState(proc, schema, "Append", "EventTime")
+    out = _salted(df, keys, columns, salt_of, salts, ts, pred).transformWithState(proc, schema, "Append", "EventTime")
     return out.select("channel", *[(F.timestamp_micros("t") if c == ts else F.col(c)).alias(c) for c in columns],
                       F.timestamp_micros("window_end").alias("window_end"), "added",
                       F.timestamp_micros("watermark").alias("watermark"))
 
 
-def stream_final_counts(df: DataFrame, key: str, size, slide, lateness="1 minute", ts: str = "ts",
+def stream_final_counts(df: DataFrame, keys: str | list[str], size, slide, lateness="1 minute", ts: str = "ts",
                         salt_of: str = "seq", salts: int = 16, pred: Column | None = None) -> DataFrame:
-    """The same windows, each once, when its allowed lateness is over: (closes, key, window_end, cnt), where
-    ``closes`` is the event time of Spark's operators that follow."""
-    proc = FiringProcessor(key, size, slide, lateness)
-    schema = T.StructType([df.schema[key], T.StructField("window_end", _L), T.StructField("added", _L),
+    """The same windows, each once, when its allowed lateness is over: (closes, keys, window_end, cnt), where
+    ``closes`` is the event time of Spark's operators that follow.  No keys: totals."""
+    keys = _as_list(keys)
+    proc = FiringProcessor(keys, size, slide, lateness)
+    schema = T.StructType([df.schema[k] for k in keys] + [T.StructField("window_end", _L), T.StructField("added", _L),
                            T.StructField("closes", T.TimestampType())])
-    fired = (_salted(df, key, df.columns, salt_of, salts, ts, pred)
+    fired = (_salted(df, keys, df.columns, salt_of, salts, ts, pred)
              .transformWithState(proc, schema, "Append", "EventTime", eventTimeColumnName="closes"))
-    counts = fired.groupBy("closes", key, "window_end").agg(F.sum("added").alias("cnt"))
-    return counts.select("closes", key, F.timestamp_micros("window_end").alias("window_end"), "cnt")
+    counts = fired.groupBy("closes", *keys, "window_end").agg(F.sum("added").alias("cnt"))
+    return counts.select("closes", *keys, F.timestamp_micros("window_end").alias("window_end"), "cnt")
 
 
-def latest_counts(fired: DataFrame, key: str) -> DataFrame:
-    """Newest count of every window from the log of its firings (batch): (key, window_end, cnt)."""
-    return fired.groupBy(key, "window_end").agg(F.sum("added").alias("cnt"))
+def latest_counts(fired: DataFrame, keys: str | list[str]) -> DataFrame:
+    """Newest count of every window from the log of its firings (batch): (keys, window_end, cnt)."""
+    return fired.groupBy(*_as_list(keys), "window_end").agg(F.sum("added").alias("cnt"))

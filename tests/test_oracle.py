@@ -25,9 +25,9 @@ def test_entry_smoke(spark):
     assert df.count() > 0
 
 
-def test_every_query_has_an_oracle_except_sketches():
+def test_every_query_has_an_oracle_but_two():
     missing = set(QUERIES) - set(oracle_sql())
-    assert missing == {"unique_visitors_hll"}
+    assert missing == {"unique_visitors_hll", "pay_receipt_one_to_one"}  # first come, first served: against a loop
 
 
 @pytest.mark.parametrize("name", sorted(ORACLE))
@@ -38,7 +38,8 @@ def test_query_matches_duckdb(spark, con, name):
     assert canon(sp) == canon(od)
 
 
-@pytest.mark.parametrize("name", ["parse_order", "parse_receipt", "order_paid", "ad_blacklist", "pay_receipt_match"])
+@pytest.mark.parametrize("name", ["parse_order", "parse_receipt", "order_paid", "ad_blacklist", "pay_receipt_match",
+                                  "login_fail_bursts", "pay_receipt_first"])
 def test_results_do_not_depend_on_session_time_zone(spark, name):
     """timestamp_ntz inputs: a DST-observing session zone must not shift any value (1990s DST gaps)."""
     con = duckdb.connect()

@@ -12,7 +12,8 @@ from eventide.streaming.harness import read_ordered_files, write_ordered_files
 from eventide.streaming.jobs import STREAM_JOBS
 
 # batch: one outcome per order; batch: its input arrives out of order (test_late_windows.py)
-OWN_TESTS = {"order_payment_status", "late_page_events"}
+# the 5 s windows have no batch query of their own but their profile
+OWN_TESTS = {"order_payment_status", "late_page_events", "marketing_by_channel_5s", "marketing_total_5s"}
 
 FAR = ts("2031-01-01 00:00:00")
 
@@ -72,3 +73,19 @@ def test_stream_job_equals_batch(spark, streams, name):
     got = closed(r for r in spark.table(qn).select(*cols).collect())
     want = closed(r for r in batch.collect())
     assert got == want
+
+
+@pytest.mark.parametrize("name,profile", [("marketing_by_channel_5s", "marketing_by_channel_profile"),
+                                          ("marketing_total_5s", "marketing_total_profile")])
+def test_surveyed_windows_equal_the_batch_profile(spark, streams, tmp_path, name, profile):
+    from eventide.operators import rollup_profile
+    out = STREAM_JOBS[name](streams)
+    q = (out.writeStream.format("parquet").option("path", str(tmp_path / "out")).outputMode("append")
+         .option("checkpointLocation", str(tmp_path / "ck")).start())
+    q.processAllAvailable()
+    q.stop()
+    got = spark.read.parquet(str(tmp_path / "out")).filter("window_end < '2030-01-01'")
+    got = rollup_profile(got, ["channel", "behavior"])
+    want = QUERIES[profile](spark, SF_SMALL)
+    as_rows = lambda df: sorted((tuple(r) for r in df.select(*want.columns).collect()), key=str)
+    assert as_rows(got) == as_rows(want)

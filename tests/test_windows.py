@@ -55,8 +55,22 @@ def test_top_n_plans_partial_limit(pv):
     assert "WindowGroupLimit" in plan
 
 
-def test_delta_with_forced_hot_refinement(pv):
+def test_delta_in_wide_buckets(pv):
     from eventide.operators import windows as W
     base = rows(sliding_count(pv, ["behavior"], "1 hour", "30 seconds", strategy="direct"))
-    forced = rows(W._delta(pv, ["behavior"], "ts", "1 hour", "30 seconds", "cnt", bucket="1 day", hot_rows=1))
-    assert forced == base
+    wide = rows(W._delta(pv, ["behavior"], "ts", "1 hour", "30 seconds", "cnt", bucket="1 day"))
+    assert wide == base
+
+
+def test_small_slides_and_running_visitors_run_no_job_when_called(spark):
+    from eventide.plans import QUERIES
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("lazy-windows", "queries that are only built")
+    try:
+        for name in ("marketing_by_channel_profile", "marketing_total_profile", "running_unique_visitors"):
+            QUERIES[name](spark, SF_SMALL).schema
+        # reading the schema of a Parquet folder is a job of its own, with one task
+        stages = [tracker.getJobInfo(j).stageIds for j in tracker.getJobIdsForGroup("lazy-windows")]
+        assert all(len(s) == 1 and tracker.getStageInfo(s[0]).numTasks == 1 for s in stages)
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
