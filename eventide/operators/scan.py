@@ -64,20 +64,6 @@ class Running(NamedTuple):
 _AGG = {"sum": F.sum, "max": F.max, "min": F.min}
 
 
-def materialize(df: DataFrame) -> DataFrame:
-    """Cut lineage: write ``df`` once to the session's reliable checkpoint folder.
-
-    ``ordered_scan`` reads its input up to three times (hot-bucket counts,
-    bucket totals, the window pass).  Spark plans are trees, so when that input
-    is itself a shuffle result it would be recomputed per read; a reliable
-    checkpoint (``spark.checkpoint.dir``, shared storage on a cluster) computes
-    it once and survives executor loss.
-    """
-    from eventide.session import checkpoint_dir
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
-
-
 def time_bucket(ts, width) -> Column:
     """A bucket column for ``ordered_scan``: the start of the tumbling window of ``width``."""
     return F.window(col(ts), interval_str(width)).start
