@@ -88,9 +88,9 @@ ORACLE["item_view_counts"] = with_fx("fx_user_behavior", extra=f"pv as ({PV})")
     sliding_sql("pv", ["item_id"], J.ITEMS["size"], J.ITEMS["slide"])
 ORACLE["item_view_counts_direct"] = ORACLE["item_view_counts"]
 ORACLE["item_view_counts_delta"] = ORACLE["item_view_counts"]
-ORACLE["sliding_pane_equals_direct"] = (
-    "select cast(null as bigint) as item_id, cast(null as timestamp) as window_end, cast(null as bigint) as cnt "
-    "from events where false")
+ORACLE["sliding_pane_equals_direct"] = "with c as (" + ORACLE["item_view_counts"].replace("\n", "\n  ") + """)
+select item_id, count(*) as n_windows, cast(sum(cnt) as bigint) as sum_pane, cast(sum(cnt) as bigint) as sum_delta,
+       true as same from c group by item_id"""
 
 ORACLE["hot_items"] = with_fx("fx_user_behavior", extra=f"pv as ({PV}), c as ("
                               + sliding_sql("pv", ["item_id"], J.ITEMS["size"], J.ITEMS["slide"]) + ")") + f"""

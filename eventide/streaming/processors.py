@@ -34,15 +34,8 @@ _EV = T.StructType([T.StructField("ts", T.LongType()), T.StructField("seq", T.Lo
                     T.StructField("hit", T.BooleanType())])
 _TS = T.StructType([T.StructField("ts", T.LongType())])
 
-
-_EPOCH = dt.datetime(1970, 1, 1)
-_EPOCH_UTC = _EPOCH.replace(tzinfo=dt.timezone.utc)
-
-
-def _us(t: dt.datetime) -> int:
-    """Epoch microseconds of a (naive, local-time) timestamp as PySpark hands it over."""
-    delta = t.astimezone(dt.timezone.utc).replace(tzinfo=None) - _EPOCH
-    return (delta.days * 86400 + delta.seconds) * 1_000_000 + delta.microseconds
+# Event times come as epoch microseconds (column t) and go out as aware datetimes: no local zone in between.
+_EPOCH_UTC = dt.datetime(1970, 1, 1, tzinfo=dt.timezone.utc)
 
 
 def _dt(us: int) -> dt.datetime:
@@ -133,7 +126,7 @@ class ConsecutiveRunProcessor(_BufferedProcessor):
         self.recent = handle.getListState("recent", _TS)
 
     def row_values(self, r):
-        return (_us(r.ts), r.seq, r[self.column] == self.value)
+        return (r.t, r.seq, r[self.column] == self.value)
 
     def on_events(self, key, events, wm):
         recent = [x[0] for x in self.recent.get()] if self.recent.exists() else []
@@ -171,7 +164,7 @@ RUN_SCHEMA = T.StructType([T.StructField("user_id", T.LongType()), T.StructField
 
 def stream_consecutive_run(logins: DataFrame, n: int = 8, within=None, inclusive: bool = True) -> DataFrame:
     """Streaming twin of ``consecutive_run`` / ``consecutive_pairs`` (input already watermarked)."""
-    return (logins.select("user_id", "seq", "login_state", "ts").groupBy("user_id")
+    return (logins.select("user_id", "seq", "login_state", "ts", F.unix_micros("ts").alias("t")).groupBy("user_id")
             .transformWithState(ConsecutiveRunProcessor(n, within, inclusive), RUN_SCHEMA, "Append", "EventTime"))
 
 
@@ -202,7 +195,7 @@ class OrderStatusProcessor(StatefulProcessor):
     def handleInputRows(self, key, rows, timerValues):
         c, p, done = self.st.get() if self.st.exists() else (None, None, False)
         for r in rows:
-            t = _us(r.ts)
+            t = r.t
             if r.event_type == "create":
                 c = t if c is None else min(c, t)
             elif r.event_type == "pay":
@@ -255,7 +248,7 @@ STATUS_SCHEMA = T.StructType([T.StructField("order_id", T.LongType()), T.StructF
 
 
 def stream_order_payment_status(orders: DataFrame, timeout="15 minutes") -> DataFrame:
-    return (orders.select("order_id", "event_type", "ts").groupBy("order_id")
+    return (orders.select("order_id", "event_type", "ts", F.unix_micros("ts").alias("t")).groupBy("order_id")
             .transformWithState(OrderStatusProcessor(timeout), STATUS_SCHEMA, "Append", "EventTime"))
 
 
@@ -280,7 +273,7 @@ class CapProcessor(_BufferedProcessor):
         return calendar.timegm(nxt.timetuple()) * 1000
 
     def handleInputRows(self, key, rows, timerValues):
-        self.buf.appendList([(_us(r.ts), r.seq, r.province, r.city) for r in rows])
+        self.buf.appendList([(r.t, r.seq, r.province, r.city) for r in rows])
         # a click behind the first cap + 1 of the day can only move further back: it is never output
         left = max(0, self.cap + 1 - (self.n.get()[0] if self.n.exists() else 0))
         held = sorted(tuple(x) for x in self.buf.get())
@@ -334,7 +327,7 @@ CAP_SCHEMA = T.StructType([T.StructField("channel", T.StringType()), T.StructFie
 def stream_cap_per_key(clicks: DataFrame, cap: int = 100, day_offset_hours: int = 8) -> DataFrame:
     """Streaming twin of ``cap_per_key``; split the result with ``split_channels(['main', 'blacklist'])``."""
     day = F.to_date(instant_to_ntz("ts") + F.make_dt_interval(hours=F.lit(day_offset_hours)))
-    return (clicks.select("user_id", "ad_id", day.alias("day"), "seq", "province", "city", "ts")
+    return (clicks.select("user_id", "ad_id", day.alias("day"), "seq", "province", "city", "ts", F.unix_micros("ts").alias("t"))
             .groupBy("user_id", "ad_id", "day")
             .transformWithState(CapProcessor(cap, day_offset_hours=day_offset_hours), CAP_SCHEMA, "Append",
                                 "EventTime"))
@@ -355,7 +348,7 @@ class FollowedByProcessor(_BufferedProcessor):
         self.pending = handle.getListState("pending", _TS)
 
     def row_values(self, r):
-        return (_us(r.ts), r.seq, r.event_type)
+        return (r.t, r.seq, r.event_type)
 
     def _row(self, key, c, p, result):
         return Row(order_id=key[0], create_ts=_dt(c), end_ts=_dt(p if p is not None else c + self.w_us),
@@ -396,7 +389,7 @@ FOLLOWED_SCHEMA = T.StructType([T.StructField("order_id", T.LongType()), T.Struc
 def stream_followed_by(orders: DataFrame, within="15 minutes") -> DataFrame:
     """Streaming twin of ``followed_by``: ``result`` is ``payed`` (end_ts = pay time) or
     ``timeout`` (end_ts = create + within); split with ``split_channels(..., column='result')``."""
-    return (orders.select("order_id", "seq", "event_type", "ts").groupBy("order_id")
+    return (orders.select("order_id", "seq", "event_type", "ts", F.unix_micros("ts").alias("t")).groupBy("order_id")
             .transformWithState(FollowedByProcessor(within), FOLLOWED_SCHEMA, "Append", "EventTime"))
 
 
@@ -415,7 +408,7 @@ class BurstProcessor(_BufferedProcessor):
             T.StructField("anchor", T.LongType()), T.StructField("last", T.LongType()), T.StructField("cnt", T.IntegerType())]))
 
     def row_values(self, r):
-        return (_us(r.ts), r.seq, r[self.column] == self.value)
+        return (r.t, r.seq, r[self.column] == self.value)
 
     def _emit(self, key, a, last, cnt):
         return Row(user_id=key[0], first_fail_ts=_dt(a), last_fail_ts=_dt(last), fail_count=cnt,
@@ -458,7 +451,7 @@ BURST_SCHEMA = T.StructType([T.StructField("user_id", T.LongType()), T.StructFie
 
 
 def stream_fail_bursts(logins: DataFrame, window="2 seconds", min_fails: int = 2) -> DataFrame:
-    return (logins.select("user_id", "seq", "login_state", "ts").groupBy("user_id")
+    return (logins.select("user_id", "seq", "login_state", "ts", F.unix_micros("ts").alias("t")).groupBy("user_id")
             .transformWithState(BurstProcessor(window, min_fails), BURST_SCHEMA, "Append", "EventTime"))
 
 

@@ -54,6 +54,10 @@ def at(i):
     return dt.datetime(2024, 1, 1) + dt.timedelta(seconds=i)
 
 
+def micros(t):
+    return int((t - dt.datetime(1970, 1, 1)).total_seconds()) * 1_000_000
+
+
 def times(wm):
     return SimpleNamespace(getCurrentWatermarkInMs=lambda: wm)
 
@@ -74,7 +78,7 @@ def test_runs_of_any_length_one_row_at_a_time(n):
 
 class SimpleRow:
     def __init__(self, ts, seq, login_state):
-        self.ts, self.seq, self.login_state = ts, seq, login_state
+        self.t, self.seq, self.login_state = micros(ts), seq, login_state
 
     def __getitem__(self, k):
         return getattr(self, k)
@@ -83,7 +87,7 @@ class SimpleRow:
 def test_cap_state_stays_bounded():
     p = CapProcessor(cap=5)
     p.init(Handle())
-    click = [SimpleNamespace(ts=at(i), seq=i, province="p", city="c") for i in range(1000)]
+    click = [SimpleNamespace(t=micros(at(i)), seq=i, province="p", city="c") for i in range(1000)]
     p.handleInputRows((1, 2, dt.date(2024, 1, 1)), click[::-1], times(0))
     assert len(p.buf.v) == 6 and [x[1] for x in sorted(p.buf.v)] == list(range(6))
     expired = SimpleNamespace(getExpiryTimeInMs=lambda: 0)
@@ -112,7 +116,7 @@ def test_work_per_event_does_not_grow_with_the_buffer():
     class R(dict):
         __getattr__ = dict.__getitem__
 
-    rows = [R(ts=at(i), seq=i, login_state="fail") for i in range(10_000)]
+    rows = [R(t=micros(at(i)), seq=i, login_state="fail") for i in range(10_000)]
     list(p.handleInputRows((1,), iter(rows), times(0)))
     assert len(h.timers) == 1
     out = []
