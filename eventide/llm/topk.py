@@ -12,8 +12,8 @@ Scale: the index is range-partitioned by length; every task holds one block.  Qu
 ``chunk_mb`` (a fixed bound, broadcast), each against all blocks: a block nested loop, as a query set that is a
 share of the table asks.  Each task returns at most k rows per query.
 
-Defined cases: vectors that are null or hold null or non-finite components, or whose scaled components exceed
-2^53, and rows with a null id take no part; shorter vectors count as padded with zeros; an empty vector scores 0;
+Defined cases: vectors that are null or hold null or non-finite components, and rows with a null id take no part; a
+scaled component or one of the k best scores beyond 64 bits is an error, other scores are exact at any size; shorter vectors count as padded with zeros; an empty vector scores 0;
 every row with the query's id is left out of its answer; equal query rows are answered once, equal candidate rows
 each count; ties go to the smaller id; empty tables give no rows; extra columns are not read.
 """
@@ -41,8 +41,10 @@ def _scaler(scale: int):
                     continue
                 with np.errstate(over="ignore"):
                     x = np.floor(v.values.to_numpy(zero_copy_only=False).astype(np.float64) * scale)
-                if not np.isfinite(x).all() or (np.abs(x) > 2.0 ** 53).any():
+                if not np.isfinite(v.values.to_numpy(zero_copy_only=False).astype(np.float64)).all():
                     continue
+                if (np.abs(x) >= 2.0 ** 63).any():
+                    raise OverflowError(f"vector {i}: a scaled component does not fit 64 bits")
                 ids.append(i)
                 dims.append(len(x))
                 ints.append(x.astype("<i8").tobytes())
@@ -151,14 +153,16 @@ class Search:
         q, v = np.nonzero(may)
         if not len(q):
             return
-        exact = max(np.abs(floats).max(initial=0), 1) * max(np.abs(self.floats).max(initial=0), 1) * floats.shape[1] < 2 ** 53
-        if exact and len(q) * 8 > may.size:
+        largest = max(np.abs(floats).max(initial=0), 1) * max(np.abs(self.floats).max(initial=0), 1) * floats.shape[1]
+        if largest < 2 ** 53 and len(q) * 8 > may.size:
             score = (self.floats[live] @ floats.T)[q, v].astype(np.int64)
         else:
-            score = np.empty(len(q), np.int64)
+            # beyond 64 bits the sums are taken on Python's integers
+            kind = np.int64 if largest < 2 ** 62 else object
+            score = np.empty(len(q), kind)
             for at in range(0, len(q), 1 << 16):
                 s = slice(at, at + (1 << 16))
-                score[s] = (self.ints[live[q[s]]] * ints[v[s]]).sum(1)
+                score[s] = (self.ints[live[q[s]]].astype(kind) * ints[v[s]].astype(kind)).sum(1)
         self.scored += len(q)
         hit = score >= self.floor[live[q]]
         q, v, score = live[q[hit]], v[hit], score[hit]
@@ -166,17 +170,28 @@ class Search:
 
     def _merge(self, q, score, ids) -> None:
         q, score, ids = (np.concatenate([a, b]) for a, b in zip(self.best, (q, score, ids)))
-        order = np.lexsort((ids, -score, q))
+        if score.dtype == object:
+            order = np.array(sorted(range(len(q)), key=lambda i: (q[i], -score[i], ids[i])), np.int64)
+        else:
+            order = np.lexsort((ids, -score, q))
         q, score, ids = q[order], score[order], ids[order]
         place = np.arange(len(q)) - np.searchsorted(q, q, "left")
         keep = place < self.k
         self.best = [q[keep], score[keep], ids[keep]]
         last = place == self.k - 1
-        self.floor[q[last]] = np.maximum(self.floor[q[last]], score[last])
+        least = score[last].astype(np.float64)
+        # a float may lie above the score it stands for
+        least = np.where(np.abs(least) < 2 ** 53, least, np.nextafter(least, -np.inf))
+        self.floor[q[last]] = np.maximum(self.floor[q[last]], least)
 
     def rows(self):
         q, score, ids = self.best
-        return pa.RecordBatch.from_arrays([pa.array(self.ids[q]), pa.array(ids), pa.array(score)],
+        if score.dtype == object:
+            if any(x >= 1 << 63 for x in score):
+                raise OverflowError("a score does not fit 64 bits")
+            # null: below 64 bits, an error only if it is among the best of all tasks
+            score = [x if x >= -1 << 63 else None for x in score]
+        return pa.RecordBatch.from_arrays([pa.array(self.ids[q]), pa.array(ids), pa.array(score, pa.int64())],
                                           ["query_id", "vec_id", "score"])
 
 
@@ -228,8 +243,10 @@ def top_k(vectors: DataFrame, queries: Column, id_col="vec_id", vector_col="embe
             hits.write.mode("append").parquet(out)
             shared.destroy()
     hits = spark.read.schema(HITS).parquet(out)
-    rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id"))
-    return hits.withColumn("rank", rank).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.col("score").desc_nulls_last(), "vec_id"))
+    wide = F.raise_error(F.lit("a score does not fit 64 bits")).cast("long")
+    score = F.when(F.col("score").isNull(), wide).otherwise(F.col("score")).alias("score")
+    return hits.withColumn("rank", rank).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", score)
 
 
 ORACLE = """

@@ -58,3 +58,22 @@ def test_bounds_prune_and_stay_exact():
         want = sorted(zip(-(x @ q[i]), ids))[:5]
         mine = s.best[0] == i
         assert [(-a, b) for a, b in zip(s.best[1][mine], s.best[2][mine])] == want
+
+
+def test_large_components(spark):
+    """Sums beyond 2^53 and products beyond 2^63 inside; scores that fit are exact, others are an error."""
+    import pytest
+    big = 2.0 ** 31 / 1024
+    rows = [(0, [big, -big, 1.0]), (1, [big, big, 2.0]), (2, [big, big * 0.5, 0.0]), (3, [-big, big, 0.0]), (4, [0.0, 0.0, 3.0]),
+            (5, [big, big, 0.0]), (6, [1e14, 1e14, 1.0]), (7, [-1e14, -1e14, 0.0])]
+    wide = spark.createDataFrame([(i, v) for i, v in rows[:5]], "vec_id long, embedding array<double>")
+    got = topk.top_k(wide, F.col("vec_id") == 0, k=4).collect()
+    want = sorted((-sum(int(a * 1024) * int(b * 1024) for a, b in zip(rows[0][1], v)), i) for i, v in rows[1:5])
+    assert [(-r.score, r.vec_id) for r in sorted(got, key=lambda r: r["rank"])] == want
+    # a score near -2^64 is only wrong if it is returned
+    wide = spark.createDataFrame(rows[4:5] + rows[5:6] + [(8, [-big * 2, -big * 2, 0.0]), (9, [1.0, 1.0, 1.0])],
+                                 "vec_id long, embedding array<double>")
+    got = topk.top_k(wide, F.col("vec_id") == 5, k=2).collect()
+    assert sorted((r["rank"], r.vec_id) for r in got) == [(1, 9), (2, 4)]
+    with pytest.raises(Exception, match="does not fit 64 bits"):
+        topk.top_k(spark.createDataFrame(rows[5:7], "vec_id long, embedding array<double>"), F.col("vec_id") == 5).collect()
