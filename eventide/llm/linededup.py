@@ -5,14 +5,17 @@ it repeats an earlier line exactly, or when some earlier line (kept or not) has
 more with it.  Earlier means smaller (document id, text hash, position); shorter lines stay.
 
 1. Exact repeats: the first place of every line by a partial aggregate over line hashes; no text is shuffled.
-2. Rarity: shingles are counted over all lines into 2^14 hash buckets (a fixed size), and a line's tokens are ordered
-   by their bucket's count, rarest first, then by hash: one total order for all lines, as the prefix filter needs.
-3. Prefix filter: a line of n tokens is indexed under its first n - ceil(s n) + 1 tokens only; repeats of a line are
-   pre-aggregated away first.  One shuffle by token finds the tokens that two or more different lines share.
-4. Each line first meets the earliest line of every token it is indexed under, which settles groups of near copies
-   in linear work; only lines still unsettled meet the other earlier lines.  Length and positional filters cut
-   candidates inside the joins; candidates are verified by exact Jaccard on whole token sets.
-5. Removed places are grouped per document and cut out of the text.
+2. Screen: tokens are ordered by the hash of their first word, so that a line hashes few of them whole.  Similar lines
+   share l tokens among the first n - ceil(s n) + l of each (prefix filter, l about a twentieth of n; repeats of a line
+   are pre-aggregated away first).  Only lines with that many tokens that other lines are entered under too go on.
+3. Their shingles are counted exactly.  A line goes on if ceil(s n) of its shingles or more occur in other lines too;
+   rarest first is the order of a second prefix filter, whose positions count only such shingles.
+4. Each line meets the earliest line (pivot) of every token it is entered under.  Most near copies are settled there.
+5. A line x unlike its pivot P and a line y that are similar differ from P in the same way: with Dx the tokens in just
+   one of x and P, |Dx| + |Dy| - 2 |Dx & Dy| = |x ^ y|, at most f (nx + ny) with f = (1 - s) / (1 + s), while
+   |Dx| > f (nx + nP) and |Dy| >= |ny - nP|.  So those lines meet by a prefix filter over the differences, rarest of
+   the pivot's group first: near copies that share their base but not their edits do not meet at all.
+6. Candidates are verified by exact Jaccard on whole token sets; removed places are grouped per document and cut out.
 
 Before a large side is shuffled to meet a list of keys, a semi join with at most 2^20 key buckets (a proven size,
 broadcast) drops rows that cannot meet it.  All steps are DataFrame functions.
@@ -30,7 +33,7 @@ from pyspark.sql import functions as F
 from eventide.llm.common import SPACES, materialize, release_shuffles
 
 SPLIT = r"[\x20\x09-\x0D]+"
-COUNT_BITS, FILTER_BITS = 14, 20
+FILTER_BITS = 20
 
 
 def _enough(line: Column, n: int) -> Column:
@@ -52,12 +55,24 @@ def _shingles(line: Column, width: int) -> Column:
                                                     lambda i: F.xxhash64(*[F.get(w, i + j) for j in range(width)])))
 
 
-def _exploded_shingles(lines: DataFrame, width: int) -> DataFrame:
-    """The same hashes as rows: compiled code without lambdas, for passes that need no grouping by line.
-    explode_outer, as explode would add a filter that splits the line once more."""
-    words = lines.select(_words(F.col("line")).alias("w"))
-    at = words.select("w", F.explode_outer(F.sequence(F.lit(0), F.size("w") - width)).alias("i"))
-    return at.select(F.xxhash64(*[F.get(F.col("w"), F.col("i") + j) for j in range(width)]).alias("h"))
+def _prefix(line: Column, width: int, num: int, den: int) -> Column:
+    """Structs (t, least): tokens the line is entered under in the screen, and how many of them a similar line shares.
+
+    The order of tokens is by the hash of their first word.  With N shingles, repeats counted, all up to the q-th
+    different first word are taken, which are q different shingles or more; q = N - ceil(s N) + l, l = 1 + N // 20.
+    A similar line has s u shingles or more, u being the number of different first words, so its l is ``least`` or more.
+    """
+    def chosen(w, h, o):
+        q = F.size(h) - _ceil_div(F.size(h) * num, den) + 1 + F.floor(F.size(h) / 20).cast("int")
+        least = (F.floor(_ceil_div(F.size(o) * num, den) / 20) + 1).cast("int")
+        places = _let(F.get(o, F.least(q, F.size(o)) - 1), lambda last: F.filter(
+            F.sequence(F.lit(0), F.size(h) - 1), lambda i: F.get(h, i) <= last))
+        tokens = F.array_distinct(F.transform(places, lambda i: F.xxhash64(*[F.get(w, i + j) for j in range(width)])))
+        return _let(least, lambda n: F.transform(tokens, lambda t: F.struct(t.alias("t"), n.alias("least"))))
+
+    return _let(_words(line), lambda w: _let(
+        F.transform(F.slice(w, F.lit(1), F.size(w) - (width - 1)), lambda x: F.xxhash64(x)),
+        lambda h: _let(F.sort_array(F.array_distinct(h)), lambda o: chosen(w, h, o))))
 
 
 def _bucket(h, bits: int) -> Column:
@@ -71,13 +86,6 @@ def _lines(docs: DataFrame, min_words: int) -> DataFrame:
             .withColumn("k1", F.xxhash64("line")).withColumn("k2", F.xxhash64(F.lit(1), "line")))
 
 
-def _ordered(shingles: Column, ranks: list[int]) -> Column:
-    """Tokens of a line, rarest first: rank of the bucket above 47 hash bits, so longs sort in the global order."""
-    table = F.split(F.lit(",".join(map(str, ranks))), ",").cast("array<bigint>")  # folded into one literal
-    return F.sort_array(F.array_distinct(F.transform(shingles, lambda h: F.shiftleft(
-        F.get(table, _bucket(h, COUNT_BITS).cast("int")), 47).bitwiseOR(F.shiftrightunsigned(h, 17)))))
-
-
 def _among(rows: DataFrame, keys: DataFrame, key: str, how: str = "left_semi") -> DataFrame:
     """Rows whose key's bucket holds one of ``keys`` (``left_anti``: none): at most 2^20 buckets are broadcast."""
     buckets = keys.select(_bucket(key, FILTER_BITS).alias("_f")).distinct()
@@ -88,10 +96,29 @@ def _long_enough(na: Column, nb: Column, num: int, den: int) -> Column:
     return den * F.least(na, nb) >= num * F.greatest(na, nb)
 
 
-def _overlap_possible(na, pa, nb, pb, num: int, den: int) -> Column:
-    """At most the tokens before the shared one on the shorter side, it, and those after it can be shared."""
-    most = F.least(pa, pb) + 1 + F.least(na - pa, nb - pb) - 1
-    return (num + den) * most >= num * (na + nb)
+def _most_shared(pa: Column, ka: Column, pb: Column, kb: Column) -> Column:
+    """Bound on the shared tokens of two ordered lists of ka and kb that share the ones at pa and pb: those before on
+    the shorter side, it, and those after it."""
+    return F.least(pa, pb) + F.least(ka - pa, kb - pb)
+
+
+def _ceil_div(a: Column, b: int) -> Column:
+    return F.floor((a + (b - 1)) / b).cast("int")
+
+
+def _rarest_first(tokens: DataFrame, group: list[str], keys: list[str]) -> DataFrame:
+    """``keys`` and the list ``x`` of a line's tokens t that others of the ``group`` share, rarest first."""
+    counts = materialize(tokens.groupBy(*group, "t").agg(F.count(F.lit(1)).alias("c")).filter("c > 1"), "line-counts")
+    release_shuffles(tokens.sparkSession)
+    return (tokens.join(counts, [*group, "t"]).groupBy(*keys)
+            .agg(F.sort_array(F.collect_list(F.struct("c", "t"))).alias("x")))  # at most the tokens of a line
+
+
+def _entries(lines: DataFrame, least: Column, *more: str) -> DataFrame:
+    """A row for every token under which a line that must share ``least`` of its list ``x`` is entered."""
+    first = F.slice("x", F.lit(1), F.greatest(F.lit(0), F.size("x") - least + 1))
+    return (lines.select(*more, F.size("x").alias("k"), F.posexplode(first).alias("p", "e"))
+            .select(*more, "k", "p", F.col("e.t").alias("t")))
 
 
 def repeated_places(docs: DataFrame, *, width: int = 5, num: int = 4, den: int = 5, min_words: int = 5) -> DataFrame:
@@ -104,55 +131,71 @@ def repeated_places(docs: DataFrame, *, width: int = 5, num: int = 4, den: int =
         where.groupBy("k1", "k2").agg(F.min(F.struct("doc", "th", "pos")).alias("o"), F.count(F.lit(1)).alias("c"))
         .repartitionByRange(first_place).sortWithinPartitions(first_place)
         .withColumn("id", F.monotonically_increasing_id()), "line-places")
-    counted = {r["b"]: r["n"] for r in _exploded_shingles(lines, width).groupBy(
-        _bucket("h", COUNT_BITS).alias("b")).agg(F.count(F.lit(1)).alias("n")).collect()}
-    rank = {b: i for i, b in enumerate(sorted(range(1 << COUNT_BITS), key=lambda b: (counted.get(b, 0), b)))}
     shingles = _shingles(F.col("line"), width)
-    ordered = _ordered(shingles, [rank[b] for b in range(1 << COUNT_BITS)])
 
     # every line once: those in no bucket of a repeated line as they are read, the others after a grouping
     repeated = places.filter("c > 1").select("k1")
     text = lines.select("k1", "k2", "line")
     once = _among(text, repeated, "k1", "left_anti").select("k1", "line")
     many = _among(text, repeated, "k1").groupBy("k1", "k2").agg(F.first("line").alias("line")).select("k1", "line")
-    n = F.col("n")
-    prefix = _let(ordered, lambda t: F.transform(
-        F.slice(t, F.lit(1), F.size(t) - F.floor((F.size(t) * num + den - 1) / den).cast("int") + 1),
-        lambda x: F.struct(F.size(t).alias("n"), x.alias("t"))))
     token = Window.partitionBy("t")
-    index = (once.unionByName(many).select("k1", F.posexplode_outer(prefix).alias("p", "x"))
-             .select("k1", "x.n", "p", "x.t"))
+    index = (once.unionByName(many).select("k1", F.explode_outer(_prefix(F.col("line"), width, num, den)).alias("x"))
+             .select("k1", "x.least", "x.t"))
     met = (index.withColumn("_a", F.min("k1").over(token)).withColumn("_b", F.max("k1").over(token))
-           .filter("_a <> _b").drop("_a", "_b"))
+           .filter("_a <> _b").groupBy("k1", "least").agg(F.count(F.lit(1)).alias("c")).filter("c >= least")
+           .select("k1").distinct())
     met = materialize(met, "line-met")
     release_shuffles(docs.sparkSession)
-    met = materialize(met.join(_among(places, met, "k1").select("k1", "id"), "k1").select("t", "id", "n", "p"), "line-ids")
-    earliest = met.groupBy("t").agg(F.min(F.struct("id", "n", "p")).alias("e"))
-    met = materialize(met.join(earliest, "t").filter(F.col("id") > F.col("e.id")), "line-later")
-
-    def verified(pairs: DataFrame) -> DataFrame:
-        """Distinct later lines (id) of the pairs (id, other) that reach the similarity."""
-        pairs = materialize(pairs.distinct(), "line-pairs")
-        ends = pairs.select("id").unionByName(pairs.select(F.col("other").alias("id"))).distinct()
-        at = F.xxhash64("o.doc", "o.th", "o.pos")
-        ends = materialize(places.join(ends, "id").select("id", "k1", "k2", at.alias("at")), "line-ends")
-        found = (_among(lines.select("k1", "k2", "line", F.xxhash64("doc", "th", "pos").alias("at")), ends, "at")
-                 .join(ends, ["at", "k1", "k2"]))
-        sets = materialize(found.select("id", F.array_distinct(shingles).alias("s")), "line-sets")
-        release_shuffles(docs.sparkSession)
-        a, b = sets.withColumnRenamed("s", "sa"), sets.select(F.col("id").alias("other"), F.col("s").alias("sb"))
-        common = F.size(F.array_intersect("sa", "sb"))
-        return (pairs.join(a, "id").join(b, "other")
-                .filter(den * common >= num * (F.size("sa") + F.size("sb") - common)).select("id").distinct())
-
-    e = F.col("e")
-    one = met.filter(_long_enough(n, e.n, num, den) & _overlap_possible(n, F.col("p"), e.n, e.p, num, den))
-    settled = materialize(verified(one.select("id", e.id.alias("other"))), "line-settled")
-    x = met.select("t", "id", "n", "p").join(settled, "id", "left_anti")
-    y = met.select("t", F.col("id").alias("other"), F.col("n").alias("m"), F.col("p").alias("q"))
-    two = x.join(y, "t").filter((F.col("id") > F.col("other")) & _long_enough(n, F.col("m"), num, den)
-                                & _overlap_possible(n, F.col("p"), F.col("m"), F.col("q"), num, den))
-    near = settled.unionByName(verified(two.select("id", "other")))
+
+    # the token sets of these lines, at their first places
+    at = F.xxhash64("o.doc", "o.th", "o.pos")
+    ends = materialize(_among(places, met, "k1").join(met, "k1").select("id", "k1", "k2", at.alias("at")), "line-ends")
+    found = (_among(lines.select("k1", "k2", "line", F.xxhash64("doc", "th", "pos").alias("at")), ends, "at")
+             .join(ends, ["at", "k1", "k2"]))
+    sets = materialize(found.select("id", F.array_distinct(shingles).alias("s")), "line-sets")
+    release_shuffles(docs.sparkSession)
+    tokens = sets.select("id", F.size("s").alias("n"), F.explode_outer("s").alias("t"))
+    n, need = F.col("n"), _ceil_div(F.col("n") * num, den)
+    shared = materialize(_rarest_first(tokens, [], ["id", "n"]).filter(F.size("x") >= need), "line-shared")
+    release_shuffles(docs.sparkSession)
+    sets = sets.join(shared.select("id"), "id", "left_semi")
+
+    # each line and the earliest of every token: what only one of the two has
+    entries = _entries(shared, need, "id", "n")
+    earliest = entries.groupBy("t").agg(F.min("id").alias("pivot"), F.max("id").alias("_z")).filter("pivot < _z")
+    pivots = materialize(entries.join(earliest, "t").filter("id > pivot").select("id", "pivot").distinct(), "line-pivots")
+    a, b = sets.withColumnRenamed("s", "sa"), sets.select(F.col("id").alias("pivot"), F.col("s").alias("sb"))
+    differ = F.concat(F.array_except("sa", "sb"), F.array_except("sb", "sa"))
+    deltas = (pivots.join(a, "id").join(b, "pivot")
+              .select("id", "pivot", F.size("sa").alias("n"), F.size("sb").alias("m"), differ.alias("d"))
+              .withColumn("near", (den + num) * F.size("d") <= (den - num) * (n + F.col("m"))))
+    deltas = materialize(deltas, "line-deltas")
+    release_shuffles(docs.sparkSession)
+    settled = deltas.filter("near").select("id").distinct()
+
+    # lines unlike all their pivots meet the others of a pivot by what they differ in
+    alone = deltas.select("id").distinct().join(settled, "id", "left_anti").withColumn("open", F.lit(True))
+    group = deltas.select("id", "pivot").join(alone, "id", "left")
+    group = group.groupBy("pivot").agg(F.count(F.lit(1)).alias("c"), F.max("open").alias("o")).filter("c > 1 and o")
+    some = deltas.join(group.select("pivot"), "pivot", "left_semi").join(alone, "id", "left")
+    some = materialize(some.withColumn("w", F.size("d")).drop("near"), "line-open")
+    by = ["id", "pivot", "n", "m", "w", "open"]
+    ranked = _rarest_first(some.select(*by, F.explode("d").alias("t")), ["pivot"], by)
+    w = F.col("w")
+    least = F.greatest(F.lit(1), w - F.floor((den - num) * n / num).cast("int"),
+                       _ceil_div((den + num) * w - (den - num) * (n + F.col("m")), 2 * (den + num)))
+    x = materialize(_entries(ranked, least, "id", "pivot", "n", "w", "open"), "line-differences")
+    y = x.select("pivot", "t", F.col("id").alias("other"), F.col("n").alias("n2"), F.col("w").alias("w2"),
+                 F.col("k").alias("k2"), F.col("p").alias("p2"))
+    most = _most_shared(F.col("p"), F.col("k"), F.col("p2"), F.col("k2"))
+    pairs = x.filter("open").join(y, ["pivot", "t"]).filter(
+        (F.col("id") > F.col("other")) & _long_enough(n, F.col("n2"), num, den)
+        & ((den + num) * (w + F.col("w2") - 2 * most) <= (den - num) * (n + F.col("n2"))))
+    pairs = materialize(pairs.select("id", "other").distinct(), "line-pairs")
+    common = F.size(F.array_intersect("sa", "sb"))
+    late = (pairs.join(a, "id").join(b.withColumnRenamed("pivot", "other"), "other")
+            .filter(den * common >= num * (F.size("sa") + F.size("sb") - common)).select("id").distinct())
+    near = settled.unionByName(late)
     gone = (places.join(near.withColumn("near", F.lit(True)), "id", "left")
             .filter("c > 1 or near").select("k1", "k2", "o", "near"))
     gone = materialize(gone, "line-gone")
