@@ -5,7 +5,7 @@ it repeats an earlier line exactly, or when some earlier line (kept or not) has
 more with it.  Earlier means smaller (document id, text hash, position); shorter lines stay.
 
 1. Exact repeats: the first place of every line by a partial aggregate over line hashes; no text is shuffled.
-2. Screen: tokens are ordered by the hash of their first word, so that a line hashes few of them whole.  Similar lines
+2. Screen: tokens are ordered by their first word, so that a line hashes few of them whole.  Similar lines
    share l tokens among the first n - ceil(s n) + l of each (prefix filter, l about a twentieth of n; repeats of a line
    are pre-aggregated away first).  Only lines with that many tokens that other lines are entered under too go on.
 3. Their shingles are counted exactly.  A line goes on if ceil(s n) of its shingles or more occur in other lines too;
@@ -30,9 +30,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from eventide.llm.common import SPACES, materialize, release_shuffles
+from eventide.llm.common import materialize, release_shuffles
 
-SPLIT = r"[\x20\x09-\x0D]+"
 FILTER_BITS = 20
 
 
@@ -46,7 +45,9 @@ def _let(value: Column, body) -> Column:
 
 
 def _words(line: Column) -> Column:
-    return F.split(F.btrim(line, F.lit(SPACES)), SPLIT)
+    """Rare spaces become the plain one first: a split at one plain character needs no regular expression."""
+    plain = F.when(line.rlike(r"[\x09-\x0D]"), F.regexp_replace(line, r"[\x09-\x0D]", " ")).otherwise(line)
+    return F.array_remove(F.split(plain, " "), "")
 
 
 def _shingles(line: Column, width: int) -> Column:
@@ -55,24 +56,23 @@ def _shingles(line: Column, width: int) -> Column:
                                                     lambda i: F.xxhash64(*[F.get(w, i + j) for j in range(width)])))
 
 
-def _prefix(line: Column, width: int, num: int, den: int) -> Column:
-    """Structs (t, least): tokens the line is entered under in the screen, and how many of them a similar line shares.
+def _prefix(lines: DataFrame, width: int, num: int, den: int) -> DataFrame:
+    """(k1, least, t): tokens a line is entered under in the screen, and how many of them a similar line shares.
 
-    The order of tokens is by the hash of their first word.  With N shingles, repeats counted, all up to the q-th
-    different first word are taken, which are q different shingles or more; q = N - ceil(s N) + l, l = 1 + N // 20.
-    A similar line has s u shingles or more, u being the number of different first words, so its l is ``least`` or more.
+    The order of tokens is by their first word.  With N shingles, repeats counted, all up to the q-th different first
+    word are taken, which are q different shingles or more; q = N - ceil(s N) + l, l = 1 + N // 20.  A similar line has
+    s u shingles or more, u being the number of different first words, so its l is ``least`` or more.  Words
+    are compared, not hashed: Spark interprets lambdas, so only the tokens that are taken are hashed.
     """
-    def chosen(w, h, o):
-        q = F.size(h) - _ceil_div(F.size(h) * num, den) + 1 + F.floor(F.size(h) / 20).cast("int")
-        least = (F.floor(_ceil_div(F.size(o) * num, den) / 20) + 1).cast("int")
-        places = _let(F.get(o, F.least(q, F.size(o)) - 1), lambda last: F.filter(
-            F.sequence(F.lit(0), F.size(h) - 1), lambda i: F.get(h, i) <= last))
-        tokens = F.array_distinct(F.transform(places, lambda i: F.xxhash64(*[F.get(w, i + j) for j in range(width)])))
-        return _let(least, lambda n: F.transform(tokens, lambda t: F.struct(t.alias("t"), n.alias("least"))))
-
-    return _let(_words(line), lambda w: _let(
-        F.transform(F.slice(w, F.lit(1), F.size(w) - (width - 1)), lambda x: F.xxhash64(x)),
-        lambda h: _let(F.sort_array(F.array_distinct(h)), lambda o: chosen(w, h, o))))
+    w, o, n = F.col("w"), F.col("o"), F.size("w") - (width - 1)
+    q = n - _ceil_div(n * num, den) + 1 + F.floor(n / 20).cast("int")
+    taken = F.filter(F.sequence(F.lit(0), n - 1), lambda i: F.get(w, i) <= F.col("last"))
+    tokens = F.array_distinct(F.transform(taken, lambda i: F.xxhash64(*[F.get(w, i + j) for j in range(width)])))
+    return (lines.select("k1", _words(F.col("line")).alias("w"))
+            .select("k1", "w", F.sort_array(F.array_distinct(F.slice(w, F.lit(1), n))).alias("o"))
+            .select("k1", "w", F.get(o, F.least(q, F.size(o)) - 1).alias("last"),
+                    (F.floor(_ceil_div(F.size(o) * num, den) / 20) + 1).cast("int").alias("least"))
+            .select("k1", "least", tokens.alias("x")).select("k1", "least", F.explode_outer("x").alias("t")))
 
 
 def _bucket(h, bits: int) -> Column:
@@ -139,8 +139,7 @@ def repeated_places(docs: DataFrame, *, width: int = 5, num: int = 4, den: int =
     once = _among(text, repeated, "k1", "left_anti").select("k1", "line")
     many = _among(text, repeated, "k1").groupBy("k1", "k2").agg(F.first("line").alias("line")).select("k1", "line")
     token = Window.partitionBy("t")
-    index = (once.unionByName(many).select("k1", F.explode_outer(_prefix(F.col("line"), width, num, den)).alias("x"))
-             .select("k1", "x.least", "x.t"))
+    index = _prefix(once.unionByName(many), width, num, den)
     met = (index.withColumn("_a", F.min("k1").over(token)).withColumn("_b", F.max("k1").over(token))
            .filter("_a <> _b").groupBy("k1", "least").agg(F.count(F.lit(1)).alias("c")).filter("c >= least")
            .select("k1").distinct())
